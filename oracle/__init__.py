@@ -1,0 +1 @@
+"""DuckDB counterparts of the reports, written independently over the raw tables."""
