@@ -28,8 +28,13 @@ def percent(part: Column | str, whole: Column | str) -> Column:
 
 
 def rounded(value: Column, digits: int = 2) -> Column:
-    """Half-even rounding, applied last."""
-    return F.bround(value.cast("double"), digits)
+    """Half-even on the scaled double, as numpy and pandas round; applied last.
+
+    Decimal half-even (bround) would settle 1.275, a double just below the tie, otherwise.
+    Adding zero turns a negative zero into a plain one.
+    """
+    scale = float(10**digits)
+    return F.rint(value.cast("double") * scale) / scale + F.lit(0.0)
 
 
 def nonzero_or_null(value: Column | str) -> Column:
