@@ -32,11 +32,18 @@ def _current(tables: ShipmentTables, params: ReviewParams) -> DataFrame:
 
 
 def _cube(tables: ShipmentTables, params: ReviewParams) -> DataFrame:
-    return destinations.destination_cube(tables.shipments(*params.pair_range))
+    def build() -> DataFrame:
+        return destinations.destination_cube(tables.shipments(*params.pair_range))
+
+    return tables.shared(f"destination_cube_{params.cur:%Y%m}", build)
 
 
 def _matrix(tables: ShipmentTables, params: ReviewParams) -> DataFrame:
-    return zones.dest_day_sums(tables.shipments(*params.pair_range), tables.returns())
+    def build() -> DataFrame:
+        days = params.pair_range
+        return zones.dest_day_sums(tables.shipments(*days), tables.returns(*days))
+
+    return tables.shared(f"dest_day_sums_{params.cur:%Y%m}", build)
 
 
 @report
@@ -128,7 +135,7 @@ def return_shipments_by_zone(tables, params):
 def top_dest_returns(tables, params):
     return destinations.top_by_returns(
         tables.shipments(*params.pair_range),
-        tables.returns(),
+        tables.returns(*params.pair_range),
         _pair(tables, params),
         params.pair,
         params.top_destinations,
@@ -161,7 +168,7 @@ def return_weight_by_zone(tables, params):
 def top_dest_return_weight(tables, params):
     return destinations.top_by_return_weight(
         tables.shipments(*params.pair_range),
-        tables.returns(),
+        tables.returns(*params.pair_range),
         _pair(tables, params),
         params.pair,
         params.top_destinations,
@@ -213,8 +220,7 @@ def monthly_revenue(tables, params):
 
 @report
 def dest_day_zone_matrix(tables, params):
-    shipments = tables.shipments(*params.pair_range)
-    return zones.dest_day_zone_matrix(shipments, tables.returns())
+    return zones.dest_day_zone_matrix(_matrix(tables, params))
 
 
 @report

@@ -2,22 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from parcelscope.functions.dates import label_short
-from parcelscope.functions.numbers import total, total_when
 from parcelscope.functions.shipments import zone_slot
 from parcelscope.operators.returns import with_returns
 from parcelscope.schema import MOM_HISTORY, ZONE_SLOTS
 
+RETURNED = "returned_rows > 0"
+CHARGED = f"{RETURNED} and return_charges <> 0"
+UNCHARGED = f"{RETURNED} and return_charges = 0"
 
-def _per_slot(prefix: str, value: Column | str, condition: Column | None = None) -> list[Column]:
-    columns = []
-    for slot in ZONE_SLOTS:
-        in_slot = F.col("slot") == slot
-        wanted = in_slot if condition is None else in_slot & condition
-        columns.append(total_when(wanted, value).alias(f"{prefix}_{slot}"))
-    return columns
+# What each sum of the roll-up adds up, and for which shipments (None: all of them).
+SUMS = {
+    "shipments": ("1", None),
+    "ret_ship": ("1", RETURNED),
+    "r_s_chrg": ("1", CHARGED),
+    "r_s_nchrg": ("1", UNCHARGED),
+    "kg_0_0_5": ("1", "weight <= 0.5"),
+    "kg_0_5_1_0": ("1", "weight > 0.5 and weight <= 1.0"),
+    "n_wght": ("weight", None),
+    "r_wght": ("weight", RETURNED),
+    "r_wght_chrg": ("weight", CHARGED),
+    "r_wght_nchrg": ("weight", UNCHARGED),
+    "n_wght_chgs": ("normal_weight_charges", None),
+    "n_fsc": ("normal_fsc", None),
+    "n_oth_chgs": ("normal_other_charges", None),
+    "n_rev": ("normal_revenue", None),
+    "cod": ("cod", None),
+    "ret_revenue": ("return_charges", RETURNED),
+}
+# The sums that are split by zone as well: prefix of the per-zone columns -> the same.
+ZONE_SUMS = {
+    "n_s": ("1", "true"),
+    "r_s": ("1", RETURNED),
+    "n_wght": ("weight", "true"),
+    "r_wght": ("weight", RETURNED),
+    "n_rev": ("normal_revenue", "true"),
+}
+
+
+def _sum(name: str, value: str, condition: str | None) -> str:
+    filtered = f" filter (where {condition})" if condition else ""
+    return f"coalesce(sum({value}){filtered}, 0) as {name}"
+
+
+def _roll_up() -> list[str]:
+    plain = [_sum(name, *rule) for name, rule in SUMS.items()]
+    zoned = [
+        _sum(f"{prefix}_{slot}", value, f"slot = '{slot}' and {condition}")
+        for prefix, (value, condition) in ZONE_SUMS.items()
+        for slot in ZONE_SLOTS
+    ]
+    return plain + zoned
 
 
 def build_history(shipments: DataFrame, returns: DataFrame, customers: DataFrame) -> DataFrame:
@@ -25,47 +62,17 @@ def build_history(shipments: DataFrame, returns: DataFrame, customers: DataFrame
 
     Customer attributes join after the roll-up, on account rows instead of shipments.
     """
-    one = F.lit(1)
-    returned = F.col("returned_rows") > 0
-    charged = returned & (F.col("return_charges") != 0)
-    uncharged = returned & (F.col("return_charges") == 0)
-    light = F.col("weight") <= 0.5
     rolled = (
-        with_returns(shipments.where(F.col("month_start").isNotNull()), returns)
+        with_returns(shipments.where("month_start is not null"), returns)
         .withColumn("slot", zone_slot())
         .groupBy("acc_no", "sp_name", "month_start")
-        .agg(
-            F.count(one).alias("shipments"),
-            *_per_slot("n_s", one),
-            total_when(returned, one).alias("ret_ship"),
-            *_per_slot("r_s", one, returned),
-            total_when(charged, one).alias("r_s_chrg"),
-            total_when(uncharged, one).alias("r_s_nchrg"),
-            total_when(light, one).alias("kg_0_0_5"),
-            total_when(~light & (F.col("weight") <= 1.0), one).alias("kg_0_5_1_0"),
-            total("weight").alias("n_wght"),
-            *_per_slot("n_wght", "weight"),
-            total_when(returned, "weight").alias("r_wght"),
-            *_per_slot("r_wght", "weight", returned),
-            total_when(charged, "weight").alias("r_wght_chrg"),
-            total_when(uncharged, "weight").alias("r_wght_nchrg"),
-            total("normal_weight_charges").alias("n_wght_chgs"),
-            total("normal_fsc").alias("n_fsc"),
-            total("normal_other_charges").alias("n_oth_chgs"),
-            total("normal_revenue").alias("n_rev"),
-            total("cod").alias("cod"),
-            *_per_slot("n_rev", "normal_revenue"),
-            total_when(returned, "return_charges").alias("ret_revenue"),
-        )
+        .agg(*[F.expr(text) for text in _roll_up()])
+        .withColumn("month", label_short("month_start"))
     )
     one_per_account = customers.groupBy("acc_no").agg(
-        F.min(F.struct("cust_name", "cust_type")).alias("customer")
+        F.expr("min(struct(cust_name, cust_type)) as customer")
     )
-    named = rolled.join(one_per_account, "acc_no", "left").withColumns(
-        {
-            "cust_name": F.col("customer.cust_name"),
-            "cust_type": F.col("customer.cust_type"),
-            "month": label_short("month_start"),
-        }
+    named = rolled.join(one_per_account, "acc_no", "left").select("*", "customer.*")
+    return named.selectExpr(
+        *[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in MOM_HISTORY]
     )
-    return named.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in MOM_HISTORY])

@@ -224,8 +224,8 @@ def dest_day_sums(shipments: DataFrame, returns: DataFrame) -> DataFrame:
     )
 
 
-def dest_day_zone_matrix(shipments: DataFrame, returns: DataFrame) -> DataFrame:
-    return dest_day_sums(shipments, returns).orderBy(F.desc("n_s_wc"))
+def dest_day_zone_matrix(sums: DataFrame) -> DataFrame:
+    return sums.orderBy(F.desc("n_s_wc"))
 
 
 def return_revenue_by_zone(matrix: DataFrame, months: Mapping[str, date]) -> DataFrame:

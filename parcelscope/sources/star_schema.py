@@ -2,133 +2,142 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from parcelscope.functions.shipments import weight_class
 from parcelscope.schema import ACC_FORM, CRF, RETURNREPORT, SALESREPORT
 from parcelscope.sources.tables import ShipmentTables
 
+# The columns the derivations read; declared, so that no file is opened to plan a query.
+RAW_SCHEMAS = {
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "orders": "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string",
+    "customer": (
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey long, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
+
 # Accounts whose balance lies below this never handed in a form.
 FORM_BALANCE = 100
+HAS_FORM = f"c_acctbal >= {FORM_BALANCE}"
 
+Reader = Callable[[str], DataFrame]
 
-def _conform(frame: DataFrame, schema) -> DataFrame:
-    return frame.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-
-
-def _decimal(column: str, precision: int, scale: int) -> Column:
-    return F.col(column).cast(f"decimal({precision},{scale})")
 
+SHIPMENT_NUMBER = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+CHARGES = "cast(l_extendedprice as decimal(18,2))"
 
-def _shipment_number() -> Column:
-    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
-
-def _account(key: str) -> Column:
-    return F.concat(F.lit("C-"), F.col(key).cast("string"))
+def _conform(frame: DataFrame, schema: StructType, **rules: str) -> DataFrame:
+    """One column per field of the schema, computed by its rule and cast to its type."""
+    return frame.selectExpr(
+        *[
+            f"cast({rules.get(f.name, f.name)} as {f.dataType.simpleString()}) as {f.name}"
+            for f in schema
+        ]
+    )
 
 
-def derive_salesreport(read) -> DataFrame:
-    nation = read("nation").select("n_nationkey", "n_name")
-    customer = (
-        read("customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "c_mktsegment", "c_nationkey", F.col("n_name").alias("city_from"))
+def derive_salesreport(read: Reader) -> DataFrame:
+    nation = read("nation")
+    customer = read("customer").join(nation, F.expr("c_nationkey = n_nationkey"))
+    supplier = read("supplier").join(nation, F.expr("s_nationkey = n_nationkey"))
+    ordered = read("orders").join(
+        customer.selectExpr("c_custkey", "c_mktsegment", "c_nationkey", "n_name as city_from"),
+        F.expr("o_custkey = c_custkey"),
     )
-    supplier = (
-        read("supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "s_nationkey", F.col("n_name").alias("city_to"))
-    )
-    ordered = read("orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = (
         read("lineitem")
-        .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    )
-    charges = _decimal("l_extendedprice", 18, 2)
-    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    zone = (F.col("c_nationkey") + F.col("s_nationkey")) % 3
-    derived = (
-        joined.withColumns(
-            {
-                "normal_cn": _shipment_number(),
-                "normal_cn_date": F.col("l_shipdate").cast("date"),
-                "acc_no": _account("o_custkey"),
-                "sp_name": F.col("c_mktsegment"),
-                "origin": F.col("city_from"),
-                "dest": F.col("city_to"),
-                "master_origin": F.col("city_from"),
-                "master_dest": F.col("city_to"),
-                "dest_zone": F.when(zone == 0, "A").when(zone == 1, "B").otherwise("C"),
-                "weight": (F.col("l_quantity") / 10).cast("decimal(18,2)"),
-                "normal_weight_charges": charges,
-                "normal_fsc": charges * _decimal("l_tax", 4, 2),
-                "normal_other_charges": charges * _decimal("l_discount", 4, 2),
-                "cod": F.when(urgent, _decimal("o_totalprice", 18, 2)).otherwise(0),
-            }
-        )
-        .withColumn("weight_band", weight_class())
-        .withColumn(
-            "normal_revenue",
-            F.col("normal_weight_charges") + F.col("normal_fsc") + F.col("normal_other_charges"),
+        .join(ordered, F.expr("l_orderkey = o_orderkey"))
+        .join(
+            supplier.selectExpr("s_suppkey", "s_nationkey", "n_name as city_to"),
+            F.expr("l_suppkey = s_suppkey"),
         )
     )
-    return _conform(derived, SALESREPORT)
-
-
-def derive_returnreport(read) -> DataFrame:
-    number = _shipment_number()
-    charged = F.when(F.col("l_linestatus") == "F", _decimal("l_extendedprice", 18, 2)).otherwise(0)
-    returned = read("lineitem").where(F.col("l_returnflag") == "R")
-    derived = returned.select(
-        number.alias("normal_cn"),
-        F.col("l_shipdate").cast("date").alias("normal_cn_date"),
-        F.concat(F.lit("R-"), number).alias("return_cn"),
-        charged.alias("return_weight_charges"),
+    fsc = f"{CHARGES} * cast(l_tax as decimal(4,2))"
+    other = f"{CHARGES} * cast(l_discount as decimal(4,2))"
+    weighed = joined.selectExpr("*", "cast(l_quantity / 10 as decimal(18,2)) as weight")
+    return _conform(
+        weighed.withColumn("weight_band", weight_class()),
+        SALESREPORT,
+        normal_cn=SHIPMENT_NUMBER,
+        normal_cn_date="l_shipdate",
+        acc_no="concat('C-', o_custkey)",
+        sp_name="c_mktsegment",
+        origin="city_from",
+        dest="city_to",
+        master_origin="city_from",
+        master_dest="city_to",
+        dest_zone="element_at(array('A', 'B', 'C'), (c_nationkey + s_nationkey) % 3 + 1)",
+        normal_weight_charges=CHARGES,
+        normal_fsc=fsc,
+        normal_other_charges=other,
+        normal_revenue=f"{CHARGES} + {fsc} + {other}",
+        cod="case when o_orderpriority in ('1-URGENT', '2-HIGH') then o_totalprice else 0 end",
+    )
+
+
+def derive_returnreport(read: Reader) -> DataFrame:
+    return _conform(
+        read("lineitem").where("l_returnflag = 'R'"),
+        RETURNREPORT,
+        normal_cn=SHIPMENT_NUMBER,
+        normal_cn_date="l_shipdate",
+        return_cn=f"concat('R-', {SHIPMENT_NUMBER})",
+        return_weight_charges=f"case when l_linestatus = 'F' then {CHARGES} else 0 end",
     )
-    return _conform(derived, RETURNREPORT)
 
 
-def derive_acc_form(read, has_form: Column | None = None) -> DataFrame:
+def derive_acc_form(read: Reader, has_form: str = HAS_FORM) -> DataFrame:
     """One form per shipping account; some accounts have none (`has_form` is false)."""
-    if has_form is None:
-        has_form = F.col("c_acctbal") >= FORM_BALANCE
+    forms = read("customer").where(has_form)
     first_ship = (
         read("orders")
-        .join(read("lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read("lineitem"), F.expr("l_orderkey = o_orderkey"))
         .groupBy("o_custkey")
-        .agg(F.min(F.col("l_shipdate")).cast("date").alias("first_cn"))
+        .agg(F.expr("cast(min(l_shipdate) as date) as first_cn"))
     )
-    forms = read("customer").where(has_form).select("c_custkey")
-    key = F.col("c_custkey")
-    created = F.date_sub("first_cn", (key % 45).cast("int"))
-    derived = (
-        first_ship.join(forms, F.col("o_custkey") == key)
-        .withColumn("acc_no", _account("c_custkey"))
-        .withColumn("creation_date", created)
-        .withColumn("finance_approval", F.date_add("creation_date", (key % 20).cast("int")))
-        .withColumn("second_approval", F.date_add("creation_date", (key % 25).cast("int")))
+    created = first_ship.join(forms, F.expr("o_custkey = c_custkey")).selectExpr(
+        "*", "date_sub(first_cn, cast(c_custkey % 45 as int)) as creation_date"
+    )
+    return _conform(
+        created,
+        ACC_FORM,
+        acc_no="concat('C-', c_custkey)",
+        finance_approval="date_add(creation_date, cast(c_custkey % 20 as int))",
+        second_approval="date_add(creation_date, cast(c_custkey % 25 as int))",
     )
-    return _conform(derived, ACC_FORM)
 
 
-def derive_crf(read) -> DataFrame:
-    derived = read("customer").select(
-        _account("c_custkey").alias("acc_no"),
-        F.col("c_name").alias("cust_name"),
-        F.when(F.col("c_acctbal") >= 0, "COD").otherwise("CASH").alias("cust_type"),
+def derive_crf(read: Reader) -> DataFrame:
+    return _conform(
+        read("customer"),
+        CRF,
+        acc_no="concat('C-', c_custkey)",
+        cust_name="c_name",
+        cust_type="case when c_acctbal >= 0 then 'COD' else 'CASH' end",
     )
-    return _conform(derived, CRF)
+
+
+DERIVATIONS = {
+    "salesreport": derive_salesreport,
+    "returnreport": derive_returnreport,
+    "acc_form": derive_acc_form,
+    "crf": derive_crf,
+}
 
 
 def star_schema_tables(spark: SparkSession, folder: str) -> ShipmentTables:
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-    return ShipmentTables(
-        salesreport=derive_salesreport(read),
-        returnreport=derive_returnreport(read),
-        acc_form=derive_acc_form(read),
-        crf=derive_crf(read),
-    )
+    return ShipmentTables(lambda name: DERIVATIONS[name](read), returns_dated=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -11,22 +11,42 @@ from parcelscope.functions.dates import label_short, month_end, month_of, shift_
 from parcelscope.plans.history import build_history
 
 
-@dataclass(frozen=True)
 class ShipmentTables:
-    """Lazy frames; `mom_history` is derived from shipments and returns when not given."""
+    """Lazy frames, each built when a report first asks for it.
 
-    salesreport: DataFrame
-    returnreport: DataFrame
-    acc_form: DataFrame
-    crf: DataFrame
-    mom_history: DataFrame | None = None
+    `load` maps a table name of parcelscope.schema to its frame. Without a stored
+    account-by-month table (`has_history`), that one is derived from the others.
+    `returns_dated` states that every return row repeats the date of its shipment, which
+    lets a dated report read the returns of its own months only; leave it off where that
+    is not certain (`misdated_returns` tells) and all returns are read.
+    """
+
+    def __init__(
+        self,
+        load: Callable[[str], DataFrame],
+        has_history: bool = False,
+        returns_dated: bool = False,
+    ):
+        self._load = load
+        self._frames: dict[str, DataFrame] = {}
+        self.has_history = has_history
+        self.returns_dated = returns_dated
+
+    @classmethod
+    def of(cls, **frames: DataFrame) -> ShipmentTables:
+        return cls(frames.__getitem__, has_history="mom_history" in frames)
+
+    def frame(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._load(name)
+        return self._frames[name]
 
     def shipments(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Shipments dated start to end, both included, with their `month_start`.
 
         A table laid out by month_start is pruned to the months of the range as well.
         """
-        frame = self.salesreport
+        frame = self.frame("salesreport")
         in_range = F.col("normal_cn_date").between(F.lit(start), F.lit(end))
         if "month_start" in frame.columns:
             if start is not None:
@@ -37,22 +57,40 @@ class ShipmentTables:
             frame = frame.where(in_range)
         return frame.withColumn("month_start", month_of("normal_cn_date"))
 
-    def returns(self) -> DataFrame:
-        return self.returnreport
+    def returns(self, start: date | None = None, end: date | None = None) -> DataFrame:
+        """Returns of the shipments dated start to end, or a superset of them."""
+        frame = self.frame("returnreport")
+        if not self.returns_dated or start is None:
+            return frame
+        if "month_start" in frame.columns:
+            months = F.lit(shift_month(start, 0)), F.lit(shift_month(end, 0))
+            frame = frame.where(F.col("month_start").between(*months))
+        return frame.where(F.col("normal_cn_date").between(F.lit(start), F.lit(end)))
+
+    def misdated_returns(self) -> DataFrame:
+        """Returns whose date is not that of their shipment."""
+        shipped = self.frame("salesreport").select("normal_cn", "normal_cn_date")
+        return self.frame("returnreport").join(
+            shipped.withColumnRenamed("normal_cn_date", "shipped_on"), "normal_cn"
+        ).where(~F.col("shipped_on").eqNullSafe(F.col("normal_cn_date")))
+
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """An intermediate several reports read. Nothing is kept here: see review.StagedTables."""
+        return build()
 
     def accounts(self) -> DataFrame:
-        return self.acc_form
+        return self.frame("acc_form")
 
     def customers(self) -> DataFrame:
-        return self.crf
+        return self.frame("crf")
 
     def history(self, first: date | None = None, last: date | None = None) -> DataFrame:
         """Account-by-month rows of the months first to last, both included."""
-        if self.mom_history is None:
+        if not self.has_history:
             span = (first, month_end(last)) if first is not None else (None, None)
-            frame = build_history(self.shipments(*span), self.returns(), self.customers())
+            frame = build_history(self.shipments(*span), self.returns(*span), self.customers())
         else:
-            frame = self.mom_history
+            frame = self.frame("mom_history")
             if "month" not in frame.columns:
                 frame = frame.withColumn("month", label_short("month_start"))
         if first is None:
@@ -63,4 +101,4 @@ class ShipmentTables:
     def sales_people(self) -> DataFrame:
         """Distinct sales-person names, trimmed and in capitals."""
         name = F.upper(F.trim("sp_name")).alias("sp_name")
-        return self.salesreport.select(name).distinct()
+        return self.frame("salesreport").select(name).distinct()

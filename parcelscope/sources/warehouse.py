@@ -54,16 +54,17 @@ def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     return spark.read.schema(stored_schema(name)).parquet(f"{warehouse}/{name}")
 
 
-def warehouse_tables(spark: SparkSession, warehouse: str, with_history: bool = True) -> ShipmentTables:
-    names = ["salesreport", "returnreport", "acc_form", "crf"]
-    if with_history:
-        names.append("mom_history")
-    return ShipmentTables(**{name: read_table(spark, warehouse, name) for name in names})
+def warehouse_tables(
+    spark: SparkSession, warehouse: str, with_history: bool = True, returns_dated: bool = False
+) -> ShipmentTables:
+    return ShipmentTables(
+        lambda name: read_table(spark, warehouse, name), with_history, returns_dated
+    )
 
 
 def refresh_history(tables: ShipmentTables, warehouse: str, first: date, last: date) -> None:
     """Rebuild the stored account-by-month rows of the months first to last."""
-    source = ShipmentTables(tables.salesreport, tables.returnreport, tables.acc_form, tables.crf)
+    source = ShipmentTables(tables.frame, returns_dated=tables.returns_dated)
     write_table(source.history(first, last), warehouse, "mom_history")
 
 
