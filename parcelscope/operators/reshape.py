@@ -53,28 +53,33 @@ def side_by_side(
     return rows.where(wanted).groupBy(*keys).agg(*cells)
 
 
-def filled_months(
-    counts: DataFrame, key: str, value: str, months: Sequence[date]
+def counts_by_month(
+    rows: DataFrame,
+    key: str,
+    name: str,
+    months: Sequence[date],
+    condition: Column | None = None,
 ) -> DataFrame:
-    """Every key with every listed month, zero where the key has no row for the month."""
+    """Rows per key and listed month, zero included, for every key that has a row.
+
+    One shuffle on the key, with partial counts: the months are columns until the end.
+    """
+    counted = F.lit(True) if condition is None else condition
     labels = [m.isoformat() for m in months]
-    wide = (
-        counts.withColumn("_label", F.date_format("month_start", "yyyy-MM-dd"))
-        .groupBy(key)
-        .pivot("_label", labels)
-        .agg(F.max(value))
-        .na.fill(0)
-    )
-    long = wide.unpivot([key], labels, "_label", value)
-    return long.select(key, F.to_date("_label").alias("month_start"), value)
+    counts = [
+        F.count_if(counted & (F.col("month_start") == F.lit(m))).alias(label)
+        for m, label in zip(months, labels)
+    ]
+    long = rows.groupBy(key).agg(*counts).unpivot([key], labels, "_label", name)
+    return long.select(key, F.to_date("_label").alias("month_start"), name)
 
 
-def month_on_month(long: DataFrame) -> DataFrame:
+def month_on_month(long: DataFrame, keys: Sequence[str] = ("metric",)) -> DataFrame:
     """Each metric beside its value in the previous month that has rows.
 
     A metric has one row per month, so a window group is no longer than the calendar.
     """
-    ordered = Window.partitionBy("metric").orderBy("month_start")
+    ordered = Window.partitionBy(*keys).orderBy("month_start")
     return (
         long.withColumn("prev_month", F.lag("month_start").over(ordered))
         .withColumn("prev_value", F.lag("value").over(ordered))

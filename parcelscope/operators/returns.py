@@ -7,9 +7,11 @@ the multiplied join weigh each shipment by its number of return rows instead.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
-from parcelscope.functions.dates import month_of
 from parcelscope.functions.numbers import total, total_when
 
 
@@ -35,27 +37,44 @@ def with_returns(shipments: DataFrame, returns: DataFrame) -> DataFrame:
     )
 
 
-def returned_by_destination(shipments: DataFrame, returns: DataFrame) -> DataFrame:
-    """Inner join summed to (month of the return row, destination).
+def returned_by_destination(
+    shipments: DataFrame, returns: DataFrame, months: Sequence[date]
+) -> DataFrame:
+    """Inner join summed to (month of the return row, destination), for the listed months.
 
     returned: return rows with a number; weight: shipment weight once per return row.
+    The months stay columns across the join, so one shuffle on the shipment number serves
+    both the sum per shipment and the join.
     """
-    per_month = (
-        returns.withColumn("month_start", month_of("normal_cn_date"))
-        .where(F.col("month_start").isNotNull() & F.col("normal_cn").isNotNull())
-        .groupBy("normal_cn", "month_start")
-        .agg(
-            F.count("return_cn").alias("returned"),
-            F.count(F.lit(1)).cast("int").alias("return_rows"),
+    per_month, sums, lines = [], [], []
+    for i, month in enumerate(months):
+        dated = F.trunc("normal_cn_date", "month") == F.lit(month)
+        per_month += [
+            F.count(F.when(dated, F.col("return_cn"))).alias(f"returned_{i}"),
+            F.count_if(dated).cast("int").alias(f"rows_{i}"),
+        ]
+        sums += [
+            total(f"returned_{i}").alias(f"returned_{i}"),
+            total(f"rows_{i}").alias(f"rows_{i}"),
+            total(F.col("weight") * F.col(f"rows_{i}")).alias(f"weight_{i}"),
+        ]
+        lines.append(
+            F.struct(
+                F.lit(month).alias("month_start"),
+                F.col(f"rows_{i}").alias("return_rows"),
+                F.col(f"returned_{i}").alias("returned"),
+                F.col(f"weight_{i}").alias("weight"),
+            )
         )
+    per_shipment = (
+        returns.where(F.col("normal_cn").isNotNull()).groupBy("normal_cn").agg(*per_month)
     )
     return (
         shipments.select("normal_cn", "master_dest", "weight")
         .where(F.col("master_dest").isNotNull())
-        .join(per_month, "normal_cn")
-        .groupBy("month_start", "master_dest")
-        .agg(
-            total("returned").alias("returned"),
-            total(F.col("weight") * F.col("return_rows")).alias("weight"),
-        )
+        .join(per_shipment, "normal_cn")
+        .groupBy("master_dest")
+        .agg(*sums)
+        .select("master_dest", F.inline(F.array(*lines)))
+        .where(F.col("return_rows") > 0)
     )

@@ -135,7 +135,7 @@ def _top_returned(
     n: int,
 ) -> DataFrame:
     """Top destinations of returned shipments; shares divide by the month's own returns."""
-    per_dest = returned_by_destination(shipments, returns)
+    per_dest = returned_by_destination(shipments, returns, list(months.values()))
     best = top_n_per_group(per_dest, ["month_start"], measure, n, ["master_dest"])
     bases = (
         history.where(F.col("month_start").isin(*months.values()))

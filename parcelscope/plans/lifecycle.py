@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelscope.functions.dates import month_end, month_of, same_month
-from parcelscope.operators.reshape import filled_months
+from parcelscope.operators.reshape import counts_by_month
 
 # Rows of the lifecycle table, in display order.
 LIFECYCLE_ROWS = (
@@ -123,12 +123,8 @@ def approved_accounts_by_sp(
         .where(F.col("month_start").isin(*months))
         .distinct()
     )
-    counts = (
-        approved.join(_account_owners(shipments), "acc_no")
-        .groupBy("sp_name", "month_start")
-        .agg(F.count(F.lit(1)).alias("accounts"))
-    )
-    return filled_months(counts, "sp_name", "accounts", months)
+    owned = approved.join(_account_owners(shipments), "acc_no")
+    return counts_by_month(owned, "sp_name", "accounts", months)
 
 
 def new_active_by_sp(
@@ -138,45 +134,44 @@ def new_active_by_sp(
     owned = shipments.where(F.col("sp_name").isNotNull() & F.col("acc_no").isNotNull())
     shipping = owned.select("acc_no", "sp_name", "month_start").distinct()
     started = accounts.select("acc_no", month_of("first_cn").alias("month_start")).distinct()
-    counts = (
-        shipping.join(started, ["acc_no", "month_start"])
-        .groupBy("sp_name", "month_start")
-        .agg(F.count(F.lit(1)).alias("accounts"))
-    )
-    return filled_months(counts, "sp_name", "accounts", months)
+    new = shipping.join(started, ["acc_no", "month_start"])
+    return counts_by_month(new, "sp_name", "accounts", months)
 
 
 def accounts_lost_by_sp(shipments: DataFrame, months: Sequence[date]) -> DataFrame:
     """Accounts a sales person shipped for in one month and no more in the next present one.
 
-    An account that moved to another sales person counts as lost. Consecutive means
-    consecutive among the months that have shipments at all.
+    An account that moved to another sales person counts as lost. Present months are
+    those with any shipment. Each (sales person, account) shrinks to one row of month
+    flags with map-side partials, so the comparison needs no join and no window.
     """
     dated = shipments.where(F.col("month_start").isin(*months))
-    # One row per calendar month: the only frame the unpartitioned window sees.
-    present = (
-        dated.select("month_start")
-        .distinct()
-        .withColumn("next_month", F.lead("month_start").over(Window.orderBy("month_start")))
-    )
-    # One row per account, sales person and month: a group is no longer than the calendar.
-    steps = Window.partitionBy("sp_name", "acc_no").orderBy("month_start")
-    shipping = (
+    flags = F.array(*[F.bool_or(F.col("month_start") == F.lit(m)) for m in months])
+    calendar = F.array(*[F.lit(m) for m in months])
+    present = dated.agg(
+        F.array_compact(
+            F.array(*[F.when(F.bool_or(F.col("month_start") == F.lit(m)), F.lit(m)) for m in months])
+        )
+    ).scalar()
+    moves = (
         dated.where(F.col("sp_name").isNotNull())
-        .select("sp_name", "acc_no", "month_start")
-        .distinct()
-        .withColumn("ships_next", F.lead("month_start").over(steps))
-    )
-    stays = F.col("ships_next") == F.col("next_month")
-    lost = F.col("acc_no").isNotNull() & ~F.coalesce(stays, F.lit(False))
-    counts = (
-        shipping.join(present, "month_start")
-        .where(F.col("next_month").isNotNull())
-        .groupBy("sp_name", F.col("next_month").alias("month_start"))
-        .agg(F.count_if(lost).alias("lost_accounts"))
-    )
-    reported = present.select(F.col("next_month").alias("month_start"))
-    filled = filled_months(counts, "sp_name", "lost_accounts", months)
-    return filled.join(reported, "month_start", "left_semi").select(
-        "sp_name", "month_start", "lost_accounts"
+        .groupBy("sp_name", "acc_no")
+        .agg(flags.alias("ships"))
+        .withColumn("present", present)
+        .select("sp_name", "acc_no", "ships", "present", F.posexplode("ships"))
+        .where("col")
+        .withColumn("calendar", calendar)
+        .withColumn(
+            "month_start",
+            F.expr("array_min(filter(present, m -> m > element_at(calendar, pos + 1)))"),
+        )
+        .where(F.col("month_start").isNotNull())
+        .withColumn(
+            "stays", F.expr("element_at(ships, cast(array_position(calendar, month_start) as int))")
+        )
+        .select("sp_name", "acc_no", "month_start", "stays")
     )
+    lost = F.col("acc_no").isNotNull() & ~F.col("stays")
+    counts = counts_by_month(moves, "sp_name", "lost_accounts", months, lost)
+    followed = F.array_contains(F.slice(present, 2, len(months)), F.col("month_start"))
+    return counts.where(followed)

@@ -43,61 +43,77 @@ def by_month(history: DataFrame, **measures: Column) -> DataFrame:
     return dated.groupBy("month_start").agg(*[c.alias(name) for name, c in measures.items()])
 
 
-def kpi_by_month(history: DataFrame) -> DataFrame:
-    sums = by_month(
-        history,
-        Active_Accounts=F.count("acc_no"),
-        Normal_Shipments=total("shipments"),
-        Normal_Weight=total("n_wght"),
-        Weight_Charges=total("n_wght_chgs"),
-        fuel_Surcharge=total("n_fsc"),
-        Cash_handling=total("n_oth_chgs"),
-        Total_normal_rev=total("n_rev"),
-    )
-    return sums.withColumns(
-        {
-            "RPS": rounded(ratio("Total_normal_rev", "Normal_Shipments")),
-            "RPW": rounded(ratio("Total_normal_rev", "Normal_Weight")),
-            "WPS": rounded(ratio("Normal_Weight", "Normal_Shipments")),
-        }
-    )
+def _kpi_sums() -> dict[str, Column]:
+    return {
+        "accounts": F.count("acc_no"),
+        "shipments": total("shipments"),
+        "weight": total("n_wght"),
+        "weight_charges": total("n_wght_chgs"),
+        "fsc": total("n_fsc"),
+        "other_charges": total("n_oth_chgs"),
+        "revenue": total("n_rev"),
+    }
 
 
-def returns_by_month(history: DataFrame) -> DataFrame:
-    """Months with returns only; the ratios divide by all shipments of the same month."""
+def _return_sums() -> dict[str, Column]:
+    """Sums over account-months with returns, beside those over all of them."""
     returned = nonzero_or_null("ret_ship")
-    sums = by_month(
-        history,
-        rows=F.count_if(returned),
-        active_accounts=F.count(F.when(returned, F.col("acc_no"))),
-        Return_Shipment=total_when(returned, "ret_ship"),
-        Return_Weight=total_when(returned, "r_wght"),
-        return_revenue=total_when(returned, "ret_revenue"),
-        shipments=total("shipments"),
-        weight=total("n_wght"),
+    return {
+        "shipments": total("shipments"),
+        "weight": total("n_wght"),
+        "ret_rows": F.count_if(returned),
+        "ret_accounts": F.count(F.when(returned, F.col("acc_no"))),
+        "ret_shipments": total_when(returned, "ret_ship"),
+        "ret_weight": total_when(returned, "r_wght"),
+        "ret_revenue": total_when(returned, "ret_revenue"),
+    }
+
+
+def _kpi_values() -> dict[str, Column]:
+    values = (
+        F.col("accounts"),
+        F.col("shipments"),
+        F.col("weight"),
+        F.col("weight_charges"),
+        F.col("fsc"),
+        F.col("other_charges"),
+        F.col("revenue"),
+        rounded(ratio("revenue", "shipments")),
+        rounded(ratio("revenue", "weight")),
+        rounded(ratio("weight", "shipments")),
     )
-    return sums.where(F.col("rows") > 0).withColumns(
-        {
-            "Shipment_Ret_ration": rounded(percent("Return_Shipment", "shipments")),
-            "Weight_ret_ratio": rounded(percent("Return_Weight", "weight")),
-            "RPS": rounded(ratio("return_revenue", "Return_Shipment")),
-            "RPW": rounded(ratio("return_revenue", "Return_Weight")),
-        }
+    return dict(zip(KPI_METRICS, values))
+
+
+def _return_values() -> dict[str, Column]:
+    """The ratios divide by all shipments of the same month."""
+    values = (
+        F.col("ret_accounts"),
+        F.col("ret_shipments"),
+        rounded(percent("ret_shipments", "shipments")),
+        F.col("ret_weight"),
+        rounded(percent("ret_weight", "weight")),
+        F.col("ret_revenue"),
+        rounded(ratio("ret_revenue", "ret_shipments")),
+        rounded(ratio("ret_revenue", "ret_weight")),
     )
+    return dict(zip(RETURN_METRICS, values))
 
 
-def _long(wide: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
-    return to_long(wide, ["month_start"], metrics)
+def _long_from(sums: DataFrame, values: dict[str, Column]) -> DataFrame:
+    wide = sums.select("month_start", *[c.alias(name) for name, c in values.items()])
+    long = with_order(to_long(wide, ["month_start"], list(values)), list(values))
+    return long.select("month_start", "metric", "ord", "value")
 
 
 def monthly_kpis(history: DataFrame) -> DataFrame:
-    long = with_order(_long(kpi_by_month(history), KPI_METRICS), KPI_METRICS)
-    return long.select("month_start", "metric", "ord", "value")
+    return _long_from(by_month(history, **_kpi_sums()), _kpi_values())
 
 
 def monthly_returns(history: DataFrame) -> DataFrame:
-    long = with_order(_long(returns_by_month(history), RETURN_METRICS), RETURN_METRICS)
-    return long.select("month_start", "metric", "ord", "value")
+    """Months with returns only."""
+    sums = by_month(history, **_return_sums()).where(F.col("ret_rows") > 0)
+    return _long_from(sums, _return_values())
 
 
 def month_diff(long: DataFrame) -> DataFrame:
@@ -109,32 +125,50 @@ def month_change(long: DataFrame) -> DataFrame:
     return month_on_month(long).select("month_start", "metric", "pct_chng")
 
 
-def _cards(long: DataFrame, slide: str, separated: tuple[str, ...], whole_diff: bool, digits: int):
-    with_separators = F.col("metric").isin(*separated)
-    diff = accounting(F.col("diff"), 2)
-    if whole_diff:
-        diff = F.when(with_separators, accounting(F.col("diff"), 0)).otherwise(diff)
-    value = F.when(with_separators, thousands(F.col("value"))).otherwise(plain(F.col("value")))
+def kpi_cards(history: DataFrame) -> DataFrame:
+    """Text of the KPI and returns slides for every month that has one before it.
+
+    One pass over the history feeds both slides.
+    """
+
+    def lines(slide: str, values: dict[str, Column]) -> list[Column]:
+        return [
+            F.struct(
+                F.lit(slide).alias("slide"),
+                F.lit(metric).alias("metric"),
+                value.cast("double").alias("value"),
+            )
+            for metric, value in values.items()
+        ]
+
+    kpis = F.array(*lines("kpi", _kpi_values()))
+    returns = F.array(*lines("returns", _return_values()))
+    sums = by_month(history, **(_kpi_sums() | _return_sums()))
+    long = sums.select(
+        "month_start",
+        F.inline(F.when(F.col("ret_rows") > 0, F.concat(kpis, returns)).otherwise(kpis)),
+    )
+
+    on_kpi = F.col("slide") == "kpi"
+    separated = F.when(on_kpi, F.col("metric").isin(*KPI_THOUSANDS)).otherwise(
+        F.col("metric").isin(*RETURN_THOUSANDS)
+    )
+    diff = F.when(on_kpi & separated, accounting(F.col("diff"), 0)).otherwise(
+        accounting(F.col("diff"), 2)
+    )
+    change = F.col("pct_chng") * 100
+    change_text = F.when(on_kpi, accounting(change, 3)).otherwise(accounting(change, 1))
+    value = F.when(separated, thousands(F.col("value"))).otherwise(plain(F.col("value")))
     before = F.concat(label_short("prev_month"), F.lit(": "), plain(F.col("prev_value")))
-    change = F.concat(F.lit(", "), accounting(F.col("pct_chng") * 100, digits), F.lit("%"))
-    return month_on_month(long).select(
+    return month_on_month(long, ["slide", "metric"]).select(
         "month_start",
-        F.lit(slide).alias("slide"),
+        "slide",
         "metric",
         value.alias("value_text"),
         before.alias("prev_text"),
         F.concat(F.lit("Diff : "), diff).alias("diff_text"),
-        change.alias("pct_text"),
-    )
-
-
-def kpi_cards(history: DataFrame) -> DataFrame:
-    """Text of the KPI and returns slides for every month that has one before it."""
-    kpis = _cards(_long(kpi_by_month(history), KPI_METRICS), "kpi", KPI_THOUSANDS, True, 3)
-    returns = _cards(
-        _long(returns_by_month(history), RETURN_METRICS), "returns", RETURN_THOUSANDS, False, 1
+        F.concat(F.lit(", "), change_text, F.lit("%")).alias("pct_text"),
     )
-    return kpis.unionByName(returns)
 
 
 def month_series(history: DataFrame, name: str, measure: Column) -> DataFrame:
