@@ -51,7 +51,9 @@ def write_table(frame: DataFrame, warehouse: str, name: str) -> None:
 
 
 def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    return spark.read.schema(stored_schema(name)).parquet(f"{warehouse}/{name}")
+    """The stored table, columns in the order of its schema wherever they are stored."""
+    schema = stored_schema(name)
+    return spark.read.schema(schema).parquet(f"{warehouse}/{name}").select(*schema.names)
 
 
 def warehouse_tables(
