@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 STRING, LONG, DATE = T.StringType(), T.LongType(), T.DateType()
-MONEY, WEIGHT, CHARGE = T.DecimalType(20, 4), T.DecimalType(18, 2), T.DecimalType(18, 2)
-# Account-by-month sums: eight more integer digits than a single shipment.
-SUM_MONEY, SUM_WEIGHT = T.DecimalType(28, 4), T.DecimalType(26, 2)
+# The weight of one parcel needs no more than eight digits, and Spark adds up decimals of
+# up to eight digits as longs. Sums of an account and month have room for eight digits more.
+MONEY, WEIGHT, CHARGE = T.DecimalType(20, 4), T.DecimalType(8, 2), T.DecimalType(18, 2)
+SUM_MONEY, SUM_WEIGHT = T.DecimalType(28, 4), T.DecimalType(18, 2)
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
