@@ -24,15 +24,20 @@ def label_long(month: Column | str) -> Column:
     return F.date_format(month, "MMM-yyyy")
 
 
-def parse_label(label: Column | str, century: int) -> Column:
+# Fixed value: two-digit years from here on belong to the 1900s, those below to the 2000s.
+CENTURY_TURN = 69
+
+
+def parse_label(label: Column | str) -> Column:
     """First day of a `Mon-yy` month text; unreadable text gives null.
 
-    Two digits do not name a century, so the caller supplies it.
+    Only for tables that store months as text: the year is spelled out before parsing,
+    as Spark reads two digits into the 2000s throughout.
     """
     text = F.col(label) if isinstance(label, str) else label
-    spelled = F.concat(
-        F.lit("01-"), F.substring(text, 1, 4), F.lit(f"{century // 100:02d}"), F.substring(text, 5, 2)
-    )
+    year = F.substring(text, 5, 2)
+    century = F.when(year >= str(CENTURY_TURN), "19").otherwise("20")
+    spelled = F.concat(F.lit("01-"), F.substring(text, 1, 4), century, year)
     well_formed = text.rlike("^[A-Z][a-z]{2}-[0-9]{2}$")
     return F.when(well_formed, F.try_to_timestamp(spelled, F.lit("dd-MMM-yyyy")).cast("date"))
 

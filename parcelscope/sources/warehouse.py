@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from parcelscope.functions.dates import month_of, shift_month
+from parcelscope.functions.dates import month_of, parse_label, shift_month
 from parcelscope.schema import ACC_FORM, CRF, MOM_HISTORY, RETURNREPORT, SALESREPORT
 from parcelscope.sources.tables import ShipmentTables
 
@@ -19,6 +19,11 @@ SCHEMAS = {
     "crf": CRF,
     "mom_history": MOM_HISTORY,
 }
+# Columns a table kept by someone else may lack; they read as null then.
+OPTIONAL = {
+    "salesreport": ("normal_fsc", "normal_other_charges", "weight_band", "master_origin"),
+    "crf": ("cust_type",),
+}
 
 
 def stored_schema(name: str) -> StructType:
@@ -80,6 +85,18 @@ def month_predicates(column: str, first: date, last: date) -> list[str]:
     return clauses
 
 
+def conform(frame: DataFrame, name: str) -> DataFrame:
+    """The columns and types of a logical table, from a table kept by someone else.
+
+    Months kept as text gain their first day; optional columns may be missing.
+    """
+    if name == "mom_history" and "month_start" not in frame.columns:
+        frame = frame.withColumn("month_start", parse_label("month"))
+    absent = [c for c in OPTIONAL.get(name, ()) if c not in frame.columns]
+    filled = frame.withColumns({c: F.lit(None) for c in absent}) if absent else frame
+    return filled.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]])
+
+
 def jdbc_table(
     spark: SparkSession,
     url: str,
@@ -97,5 +114,18 @@ def jdbc_table(
         )
     else:
         frame = spark.read.jdbc(url, name, properties=options)
-    schema = SCHEMAS[name]
-    return frame.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return conform(frame, name)
+
+
+def jdbc_tables(
+    spark: SparkSession,
+    url: str,
+    first: date,
+    last: date,
+    properties: dict[str, str] | None = None,
+    with_history: bool = True,
+) -> ShipmentTables:
+    """All tables over JDBC, the dated ones from the month of `first` to that of `last`."""
+    return ShipmentTables(
+        lambda name: jdbc_table(spark, url, name, first, last, properties), with_history
+    )

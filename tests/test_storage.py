@@ -4,6 +4,7 @@ from datetime import date
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from __spark_entry__ import PARAMS
 from parcelscope.catalog import REPORTS, display_types
@@ -11,13 +12,14 @@ from parcelscope.review import StagedTables, run_review, staging_folder
 from parcelscope.sinks.writers import write_per_customer
 from parcelscope.sources.tables import ShipmentTables
 from parcelscope.sources.warehouse import (
+    conform,
     read_table,
     refresh_history,
     stored_schema,
     warehouse_tables,
     write_table,
 )
-from tests.frames import returns, shipments
+from tests.frames import history, returns, shipments
 
 NAMES = ("salesreport", "returnreport", "acc_form", "crf")
 FIRST, LAST = date(2000, 4, 1), date(2000, 6, 1)
@@ -94,6 +96,19 @@ def test_a_return_dated_elsewhere_is_reported_and_still_counted(spark):
     assert tables.returns(date(2024, 1, 1), date(2024, 1, 31)).count() == 2
 
 
+def test_tables_kept_by_others_are_conformed(spark):
+    """Months as text, numbers as wider types, optional columns missing."""
+    plain = history(spark, {"month": "May-24", "shipments": 3}).drop("month_start")
+    row = conform(plain, "mom_history").first()
+    assert (row.month_start, row.shipments) == (date(2024, 5, 1), 3)
+    bare = spark.createDataFrame([("A", "a", 1)], "acc_no string, cust_name string, other int")
+    assert conform(bare, "crf").first().asDict() == {
+        "acc_no": "A", "cust_name": "a", "cust_type": None,
+    }
+    with pytest.raises(AnalysisException):
+        conform(bare, "acc_form")
+
+
 def test_staging_uses_the_clusters_folder():
     def session(settings):
         context = SimpleNamespace(applicationId="app-1")
