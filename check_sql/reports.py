@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import FORMS, MOM, RETURNS, SHIPMENTS, CUSTOMERS, double, pct, div, r
+from check_sql.base import FORMS, MOM, RETURNS, SHIPMENTS, CUSTOMERS, double, pct, div, r
 
 CUR, PREV, PREV1 = "DATE '2000-06-01'", "DATE '2000-05-01'", "DATE '2000-04-01'"
 WINDOW = "month_start BETWEEN DATE '2000-01-01' AND DATE '2000-06-01'"

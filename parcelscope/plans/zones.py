@@ -23,6 +23,35 @@ from parcelscope.operators.shares import whole_of
 from parcelscope.schema import ZONE_SLOTS
 
 
+# Row labels of the zone tables and the history columns they add up.
+RETURN_SHIPMENT_ROWS = {
+    "Return_Shipments": "ret_ship",
+    "WC": "r_s_wc",
+    "Zone_A": "r_s_za",
+    "Zone_B": "r_s_zb",
+    "Zone_C": "r_s_zc",
+    "With_charges": "r_s_chrg",
+    "With_no_charges": "r_s_nchrg",
+}
+WEIGHT_ROWS = {
+    "Normal_Weight": "n_wght",
+    "WC": "n_wght_wc",
+    "Zone_A": "n_wght_za",
+    "Zone_B": "n_wght_zb",
+    "Zone_C": "n_wght_zc",
+}
+RETURN_WEIGHT_ROWS = {
+    "Return_Weight": "r_wght",
+    "WC": "r_wght_wc",
+    "Zone_A": "r_wght_za",
+    "Zone_B": "r_wght_zb",
+    "Zone_C": "r_wght_zc",
+    "Wght_chrgs": "r_wght_chrg",
+    "Wght_no_chrgs": "r_wght_nchrg",
+}
+RETURN_REVENUE_ROWS = {"WC": "r_rev_wc", "Zone_A": "r_rev_za", "Zone_B": "r_rev_zb", "Zone_C": "r_rev_zc"}
+
+
 def _compared(
     by_month: DataFrame,
     measures: list[str],
@@ -61,47 +90,22 @@ def days_in(working_days: Mapping[date, int], month: Column | str = "month_start
 
 
 def return_shipments_by_zone(history: DataFrame, months: Mapping[str, date]) -> DataFrame:
-    columns = {
-        "Return_Shipments": "ret_ship",
-        "WC": "r_s_wc",
-        "Zone_A": "r_s_za",
-        "Zone_B": "r_s_zb",
-        "Zone_C": "r_s_zc",
-        "With_charges": "r_s_chrg",
-        "With_no_charges": "r_s_nchrg",
-    }
-    sums = _zone_sums(history, months, columns | {"shipments": "shipments"})
-    return _compared(sums, list(columns), F.col("shipments"), months, round_values=False)
+    sums = _zone_sums(history, months, RETURN_SHIPMENT_ROWS | {"shipments": "shipments"})
+    return _compared(sums, list(RETURN_SHIPMENT_ROWS), F.col("shipments"), months, round_values=False)
 
 
 def weight_by_zone(
     history: DataFrame, months: Mapping[str, date], working_days: Mapping[date, int]
 ) -> DataFrame:
-    columns = {
-        "Normal_Weight": "n_wght",
-        "WC": "n_wght_wc",
-        "Zone_A": "n_wght_za",
-        "Zone_B": "n_wght_zb",
-        "Zone_C": "n_wght_zc",
-    }
     daily = F.coalesce(rounded(ratio("Normal_Weight", days_in(working_days))), F.lit(0.0))
-    sums = _zone_sums(history, months, columns).withColumn("per_working_day", daily)
-    measures = [*columns, "per_working_day"]
+    sums = _zone_sums(history, months, WEIGHT_ROWS).withColumn("per_working_day", daily)
+    measures = [*WEIGHT_ROWS, "per_working_day"]
     return _compared(sums, measures, F.col("Normal_Weight"), months, round_values=True)
 
 
 def return_weight_by_zone(history: DataFrame, months: Mapping[str, date]) -> DataFrame:
-    columns = {
-        "Return_Weight": "r_wght",
-        "WC": "r_wght_wc",
-        "Zone_A": "r_wght_za",
-        "Zone_B": "r_wght_zb",
-        "Zone_C": "r_wght_zc",
-        "Wght_chrgs": "r_wght_chrg",
-        "Wght_no_chrgs": "r_wght_nchrg",
-    }
-    sums = _zone_sums(history, months, columns)
-    return _compared(sums, list(columns), F.col("Return_Weight"), months, round_values=True)
+    sums = _zone_sums(history, months, RETURN_WEIGHT_ROWS)
+    return _compared(sums, list(RETURN_WEIGHT_ROWS), F.col("Return_Weight"), months, round_values=True)
 
 
 def _zone_rows(
@@ -193,9 +197,8 @@ def revenue_by_zone_cod(
     return _zone_report(rows, zone_line, total_lines, "revenue")
 
 
-# The seven measures of the destination-day matrix and how each counts a
-# shipment with several returns: once per joined row, or once per numbered return.
 def _matrix_measures() -> dict[str, Column]:
+    """A shipment with several returns counts once per joined row, or per numbered return."""
     joined = F.greatest(F.col("return_rows"), F.lit(1))
     returned = F.col("returned_rows")
     return {
@@ -229,9 +232,8 @@ def dest_day_zone_matrix(sums: DataFrame) -> DataFrame:
 
 
 def return_revenue_by_zone(matrix: DataFrame, months: Mapping[str, date]) -> DataFrame:
-    columns = {"WC": "r_rev_wc", "Zone_A": "r_rev_za", "Zone_B": "r_rev_zb", "Zone_C": "r_rev_zc"}
     dated = matrix.withColumn("month_start", month_of("normal_cn_date"))
-    whole = sum((F.col(label) for label in list(columns)[1:]), F.col("WC"))
-    sums = _zone_sums(dated, months, columns).withColumn("Total_Ret_Revenue", whole)
-    measures = ["Total_Ret_Revenue", *columns]
+    whole = sum((F.col(label) for label in list(RETURN_REVENUE_ROWS)[1:]), F.col("WC"))
+    sums = _zone_sums(dated, months, RETURN_REVENUE_ROWS).withColumn("Total_Ret_Revenue", whole)
+    measures = ["Total_Ret_Revenue", *RETURN_REVENUE_ROWS]
     return _compared(sums, measures, F.col("Total_Ret_Revenue"), months, round_values=False)
