@@ -111,17 +111,24 @@ def return_weight_by_zone(history: DataFrame, months: Mapping[str, date]) -> Dat
 def _zone_rows(
     shipments: DataFrame, months: Mapping[str, date], measures: Mapping[str, Column]
 ) -> DataFrame:
-    """Per zone type and over all of them, each measure as `<name>_prev` and `<name>_cur`."""
-    sums = []
-    for name, measure in measures.items():
-        for role, month in months.items():
-            in_month = F.col("month_start") == F.lit(month)
-            sums.append(total_when(in_month, measure).cast("double").alias(f"{name}_{role}"))
+    """Per zone type and over all of them, each measure as `<name>_prev` and `<name>_cur`.
+
+    The shipments are summed per zone type first; the roll-up doubles only those few rows.
+    """
+    names = {f"{name}_{role}": (m, month) for name, m in measures.items() for role, month in months.items()}
+    sums = [
+        total_when(F.col("month_start") == F.lit(month), measure).alias(name)
+        for name, (measure, month) in names.items()
+    ]
     return (
         shipments.where(F.col("month_start").isin(*months.values()))
-        .withColumn("dest_zone_type", zone_type())
+        .groupBy(zone_type().alias("dest_zone_type"))
+        .agg(*sums)
         .rollup("dest_zone_type")
-        .agg(F.grouping("dest_zone_type").cast("boolean").alias("is_total"), *sums)
+        .agg(
+            F.grouping("dest_zone_type").cast("boolean").alias("is_total"),
+            *[total(name).cast("double").alias(name) for name in names],
+        )
         .where(F.col("is_total") | F.col("dest_zone_type").isNotNull())
     )
 
