@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, which their Python may not have on its path."""
+    context = spark.sparkContext
+    if getattr(context, "_parcelscope_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="parcelscope-")) / "parcelscope-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._parcelscope_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`. Only a local session without one gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

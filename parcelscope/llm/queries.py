@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import language_id
-from parcelscope.llm.common import held_out, table
+from parcelscope.llm import language_id, toxicity
+from parcelscope.llm.common import held_out, ship_package, table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +18,28 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(rows, language_id.train(training)).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    rows = docs.withColumn("held_out", held_out(F.col("doc_id")))
+    scored = toxicity.score(rows, toxicity.train(docs, labels))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_language_id": op1_language_id,
+    query.__name__: _shipped(query)
+    for query in (
+        op1_language_id,
+        op2_toxicity,
+    )
 }
 
 ORACLES: dict[str, str] = {}
