@@ -55,3 +55,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def held_out(key: Column) -> Column:
     """True where crc32 of the key as text leaves 0 modulo 5; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, id, text) of `docs` with a row number that is unique and not null.
+
+    Where the ids are so, they are the row numbers. Else rows are numbered and written first, so that
+    the numbers stay the same whenever a task is run again.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    clash = rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1 or id is null")
+    if clash.isEmpty():
+        return rows.select(F.col("id").alias("row"), "id", "text")
+    return staged(rows.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
