@@ -68,3 +68,10 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if clash.isEmpty():
         return rows.select(F.col("id").alias("row"), "id", "text")
     return staged(rows.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
+
+
+def open_store(uri: str):
+    """(file system, path) of a folder that tasks write their own files to."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)

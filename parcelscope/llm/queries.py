@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import chat_format, language_id, simhash, substring_dedup, toxicity
+from parcelscope.llm import bpe, chat_format, language_id, simhash, substring_dedup, token_records, toxicity
 from parcelscope.llm.common import held_out, ship_package, table
 
 
@@ -41,6 +41,20 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows.union(more)))
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.write_and_read(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -57,6 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_simhash,
         op4_substring_dedup,
         op5_chat_format,
+        op9_token_records,
+        op10_bpe,
     )
 }
 
