@@ -4,9 +4,14 @@ A fingerprint of 64 bits is cut into segments of 23, 23 and 18 bits. The (23, 12
 perfect: every 23-bit word lies within 3 bits of exactly one codeword, whose 12-bit index is the
 word's centre. The centres of a word and of its 23 one-bit neighbours are its reach, at most six
 different indices; two segments that differ in at most one bit have the centre of the one in the
-reach of the other. Of 3 differing bits, at least two of the three segments hold at most one each,
-so for each pair of segments a fingerprint puts down the keys (reach, centre) and (centre, reach):
-two fingerprints that link meet under a key of one such pair, and random ones under one key in 2^24.
+reach of the other. Spread 3 differing bits over three segments: either one segment is equal and
+another differs in at most one bit, or each differs in exactly one. So the keys of a fingerprint are
+
+    one segment and the centre of another; one segment and the reach of another (all six orders)
+    reach, centre, centre of the three; centre, reach, reach of the three
+
+and of two fingerprints that link, a key of the one is a key of the other. Keys have 30 bits or
+more (23 + 12, 18 + 12 or 36), so that unlike fingerprints rarely meet, at any size of the corpus.
 
 Fingerprints that share a key are compared exactly. A key's fingerprints are searched breadth first,
 and only the edges of a spanning forest leave: as many components as with all pairs, but never more
@@ -29,7 +34,8 @@ from parcelscope.llm.common import staged
 from parcelscope.llm.components import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit, bits
-PAIRS = ((0, 1), (0, 2), (1, 2))
+ORDERS = ((0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1))  # the equal segment, the near one
+_KIND = 36  # bits of a key below its kind
 MAX_DISTANCE = 3
 MAX_BUCKET = 4096
 SEED = 42
@@ -130,17 +136,26 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     words = [((unsigned >> np.uint64(a)) & np.uint64((1 << n) - 1)).astype(np.int64) for a, n in SEGMENTS]
     centres, reaches = [centre(w) for w in words], [np.sort(reach(w), axis=1) for w in words]
     fresh = [np.diff(r, axis=1, prepend=-1) != 0 for r in reaches]
+    near = [np.nonzero(f) for f in fresh]  # (fingerprint, column of its reach)
     rows, found = [], []
-    for p, (i, j) in enumerate(PAIRS):
-        row, col = np.nonzero(fresh[i])
-        rows.append(row)
-        found.append((p << 24) | (reaches[i][row, col] << 12) | centres[j][row])
-        row, col = np.nonzero(fresh[j])
+    for kind, (same, other) in enumerate(ORDERS):
+        # The centre is in the reach, so these are both sorts of keys.
+        row, col = near[other]
         rows.append(row)
-        found.append((p << 24) | (centres[i][row] << 12) | reaches[j][row, col])
-    row, key = np.concatenate(rows), np.concatenate(found)
-    both = np.unique(row.astype(np.int64) << 26 | key)
-    return both >> 26, both & ((1 << 26) - 1)
+        found.append(kind << _KIND | words[same][row] << 12 | reaches[other][row, col])
+    kind = len(ORDERS)
+    row, col = near[0]
+    rows.append(row)
+    found.append(kind << _KIND | reaches[0][row, col] << 24 | centres[1][row] << 12 | centres[2][row])
+    row, one, two = np.nonzero(fresh[1][:, :, None] & fresh[2][:, None, :])
+    rows.append(row)
+    found.append(kind << _KIND | centres[0][row] << 24 | reaches[1][row, one] << 12 | reaches[2][row, two])
+    row, key = np.concatenate(rows).astype(np.int64), np.concatenate(found)
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+    return row[new], key[new]
 
 
 # --- links ----------------------------------------------------------------------------------
@@ -164,10 +179,10 @@ def forest(fps: np.ndarray) -> Iterator[tuple[int, int]]:
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps = batch.column(0).to_numpy()
-        for start in range(0, len(fps), 8192):
-            part = fps[start : start + 8192]
+        for start in range(0, len(fps), 4096):
+            part = fps[start : start + 4096]
             row, key = keys(part)
-            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(part[row])], ["key", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], ["key", "fp"])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +207,7 @@ def links(fps: DataFrame) -> DataFrame:
 
     `fps` has one column fp of different fingerprints.
     """
-    rows = staged(fps.select("fp").mapInArrow(_key_rows, "key int, fp long"), "golay-keys")
+    rows = staged(fps.select("fp").mapInArrow(_key_rows, "key long, fp long"), "golay-keys")
     counts = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(MAX_BUCKET)).cast("int")
     # A small key is one group. A large one is cut into blocks, and every pair of blocks is a group.
