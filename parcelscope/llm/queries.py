@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import bpe, chat_format, language_id, simhash, substring_dedup, token_records, toxicity, warc
+from parcelscope.llm import ann, bpe, chat_format, language_id, simhash, substring_dedup, token_records, toxicity, warc
 from parcelscope.llm.common import held_out, ship_package, table
 
 
@@ -47,6 +47,10 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.write_and_read(table(spark, sf_dir, "pages"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_simhash,
         op4_substring_dedup,
         op5_chat_format,
+        op6_ann,
         op7_warc,
         op9_token_records,
         op10_bpe,
