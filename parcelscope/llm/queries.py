@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import ann, bpe, chat_format, language_id, simhash, substring_dedup, token_records, toxicity, warc
+from parcelscope.llm import ann, bpe, chat_format, decontaminate, language_id, simhash, substring_dedup, token_records, toxicity, warc
 from parcelscope.llm.common import held_out, ship_package, table
 
 
@@ -41,6 +41,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows.union(more)))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_chat_format,
         op6_ann,
         op7_warc,
+        op8_decontaminate,
         op9_token_records,
         op10_bpe,
     )
