@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 _END = "\n"  # stands for the suffix; it is no character of the byte alphabet
 _NEVER = math.inf
-_CACHED_RUNS = 400_000
+_CACHED_RUNS = 600_000
 
 
 def byte_alphabet() -> list[str]:
@@ -194,11 +194,17 @@ class _Runs(dict):
         return value
 
 
+@lru_cache(maxsize=2)
+def _known_runs(path: str) -> _Runs:
+    """One table for all tasks of a worker process."""
+    return _Runs(vocabulary(path))
+
+
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _Runs(vocabulary(path))
+        runs = _known_runs(path)
         for batch in batches:
             rows = [
                 np.array(b" ".join([ids for ids, _ in map(runs.__getitem__, (t.as_py() or "").encode().split()) if ids]).split(), dtype=np.int32)
@@ -213,7 +219,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _Runs(vocabulary(path))
+        runs = _known_runs(path)
         for batch in batches:
             counts, ids_hex, decoded_hex = [], [], []
             for text in batch.column(1):
