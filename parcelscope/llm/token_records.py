@@ -25,9 +25,11 @@ in a bounded table, as most come again. Null and empty texts have the end id onl
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,8 +42,8 @@ from pyspark.sql import functions as F
 from parcelscope.llm.common import fresh_folder, open_store
 
 _MASK = 0xA282EAD8  # fixed value of the checksum mask
-_CACHED_RUNS = 500_000
-_BLANKS = frozenset(" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0")
+_CACHED_RUNS = 1_000_000
+_BARE_BLANK = re.compile(r" (?:\s|\Z)")  # a blank before white space or at the end
 
 
 def masked_crc(data: bytes) -> int:
@@ -104,41 +106,51 @@ def _tokenizer(path: str):
 
 
 class _Runs(dict):
-    """Run of text -> its ids as bytes of the given width."""
+    """Run of text, without the blank before it -> ids of the blank and the run, as bytes of the given width."""
 
     def __init__(self, path: str, width: int):
-        self.tokenizer, self.kind = _tokenizer(path), f"<u{width}"
+        self.tokenizer, self.code = _tokenizer(path), {2: "H", 4: "I"}[width]
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if text else b""
 
     def learn(self, runs: list[str]) -> None:
-        fresh = list({r for r in runs if r not in self})
+        fresh = list(set(runs))
         if len(self) + len(fresh) > _CACHED_RUNS:
             self.clear()
-            fresh = list(set(runs))
         for start in range(0, len(fresh), 10_000):
             part = fresh[start : start + 10_000]
-            for run, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self[run] = np.array(found.ids, dtype=self.kind).tobytes()
+            found = self.tokenizer.encode_batch_fast([" " + r for r in part], add_special_tokens=False)
+            self.update(zip(part, [self.packed(f.ids) for f in found]))
+
+
+@lru_cache(maxsize=2)
+def _known_runs(path: str, width: int) -> _Runs:
+    """One table for all tasks of a worker process."""
+    return _Runs(path, width)
 
 
 def split_runs(text: str) -> list[str] | None:
-    """Runs that begin at a blank followed by a visible character; None if other white space is in the way."""
-    first, *rest = text.split(" ")
-    if any(not r or r[0] in _BLANKS or r[0] > "က" and r[0].isspace() for r in rest):
-        return None
-    return [first, *(" " + r for r in rest)] if first else [" " + r for r in rest]
+    """The text at its blanks; None if a blank stands before other white space."""
+    return None if _BARE_BLANK.search(text) else text.split(" ")
 
 
 def _encoded(texts: list[str], runs: _Runs, width: int, end_id: int) -> Iterator[np.ndarray]:
     split = [split_runs(t) for t in texts]
-    runs.learn([r for s in split if s for r in s])
-    end = np.array([end_id], dtype=f"<u{width}").tobytes()
-    for text, parts in zip(texts, split):
+    known = [s and list(map(runs.get, s[1:])) for s in split]
+    runs.learn([r for s, k in zip(split, known) if s and None in k for r, ids in zip(s[1:], k) if ids is None])
+    end = runs.packed([end_id])
+    for text, parts, found in zip(texts, split, known):
         if parts is None:
-            ids = runs.tokenizer.encode(text, add_special_tokens=False).ids
-            data = np.array(ids, dtype=f"<u{width}").tobytes()
+            data = runs.encode(text) + end
         else:
-            data = b"".join(map(runs.__getitem__, parts))
-        yield np.frombuffer(data + end, dtype=f"<u{width}")
+            if None in found:
+                found = [runs[r] if ids is None else ids for r, ids in zip(parts[1:], found)]
+            data = b"".join((runs.encode(parts[0]), *found, end))
+        yield np.frombuffer(data, dtype=f"<u{width}")
 
 
 def write(
@@ -152,7 +164,7 @@ def write(
         store, root = open_store(folder)
         shard = f"shard-{TaskContext.get().partitionId():06d}"
         mine = f"{root}/.{shard}-{uuid.uuid4().hex}"
-        out, offsets, at, n_ids, runs = None, [], 0, 0, _Runs(tokenizer_path, width)
+        out, offsets, at, n_ids, runs = None, [], 0, 0, _known_runs(tokenizer_path, width)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
