@@ -20,6 +20,7 @@ import hashlib
 import json
 import math
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -180,14 +181,14 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class _Runs(dict):
-    """Run of text -> (ids as decimal text, decoded text), both empty where it has no token."""
+    """Run of text -> (ids as decimal text, decoded text, packed ids), all empty where it has no token."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
 
-    def __missing__(self, run: bytes) -> tuple[bytes, bytes]:
+    def __missing__(self, run: bytes) -> tuple[bytes, bytes, bytes]:
         ids = self.vocab.encode(run.decode("utf-8"))
-        value = (" ".join(map(str, ids)).encode(), self.vocab.decode(ids).encode())
+        value = (" ".join(map(str, ids)).encode(), self.vocab.decode(ids).encode(), array("i", ids).tobytes())
         if len(self) >= _CACHED_RUNS:
             self.clear()
         self[run] = value
@@ -200,36 +201,29 @@ def _known_runs(path: str) -> _Runs:
     return _Runs(vocabulary(path))
 
 
-def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids) of every row."""
+def encode_texts(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row; with_ids: also ids, the token ids themselves."""
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = _known_runs(path)
         for batch in batches:
-            rows = [
-                np.array(b" ".join([ids for ids, _ in map(runs.__getitem__, (t.as_py() or "").encode().split()) if ids]).split(), dtype=np.int32)
-                for t in batch.column(1)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["id", "ids"])
-
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
-
-
-def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _known_runs(path)
-        for batch in batches:
-            counts, ids_hex, decoded_hex = [], [], []
+            counts, ids_hex, decoded_hex, packed = [], [], [], []
             for text in batch.column(1):
                 found = [r for r in map(runs.__getitem__, (text.as_py() or "").encode().split()) if r[0]]
                 ids = b" ".join([r[0] for r in found])
                 counts.append(ids.count(b" ") + 1 if ids else 0)
                 ids_hex.append(hashlib.sha256(ids).hexdigest())
                 decoded_hex.append(hashlib.sha256(b" ".join([r[1] for r in found])).hexdigest())
+                if with_ids:
+                    packed.append(b"".join([r[2] for r in found]))
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(decoded_hex, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            if with_ids:
+                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "ids"] if with_ids else names)
 
-    schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, schema).withColumnRenamed("id", id_col)

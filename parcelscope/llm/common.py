@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -57,17 +58,29 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, id, text) of `docs` with a row number that is unique and not null.
+def numbered(docs: DataFrame, id_col: str, name: str = "row") -> DataFrame:
+    """`docs` with a further column `name`, a row number that is unique and not null.
 
     Where the ids are so, they are the row numbers. Else rows are numbered and written first, so that
     the numbers stay the same whenever a task is run again.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    clash = rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1 or id is null")
+    key = F.col(id_col).cast("long")
+    clash = docs.groupBy(key.alias("id")).agg(F.count("*").alias("n")).filter("n > 1 or id is null")
     if clash.isEmpty():
-        return rows.select(F.col("id").alias("row"), "id", "text")
-    return staged(rows.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
+        return docs.withColumn(name, key)
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, id, text) of `docs` with a row number that is unique and not null."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return numbered(rows, "id").select("row", "id", "text")
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps whose results have been written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def open_store(uri: str):

@@ -64,7 +64,7 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelscope.llm.common import keyed_texts, staged
+from parcelscope.llm.common import keyed_texts, release_shuffles, staged
 
 WINDOW = 35
 PERIOD = 21
@@ -177,7 +177,9 @@ def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """(row, positions) of the rows whose key has weight 2 or more."""
     weight = F.sum("weight").over(Window.partitionBy(*keys))
     found = rows.withColumn("total", weight).filter("total >= 2")
-    return staged(found.groupBy("row").agg(F.collect_list("pos").alias("positions")), name)
+    out = staged(found.groupBy("row").agg(F.collect_list("pos").alias("positions")), name)
+    release_shuffles(out.sparkSession)
+    return out
 
 
 def covered(n_words: int, starts: np.ndarray) -> np.ndarray:
@@ -225,6 +227,7 @@ def repeated_passages(texts: DataFrame) -> DataFrame:
     candidates = _repeated(anchors, ["key"], "anchors")
     # From here on only the texts with a repeated anchor move.
     narrowed = staged(texts.join(candidates, "row").select("row", "id", "text", "positions"), "candidates")
+    release_shuffles(narrowed.sparkSession)
     passages = narrowed.select("row", "text", "positions").mapInArrow(_passage_rows, "key long, key2 long, row long, pos int, weight int")
     starts = _repeated(passages, ["key", "key2"], "passages")
     return narrowed.select("row", "id", "text").join(starts, "row")
