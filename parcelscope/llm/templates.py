@@ -333,12 +333,12 @@ def _fold(node: Any, filters: Mapping[str, Callable]) -> Any:
     if isinstance(node, list):
         out: list = []
         for n in (_fold(n, filters) for n in node):
-            if isinstance(n, If) and not n.branches:
-                out += n.other
-            elif isinstance(n, Show) and isinstance(n.value, Const) and out and isinstance(out[-1], Show) and isinstance(out[-1].value, Const):
-                out[-1] = Show(Const(_text(out[-1].value.value) + _text(n.value.value)))
-            else:
-                out.append(n)
+            for part in n.other if isinstance(n, If) and not n.branches else [n]:
+                before = out[-1] if out else None
+                if all(isinstance(x, Show) and isinstance(x.value, Const) for x in (before, part)):
+                    out[-1] = Show(Const(_text(before.value.value) + _text(part.value.value)))
+                else:
+                    out.append(part)
         return out
     match node:
         case Item(base, key):

@@ -1,0 +1,190 @@
+"""BPE, token records and WARC: exact against the library, exact round trips."""
+
+import gzip
+import hashlib
+import io
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from parcelscope.llm import bpe, token_records, warc
+from parcelscope.llm.common import fresh_folder, open_store, ship_package
+from parcelscope.llm.queries import QUERIES, tokenizer_path
+
+SF = "/root/testdata/sf0.001"
+WORD, BYTE = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
+BITS = [
+    "a", "b", "aa", "aaa", "the", "ing", "e", "'s", "'T", " ", "  ", "\n", "1", "22", "!", "!!", "?", "<|endoftext|>", "<|startoftext|>", "é",
+    "É", "é", "Σ", "ας", "ΑΣ", "İ", "ß", "日本", "\xa0", "\x85", "\x1c", "\t", "　", "😀", "ﬁ", "́", "zz", "Th", "tion", "\x00",
+]
+
+
+@pytest.fixture(scope="module")
+def spark(spark):
+    ship_package(spark)
+    return spark
+
+
+def odd_texts(seed, n, most=14):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(BITS) for _ in range(rng.randint(0, most))) for _ in range(n)]
+
+
+def test_bpe_equals_library():
+    vocab, library = bpe.vocabulary(WORD), Tokenizer.from_file(WORD)
+    texts = odd_texts(1, 4000) + ["a" * n for n in range(40)] + ["ab" * 30, "th" * 50, "in" * 41 + "g"]
+    for text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert vocab.encode(text) == ids, text
+        assert vocab.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    assert vocab.decode([10**9, -1]) == ""
+
+
+def test_bpe_texts(spark):
+    library = Tokenizer.from_file(WORD)
+    texts = odd_texts(2, 300) + [None, "", " \n", "word " * 50_000]
+    frame = spark.createDataFrame([(i % 290 or None, t, 1) for i, t in enumerate(texts)], "doc_id int, text string, n_tokens int")
+    got = sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256, tuple(r.ids)) for r in bpe.encode_texts(frame, WORD, with_ids=True).collect())
+    expected = []
+    for text in texts:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        said = library.decode(ids, skip_special_tokens=False)
+        expected.append((len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(said.encode()).hexdigest(), tuple(ids)))
+    assert got == sorted(expected)
+    assert bpe.encode_texts(frame.limit(0), WORD).count() == 0
+    assert QUERIES["op10_bpe"](spark, SF).count() == 200
+
+
+def expected_records(rows):
+    library, start, out = Tokenizer.from_file(BYTE), 0, []
+    for doc_id, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_token_records(spark, monkeypatch):
+    monkeypatch.setattr(token_records, "_CACHED_RUNS", 500)
+    texts = odd_texts(3, 500, 30) + ["", None, "long " * 40_000]
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(random.Random(4).sample(rows, len(rows)), "doc_id long, text string").repartition(5)
+    folder = fresh_folder(spark, "records")
+    manifest = token_records.write(frame, folder, BYTE)
+    assert sorted(map(tuple, token_records.read(spark, folder).collect())) == expected_records(rows)
+    assert sum(m["n_docs"] for m in manifest) == len(rows)
+    # The index leads to each record of a shard.
+    store, root = open_store(folder)
+    shard = manifest[0]
+    with store.open_input_file(f"{root}/{shard['shard']}.index") as file:
+        offsets = token_records.read_index(file.read())
+    with store.open_input_file(f"{root}/{shard['shard']}.records") as file:
+        file.seek(int(offsets[len(offsets) // 2]))
+        doc_id, ids = token_records.parse_payload(token_records.read_frame(file))
+    assert expected_records(rows)[doc_id][2] == len(ids)
+
+
+def test_token_records_of_odd_ids(spark):
+    rows = [(None, "n"), (None, "b"), (3, "c c"), (3, "a"), (3, "a"), (-5, None)]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, start int")
+    got = sorted(map(tuple, token_records.write_and_read(frame, BYTE).collect()), key=lambda r: r[1])
+    assert got == expected_records([(None, "b"), (None, "n"), (-5, None), (3, "a"), (3, "a"), (3, "c c")])
+    assert token_records.write_and_read(frame.limit(0), BYTE).count() == 0
+
+
+def test_damaged_records_are_found():
+    record = bytearray(token_records.frame(token_records.payload(1, np.arange(5), 2)))
+    assert token_records.parse_payload(token_records.read_frame(io.BytesIO(bytes(record))))[1].tolist() == [0, 1, 2, 3, 4]
+    for at in (0, 9, 15, len(record) - 1):
+        broken = record.copy()
+        broken[at] ^= 1
+        with pytest.raises(ValueError):
+            token_records.read_frame(io.BytesIO(bytes(broken)))
+
+
+def test_token_records_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    got = sorted(map(tuple, QUERIES["op9_token_records"](spark, SF).collect()))
+    assert got == expected_records([(d.doc_id, d.text) for d in docs])
+
+
+# --- WARC -----------------------------------------------------------------------------------
+
+BIG = "<p>é" + "x" * 1500
+
+
+def expected_pages(rows):
+    best = {}
+    for page, html in rows:
+        data = (html or "").encode()
+        if len(data) >= 1000 and page is not None:
+            best[data] = max(best.get(data, page), page)
+    out, used = [], set()
+    for page, html in rows:
+        data = (html or "").encode()
+        target = best.get(data, page)
+        first = target == page and (page, data) not in used or len(data) < 1000
+        used.add((page, data))
+        out.append((page, len(data), hashlib.sha1(data).hexdigest(), "response" if first else "revisit", None if first else target))
+    return out
+
+
+def order(rows):
+    return sorted(rows, key=lambda r: tuple((x is None, x if x is not None else 0) if not isinstance(x, str) else x for x in r))
+
+
+def test_warc_edge_cases(spark):
+    rows = [(5, BIG), (9, BIG), (7, BIG), (1, "short"), (2, "short"), (3, None), (4, ""), (11, BIG + "y"), (9, BIG), (40_000_000, "z" * 1000), (41, "z" * 1000), (42, "z" * 999), (43, "z" * 999)]
+    frame = spark.createDataFrame([(p, None if p == 1 else f"http://x/ {p}", h, 0) for p, h in rows], "page_id long, url string, html string, n int")
+    got = warc.write_and_read(frame).collect()
+    assert order(map(tuple, got)) == order(expected_pages(rows))
+    assert warc.write_and_read(frame.limit(0)).count() == 0
+
+
+def test_warc_null_page(spark):
+    frame = spark.createDataFrame([(None, "u", BIG), (3, "u", BIG)], "page_id long, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.write_and_read(frame).collect()}
+    assert got == {3: ("response", None), None: ("revisit", 3)}
+
+
+def files(spark, frame, **sizes):
+    folder = fresh_folder(spark, "warc")
+    manifest = warc.write(frame, folder, **sizes)
+    store, root = open_store(folder)
+    out = {}
+    for m in manifest:
+        with store.open_input_stream(f"{root}/{m['file']}", compression=None) as file:
+            out[m["file"]] = file.read()
+        assert hashlib.sha256(out[m["file"]]).hexdigest() == m["sha256"]
+    return out, manifest, folder
+
+
+def test_warc_files_are_the_same_however_rows_lie(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    sizes = {"shard_bytes": (60_000, 60_000), "roll_bytes": 8_000}
+    one, manifest, folder = files(spark, pages.repartition(3), **sizes)
+    two, _, _ = files(spark, pages.orderBy("url").repartition(7), **sizes)
+    assert one == two and len({m["shard"] for m in manifest}) > 2 and max(m["part"] for m in manifest) > 0
+    records = [r for name in sorted(one) for r in warc.members(io.BytesIO(one[name]))]
+    assert b"".join(records) == b"".join(gzip.decompress(one[name]) for name in sorted(one))
+    ids = [warc.parse_record(r)["page_id"] for r in records]
+    assert ids == sorted(ids) and len(ids) == pages.count()
+    html = {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, folder, payloads=True).collect() if r.payload is not None}
+    assert html == {r.page_id: r.html for r in pages.collect() if r.page_id in html}
+
+
+def test_damaged_warc_is_found():
+    data = warc.record_bytes(1, 0, "u", b"payload", None)
+    assert warc.parse_record(data)["payload"] == b"payload"
+    with pytest.raises(ValueError):
+        warc.parse_record(data.replace(b"payload\r\n", b"PAYLOAD\r\n"))
+    with pytest.raises(ValueError):
+        list(warc.members(io.BytesIO(warc.member(data)[:-5])))
+
+
+def test_warc_query(spark):
+    pages = [(r.page_id, r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    assert order(map(tuple, QUERIES["op7_warc"](spark, SF).collect())) == order(expected_pages(pages))
