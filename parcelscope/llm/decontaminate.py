@@ -38,6 +38,7 @@ WINDOWS = (3, 6)  # blocks of a window: hold parts of up to 33 and 81 words wher
 RANK, OVERSAMPLE = 40, 8  # latent dimensions from the corpus
 ITEM_RANK = 256  # and at most so many from the benchmark
 COSINE = 0.4
+COMMON = 0.2  # terms in more than this share of the passages have no weight
 SURE, LIKELY, ANSWER = 0.75, 0.6, 0.8
 MIN_WORDS, PART, MAX_TERMS = 6, 64, 200_000
 _SEED = 8
@@ -170,6 +171,8 @@ def _range(known: DataFrame, idf: np.ndarray) -> np.ndarray:
         random = np.random.default_rng(_SEED).standard_normal((n_terms, width)).astype(np.float32) * idf[:, None]
         total = np.zeros((n_terms, width), dtype=np.float64)
         for _, row, block, terms in _slices(batches):
+            heavy = idf[terms] > 0
+            row, block, terms = row[heavy], block[heavy], terms[heavy]
             if not len(terms):
                 continue
             passage = _passages(row, block)
@@ -193,6 +196,17 @@ def _range(known: DataFrame, idf: np.ndarray) -> np.ndarray:
     return out
 
 
+def weights(bench: Benchmark, frequency: np.ndarray, n_passages: int) -> np.ndarray:
+    """Inverse document frequency of each term; 0 for common terms, but for those of items that are mostly made of them."""
+    idf = np.log((1 + n_passages) / (1 + frequency)).astype(np.float32) + np.float32(0.05)
+    common = frequency > COMMON * n_passages
+    for part in bench.parts:
+        if common[part.words].mean() > 0.5:
+            common[part.words] = False
+    idf[common] = 0
+    return idf
+
+
 def latent_basis(items: np.ndarray, corpus: np.ndarray) -> np.ndarray:
     """Orthonormal columns (terms x rank) that span the items and the corpus's main directions."""
     own = items.T.astype(np.float64)
@@ -229,6 +243,7 @@ def is_leak(part: Part, window: list[int]) -> tuple[bool, float]:
 @dataclass
 class _Search:
     parts: list[Part]
+    idf: np.ndarray
     basis: np.ndarray  # terms x rank, rows weighted by idf
     items: np.ndarray  # rank x parts, unit columns
 
@@ -238,12 +253,14 @@ def _matches(search: _Search, block: np.ndarray, terms: np.ndarray) -> Iterator[
     if not len(terms):
         return
     # A window is a sum of blocks, so terms are projected once, by block.
-    first = np.flatnonzero(np.diff(block, prepend=-1))
+    heavy = search.idf[terms] > 0
+    at, weighed = block[heavy], terms[heavy]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
     latent = np.zeros((int(block[-1]) + max(WINDOWS) + 1, search.basis.shape[1]), dtype=np.float32)
     for k in range(0, len(first), 1024):
-        stop = first[k + 1024] if k + 1024 < len(first) else len(terms)
+        stop = first[k + 1024] if k + 1024 < len(first) else len(weighed)
         part = first[k : k + 1024]
-        latent[block[part]] = np.add.reduceat(search.basis[terms[part[0] : stop]], part - part[0], axis=0)
+        latent[at[part]] = np.add.reduceat(search.basis[weighed[part[0] : stop]], part - part[0], axis=0)
     lengths = np.array([len(p.words) for p in search.parts])
     before = 0
     for size in WINDOWS:
@@ -283,12 +300,12 @@ def leaks(
         return spark.createDataFrame([], f"{id_col} long, item_id long, ratio double, cosine double")
     known = staged(known_terms(docs, bench.terms, id_col, text_col), "terms")
     frequency, n_passages = _frequencies(known, len(bench.terms))
-    idf = np.log((1 + n_passages) / (1 + frequency)).astype(np.float32) + np.float32(0.05)
+    idf = weights(bench, frequency, n_passages)
     items = bench.vectors(idf)
     basis = latent_basis(items, _range(known, idf))
     projected = items @ basis
     projected /= np.maximum(np.linalg.norm(projected, axis=1), 1e-9)[:, None]
-    shared = spark.sparkContext.broadcast(_Search(bench.parts, basis * idf[:, None], np.ascontiguousarray(projected.T)))
+    shared = spark.sparkContext.broadcast(_Search(bench.parts, idf, basis * idf[:, None], np.ascontiguousarray(projected.T)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = shared.value
