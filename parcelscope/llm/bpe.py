@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 _END = "\n"  # stands for the suffix; it is no character of the byte alphabet
 _NEVER = math.inf
 _CACHED_RUNS = 600_000
+_CACHED_WORDS = 400_000
 
 
 def byte_alphabet() -> list[str]:
@@ -87,7 +88,8 @@ class Vocabulary:
         ordered = [names.get(i, "") for i in range(max(names) + 1)]
         self.text = "".join(ordered)
         self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in ordered])]).tolist()
-        self.letters = byte_alphabet()
+        self.letters = dict(enumerate(byte_alphabet()))
+        self.words: dict[str, list[int]] = {}
         self.fits: dict[tuple[int, int], bool] = {}
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
@@ -130,43 +132,52 @@ class Vocabulary:
         """Ids of one word, as written in the byte alphabet."""
         text = word + _END
         at: list[list[tuple[int, int]]] = [[] for _ in text]
-        for last, (length, token) in self.automaton.iter(text):
-            at[last - length + 1].append((length, token))
-        for found in at:
-            found.sort(reverse=True)
+        for last, found in self.automaton.iter(text):
+            at[last - found[0] + 1].append(found)  # ends come in order, so the longest is the last
         out: list[int] = []
-        tries: list[int] = [0]  # how far the choices at each position of the path are used up
-        place: list[int] = [0]
+        place, left = [0], [len(at[0])]  # the path, and how many choices are left at each of its positions
         dead = bytearray(len(text) + 1)
         while place[-1] < len(text):
-            here = at[place[-1]]
-            for n in range(tries[-1], len(here)):
+            start = place[-1]
+            here = at[start]
+            for n in range(left[-1] - 1, -1, -1):
                 length, token = here[n]
-                if not dead[place[-1] + length] and (not out or self.pair_fits(out[-1], token)):
-                    tries[-1] = n + 1
+                if not dead[start + length] and (not out or self.pair_fits(out[-1], token)):
+                    left[-1] = n
                     out.append(token)
-                    place.append(place[-1] + length)
-                    tries.append(0)
+                    place.append(start + length)
+                    left.append(len(at[start + length]) if start + length < len(text) else 0)
                     break
             else:
                 if len(place) == 1:
                     raise ValueError(f"no encoding of {word!r}")
                 dead[place.pop()] = 1
-                tries.pop()
+                left.pop()
                 out.pop()
         return out
 
+    def known_word(self, word: str) -> list[int]:
+        """encode_word of a word in plain characters, through a bounded table."""
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) >= _CACHED_WORDS:
+                self.words.clear()
+            text = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+            ids = self.words[word] = self.encode_word(text)
+        return ids
+
     def encode(self, text: str) -> list[int]:
         """Ids of any text."""
         out: list[int] = []
-        for piece in self.added_pattern.split(text) if self.added_pattern else [text]:
+        cut = any(a in text for a in self.added)
+        for piece in self.added_pattern.split(text) if cut else [text]:
             if piece in self.added:
                 out.append(self.added[piece])
                 continue
             # Letters are put into lower case one by one: no rule for a final sigma.
             plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
             for word in self.pattern.findall(plain):
-                out += self.encode_word("".join(map(self.letters.__getitem__, word.encode("utf-8", "surrogatepass"))))
+                out += self.known_word(word)
         return out
 
     def decode(self, ids: list[int]) -> str:
