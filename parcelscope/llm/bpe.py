@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 _END = "\n"  # stands for the suffix; it is no character of the byte alphabet
 _NEVER = math.inf
-_CACHED_RUNS = 600_000
-_CACHED_WORDS = 400_000
+_CACHED_RUNS = 300_000
+_CACHED_WORDS = 200_000
+_CACHED_PAIRS = 200_000
 
 
 def byte_alphabet() -> list[str]:
@@ -123,7 +124,7 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self.fits) > 2_000_000:
+        if len(self.fits) >= _CACHED_PAIRS:
             self.fits.clear()
         self.fits[left, right] = fits
         return fits

@@ -16,8 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 2000  # texts can be long, so a batch of them is kept small
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, which their Python may not have on its path."""
+    """Give the executors this package, which their Python may not have on its path, and small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_parcelscope_shipped", False):
         return

@@ -39,7 +39,7 @@ _KIND = 36  # bits of a key below its kind
 MAX_DISTANCE = 3
 MAX_BUCKET = 4096
 SEED = 42
-_SHINGLES = 1 << 18  # shingles counted at once
+_SHINGLES = 1 << 16  # shingles counted at once
 
 # Fixed value: generator polynomial of the Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0b110001110101
@@ -179,8 +179,8 @@ def forest(fps: np.ndarray) -> Iterator[tuple[int, int]]:
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps = batch.column(0).to_numpy()
-        for start in range(0, len(fps), 4096):
-            part = fps[start : start + 4096]
+        for start in range(0, len(fps), 1024):
+            part = fps[start : start + 1024]
             row, key = keys(part)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], ["key", "fp"])
 

@@ -35,8 +35,8 @@ WINDOW = 35
 PERIOD = 21
 COVER = (0, 1, 6, 8, 18)  # a perfect difference set modulo 21
 ANCHOR = WINDOW - PERIOD + 1
-_FLUSH = 1 << 20  # rows a task gathers before it sums and sends them
-_CACHED_WORDS = 1 << 19
+_FLUSH = 1 << 18  # rows a task gathers before it sums and sends them
+_CACHED_WORDS = 1 << 18
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -112,7 +112,7 @@ def _summed(keys: list[np.ndarray], row: np.ndarray, pos: np.ndarray) -> list[np
 
 
 class _Sender:
-    """Gathers arrays and turns every million rows into one summed batch."""
+    """Gathers arrays and turns every _FLUSH rows into one summed batch."""
 
     def __init__(self, names: list[str]):
         self.names, self.parts, self.rows = names, [], 0
