@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parcelscope.sources.star_schema import FORM_BALANCE
+FORM_BALANCE = 100  # FIXTURES.md, section of the account forms
 
 
 def double(value: str) -> str:
@@ -101,6 +101,8 @@ MOM = f"""mom AS (
     sum(normal_other_charges) AS n_oth_chgs, sum(normal_revenue) AS n_rev, sum(cod) AS cod,
     {_zoned('n_rev', 'normal_revenue')},
     coalesce(sum(return_weight_charges), 0) AS ret_revenue
-  FROM ship s LEFT JOIN ret q ON q.normal_cn = s.normal_cn
+  FROM ship s LEFT JOIN (
+    SELECT normal_cn, max(return_cn) AS return_cn, sum(return_weight_charges) AS return_weight_charges
+    FROM ret WHERE return_cn <> '' GROUP BY normal_cn) q ON q.normal_cn = s.normal_cn
   LEFT JOIN crf c ON c.acc_no = s.acc_no
   GROUP BY s.acc_no, c.cust_name, c.cust_type, s.sp_name, s.month_start)"""

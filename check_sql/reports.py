@@ -114,10 +114,11 @@ for _name, _cte, _long, _order in (
         f"FROM {_long}"
     )
     ORACLES[f"{_name}_mom_diff"] = with_(*WINDOWED, _cte, change(_long)) + (
-        f"SELECT month_start, metric, diff FROM {_long}_change"
+        f"SELECT month_start, metric, CAST(list_position({_order}, metric) AS BIGINT) AS ord, diff FROM {_long}_change"
     )
     ORACLES[f"{_name}_mom_pct"] = with_(*WINDOWED, _cte, change(_long)) + (
-        f"SELECT month_start, metric, pct_chng FROM {_long}_change"
+        f"SELECT month_start, metric, CAST(list_position({_order}, metric) AS BIGINT) AS ord, pct_chng "
+        f"FROM {_long}_change"
     )
 
 
@@ -135,11 +136,11 @@ def accounting(value: str, digits: int) -> str:
     )
 
 
-def card(long: str, slide: str, separated: str, whole: bool, digits: int) -> str:
+def card(long: str, order: str, slide: str, separated: str, whole: bool, digits: int) -> str:
     diff = accounting("diff", 2)
     if whole:
         diff = f"CASE WHEN {separated} THEN {accounting('diff', 0)} ELSE {diff} END"
-    return f"""SELECT month_start, '{slide}' AS slide, metric,
+    return f"""SELECT month_start, '{slide}' AS slide, metric, CAST(list_position({order}, metric) AS BIGINT) AS ord,
   CASE WHEN {separated} THEN format('{{:,.2f}}', {r('value')}) ELSE {plain('value', 2)} END AS value_text,
   strftime(prev_month, '%b-%y') || ': ' || {plain('prev_value', 2)} AS prev_text,
   'Diff : ' || {diff} AS diff_text,
@@ -149,10 +150,11 @@ FROM {long}_change"""
 
 ORACLES["kpi_cards"] = (
     with_(*WINDOWED, KPI, RET, change("kpi_long"), change("ret_long"))
-    + card("kpi_long", "kpi", "metric NOT IN ('RPS','RPW','WPS')", True, 3)
+    + card("kpi_long", KPI_ORDER, "kpi", "metric NOT IN ('RPS','RPW','WPS')", True, 3)
     + "\nUNION ALL\n"
     + card(
         "ret_long",
+        RET_ORDER,
         "returns",
         "metric IN ('active_accounts','Return_Shipment','Return_Weight','return_revenue')",
         False,
@@ -355,14 +357,14 @@ def _compared(measures: dict[str, str], base: str, prev1: bool, rounded: bool) -
     shares = {f"{role}_pct": at(role, r(pct("value", "base"))) for role in ROLES}
     lines = "\nUNION ALL\n".join(
         f"SELECT month_start, {double(base)} AS base, '{label}' AS description, "
-        f"{double(expr)} AS value FROM z"
-        for label, expr in measures.items()
+        f"CAST({ord} AS BIGINT) AS ord, {double(expr)} AS value FROM z"
+        for ord, (label, expr) in enumerate(measures.items(), start=1)
     )
     names = ", ".join([*cells, *shares])
     inner = ", ".join(f"{expr} AS {alias}" for alias, expr in (cells | shares).items())
     return (
-        f"SELECT description, {names}, {inc} AS inc_dec FROM (SELECT description, {inner} "
-        f"FROM ({lines}) GROUP BY description)"
+        f"SELECT description, ord, {names}, {inc} AS inc_dec FROM (SELECT description, ord, {inner} "
+        f"FROM ({lines}) GROUP BY description, ord)"
     )
 
 
@@ -415,21 +417,25 @@ ORACLES["return_weight_by_zone"] = with_(*HISTORY, _zone_sums(_R12)) + _compared
 )
 
 
+_ZONE_PLACE = "CASE zone_type WHEN 'WC' THEN 1 WHEN 'A' THEN 2 WHEN 'B' THEN 3 WHEN 'C' THEN 4 ELSE 5 END"
+
+
 def _zone_report(rows: list[tuple[str, str]], base: str, measure: bool) -> str:
     """Rows are (label and measure expressions, aggregate with {m} for the month filter)."""
     parts = []
-    for head, aggregate in rows:
+    for place, (head, aggregate) in enumerate(rows, start=5):
         grouped = " GROUP BY zone_type" if head.startswith("zone_type ") else ""
         cells = ", ".join(
             f"{double(aggregate.format(m=f'month_start = {month}', d=DAYS[role]))} AS {role}"
             for role, month in ROLES.items()
         )
-        parts.append(f"SELECT {head}, {cells} FROM pair{grouped}")
+        ord = _ZONE_PLACE if grouped else str(place)
+        parts.append(f"SELECT {head}, CAST({ord} AS BIGINT) AS ord, {cells} FROM pair{grouped}")
     bases = {
         role: f"(SELECT {double(base.format(m=f'month_start = {month}'))} FROM pair)"
         for role, month in ROLES.items()
     }
-    names = "dest_zone_type, measure" if measure else "dest_zone_type"
+    names = "ord, dest_zone_type, measure" if measure else "ord, dest_zone_type"
     inc = positive_zero(r(f"{r('cur')} - {r('prev')}", 0))
     return (
         f"SELECT {names}, {r('prev')} AS prev, {r('cur')} AS cur, "
@@ -553,10 +559,12 @@ def _by_zone(measure: str, zones: str = "ABC", column: str = "dest_zone") -> str
     )
 
 
+# A shipment without a number is not counted.
+_ONE = "CASE WHEN normal_cn IS NULL THEN 0 ELSE 1 END"
 ORACLES["top_dest_shipments"] = with_(
     SHIPMENTS,
     PAIR,
-    f"d AS (SELECT month_start, master_dest, {_by_zone('1', 'A,B,C')}, count(normal_cn) AS shipments "
+    f"d AS (SELECT month_start, master_dest, {_by_zone(_ONE, 'A,B,C')}, count(normal_cn) AS shipments "
     "FROM pair GROUP BY month_start, master_dest)",
     _top("shipments"),
 ) + (
@@ -604,9 +612,9 @@ for _name, _measure in (
     )
 
 for _name, _alias, _over, _under in (
-    ("top_dest_rps", "rps", "normal_revenue", "1"),
+    ("top_dest_rps", "rps", "normal_revenue", _ONE),
     ("top_dest_rpw", "rpw", "normal_revenue", "weight"),
-    ("top_dest_wps", "ws", "weight", "1"),
+    ("top_dest_wps", "ws", "weight", _ONE),
 ):
     _zone_ratios = ", ".join(
         div(f"sum({_over}) FILTER (zone_type = '{z}')", f"sum({_under}) FILTER (zone_type = '{z}')")
@@ -641,7 +649,8 @@ for _name, _value, _column, _round in (
         *HISTORY,
         "d AS (SELECT CAST(date_trunc('month', q.normal_cn_date) AS DATE) AS month_start, "
         f"s.master_dest, {_value} AS v FROM ship s JOIN ret q ON s.normal_cn = q.normal_cn "
-        f"WHERE s.{PAIR_DAYS} GROUP BY ALL)",
+        # Returns dated in other months belong to neither column.
+        f"WHERE s.{PAIR_DAYS} AND date_trunc('month', q.normal_cn_date) IN ({PREV}, {CUR}) GROUP BY ALL)",
         _top("v"),
         f"b AS (SELECT month_start, sum({_column}) AS base FROM mom GROUP BY month_start)",
         "t AS (SELECT master_dest, "

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from parcelscope.operators.returns import returned_by_destination
 from parcelscope.params import ReviewParams
 from parcelscope.plans import customers, destinations, lifecycle, monthly, sales_people, zones
 from parcelscope.sources.tables import ShipmentTables
@@ -14,6 +16,43 @@ Report = Callable[[ShipmentTables, ReviewParams], DataFrame]
 REPORTS: dict[str, Report] = {}
 
 
+# Display order of the written reports: columns, those with a minus largest first.
+_BY_CURRENT = {
+    "top_dest_shipments": "shipments_cur", "top_dest_weight": "a_cur", "top_dest_weight_charges": "a_cur",
+    "top_dest_revenue": "a_cur", "top_dest_rps": "rps_cur", "top_dest_rpw": "rpw_cur", "top_dest_wps": "ws_cur",
+    "top_dest_return_weight": "cur", "top_dest_return_revenue": "cur",
+}
+_BY_MONTH = (
+    "monthly_shipments", "monthly_weight", "monthly_weight_charges", "monthly_other_charges", "monthly_revenue",
+    "rps_breakdown", "monthly_rps", "rpw_breakdown", "monthly_rpw", "wps_breakdown", "monthly_wps", "shipment_bands",
+)
+_BY_MONTH_AND_ORD = (
+    "monthly_kpis", "monthly_kpis_mom_diff", "monthly_kpis_mom_pct", "monthly_returns", "monthly_returns_mom_diff",
+    "monthly_returns_mom_pct", "key_account_group_trend",
+)
+_BY_ORD = (
+    "account_lifecycle", "return_shipments_by_zone", "weight_by_zone", "return_weight_by_zone",
+    "weight_charges_by_zone", "revenue_by_zone_cod", "return_revenue_by_zone",
+)
+ROW_ORDER: dict[str, tuple[str, ...]] = {
+    **{name: (f"-{column}", "master_dest") for name, column in _BY_CURRENT.items()},
+    **{name: ("month_start",) for name in _BY_MONTH},
+    **{name: ("month_start", "ord") for name in _BY_MONTH_AND_ORD},
+    **{name: ("ord",) for name in _BY_ORD},
+    "kpi_cards": ("month_start", "slide", "ord"),
+    "key_account_trend": ("customer", "month_start", "ord"),
+    "top_customers": ("leaderboard", "rank"),
+    "top_dest_returns": ("master_dest",),
+    "dest_day_zone_matrix": ("-n_s_wc", "master_dest", "normal_cn_date"),
+    "approved_accounts_by_sp": ("sp_name", "month_start"),
+    "new_active_by_sp": ("sp_name", "month_start"),
+    "accounts_lost_by_sp": ("sp_name", "month_start"),
+    "sp_customer_scorecard": ("sp_name", "cust_name", "acc_no"),
+    "sp_totals": ("sp_name",),
+    "sp_list": ("sp_name",),
+}
+
+
 def report(build: Report) -> Report:
     REPORTS[build.__name__] = build
     return build
@@ -46,6 +85,23 @@ def _matrix(tables: ShipmentTables, params: ReviewParams) -> DataFrame:
     return tables.shared(f"dest_day_sums_{params.cur:%Y%m}", build)
 
 
+def _returned(tables: ShipmentTables, params: ReviewParams) -> DataFrame:
+    def build() -> DataFrame:
+        days = params.pair_range
+        return returned_by_destination(
+            tables.shipments(*days), tables.returns(*days), list(params.pair.values())
+        )
+
+    return tables.shared(f"returned_by_destination_{params.cur:%Y%m}", build)
+
+
+def _zone_sums(tables: ShipmentTables, params: ReviewParams) -> DataFrame:
+    def build() -> DataFrame:
+        return zones.zone_month_sums(tables.shipments(*params.pair_range), params.pair)
+
+    return tables.shared(f"zone_month_sums_{params.cur:%Y%m}", build)
+
+
 @report
 def mom_history_build(tables, params):
     return tables.history()
@@ -89,7 +145,7 @@ def monthly_returns_mom_pct(tables, params):
 @report
 def account_lifecycle(tables, params):
     months = params.lifecycle_months
-    shipments = tables.shipments(months["prev1"], params.lifecycle_end)
+    shipments = tables.account_months(months["prev1"], params.lifecycle_end)
     year = params.lifecycle_year or months["cur"].year
     return lifecycle.account_lifecycle(shipments, tables.accounts(), months, year)
 
@@ -97,19 +153,19 @@ def account_lifecycle(tables, params):
 @report
 def approved_accounts_by_sp(tables, params):
     return lifecycle.approved_accounts_by_sp(
-        tables.accounts(), tables.shipments(), params.account_months
+        tables.accounts(), tables.account_months(), params.account_months
     )
 
 
 @report
 def new_active_by_sp(tables, params):
-    shipments = tables.shipments(*params.account_range)
+    shipments = tables.account_months(*params.account_range)
     return lifecycle.new_active_by_sp(shipments, tables.accounts(), params.account_months)
 
 
 @report
 def accounts_lost_by_sp(tables, params):
-    shipments = tables.shipments(*params.account_range)
+    shipments = tables.account_months(*params.account_range)
     return lifecycle.accounts_lost_by_sp(shipments, params.account_months)
 
 
@@ -134,11 +190,7 @@ def return_shipments_by_zone(tables, params):
 @report
 def top_dest_returns(tables, params):
     return destinations.top_by_returns(
-        tables.shipments(*params.pair_range),
-        tables.returns(*params.pair_range),
-        _pair(tables, params),
-        params.pair,
-        params.top_destinations,
+        _returned(tables, params), params.pair, params.top_destinations
     )
 
 
@@ -167,19 +219,13 @@ def return_weight_by_zone(tables, params):
 @report
 def top_dest_return_weight(tables, params):
     return destinations.top_by_return_weight(
-        tables.shipments(*params.pair_range),
-        tables.returns(*params.pair_range),
-        _pair(tables, params),
-        params.pair,
-        params.top_destinations,
+        _returned(tables, params), params.pair, params.top_destinations
     )
 
 
 @report
 def weight_charges_by_zone(tables, params):
-    return zones.weight_charges_by_zone(
-        tables.shipments(*params.pair_range), params.pair, params.working_days
-    )
+    return zones.weight_charges_by_zone(_zone_sums(tables, params), params.pair, params.working_days)
 
 
 @report
@@ -201,9 +247,7 @@ def monthly_other_charges(tables, params):
 
 @report
 def revenue_by_zone_cod(tables, params):
-    return zones.revenue_by_zone_cod(
-        tables.shipments(*params.pair_range), params.pair, params.working_days
-    )
+    return zones.revenue_by_zone_cod(_zone_sums(tables, params), params.pair, params.working_days)
 
 
 @report
@@ -292,12 +336,17 @@ def shipment_bands(tables, params):
 
 
 def _key_months(tables: ShipmentTables, params: ReviewParams) -> DataFrame:
-    return customers.key_account_months(
-        tables.shipments(*params.key_range),
-        tables.customers(),
-        params.key_accounts,
-        *params.key_range,
-    )
+    def build() -> DataFrame:
+        return customers.key_account_months(
+            tables.shipments(*params.key_range),
+            tables.customers(),
+            params.key_accounts,
+            *params.key_range,
+        )
+
+    # Both trends ask for the same accounts and days, unless one has parameters of its own.
+    asked = f"{params.key_accounts}{params.key_range}"
+    return tables.shared(f"key_account_months_{zlib.crc32(asked.encode()):08x}", build)
 
 
 @report
@@ -314,6 +363,7 @@ def key_account_group_trend(tables, params):
 def top_customers(tables, params):
     return customers.top_customers(
         _window(tables, params),
+        tables.revenue(*params.window),
         params.min_shipments,
         params.min_weight_per_shipment,
         params.top_customers,
@@ -322,7 +372,7 @@ def top_customers(tables, params):
 
 @report
 def customer_metrics(tables, params):
-    return customers.customer_metrics(_window(tables, params))
+    return customers.customer_metrics(_window(tables, params), tables.revenue(*params.window))
 
 
 @report

@@ -20,10 +20,6 @@ def label_short(month: Column | str) -> Column:
     return F.date_format(month, "MMM-yy")
 
 
-def label_long(month: Column | str) -> Column:
-    return F.date_format(month, "MMM-yyyy")
-
-
 # Fixed value: two-digit years from here on belong to the 1900s, those below to the 2000s.
 CENTURY_TURN = 69
 

@@ -40,14 +40,3 @@ def rounded(value: Column, digits: int = 2) -> Column:
 def nonzero_or_null(value: Column | str) -> Column:
     """True for anything but an exact zero; a missing value passes."""
     return F.coalesce(_col(value) != 0, F.lit(True))
-
-
-def distinct_with_null(value: Column | str) -> Column:
-    """Distinct count in which null is one more value."""
-    has_null = F.max(F.when(_col(value).isNull(), 1).otherwise(0))
-    return F.count_distinct(_col(value)) + F.coalesce(has_null, F.lit(0))
-
-
-def as_number(value: Column | str) -> Column:
-    """Numeric reading of a text or decimal column; unreadable text gives null."""
-    return _col(value).try_cast("double")

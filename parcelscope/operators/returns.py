@@ -40,15 +40,19 @@ def with_returns(shipments: DataFrame, returns: DataFrame) -> DataFrame:
 def returned_by_destination(
     shipments: DataFrame, returns: DataFrame, months: Sequence[date]
 ) -> DataFrame:
-    """Inner join summed to (month of the return row, destination), for the listed months.
+    """Inner join summed to (month, destination), for the listed months; destinations may be null.
 
-    returned: return rows with a number; weight: shipment weight once per return row.
+    By the month of the return row: return_rows; returned, those with a number; weight, the
+    shipment's once per return row. By the month of the shipment, each shipment with a numbered
+    return once: ret_ship and r_wght, the parts of the wholes that shares divide by.
     The months stay columns across the join, so one shuffle on the shipment number serves
     both the sum per shipment and the join.
     """
     per_month, sums, lines = [], [], []
+    numbered = F.col("numbered") > 0
     for i, month in enumerate(months):
         dated = F.trunc("normal_cn_date", "month") == F.lit(month)
+        shipped = numbered & (F.col("month_start") == F.lit(month))
         per_month += [
             F.count(F.when(dated, F.col("return_cn"))).alias(f"returned_{i}"),
             F.count_if(dated).cast("int").alias(f"rows_{i}"),
@@ -57,6 +61,8 @@ def returned_by_destination(
             total(f"returned_{i}").alias(f"returned_{i}"),
             total(f"rows_{i}").alias(f"rows_{i}"),
             total(F.col("weight") * F.col(f"rows_{i}")).alias(f"weight_{i}"),
+            F.count_if(shipped).alias(f"ret_ship_{i}"),
+            total_when(shipped, "weight").alias(f"r_wght_{i}"),
         ]
         lines.append(
             F.struct(
@@ -64,17 +70,19 @@ def returned_by_destination(
                 F.col(f"rows_{i}").alias("return_rows"),
                 F.col(f"returned_{i}").alias("returned"),
                 F.col(f"weight_{i}").alias("weight"),
+                F.col(f"ret_ship_{i}").alias("ret_ship"),
+                F.col(f"r_wght_{i}").alias("r_wght"),
             )
         )
     per_shipment = (
-        returns.where(F.col("normal_cn").isNotNull()).groupBy("normal_cn").agg(*per_month)
+        returns.where(F.col("normal_cn").isNotNull())
+        .groupBy("normal_cn")
+        .agg(*per_month, F.count_if(F.col("return_cn") != "").cast("int").alias("numbered"))
     )
     return (
-        shipments.select("normal_cn", "master_dest", "weight")
-        .where(F.col("master_dest").isNotNull())
+        shipments.select("normal_cn", "master_dest", "weight", "month_start")
         .join(per_shipment, "normal_cn")
         .groupBy("master_dest")
         .agg(*sums)
         .select("master_dest", F.inline(F.array(*lines)))
-        .where(F.col("return_rows") > 0)
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -39,6 +39,12 @@ class ReviewParams:
     key_group: tuple[str, ...] = ()
     key_start: date | None = None
     key_end: date | None = None
+    # Report name -> the fields that differ for it.
+    reports: dict[str, dict] = field(default_factory=dict)
+
+    def for_report(self, name: str) -> ReviewParams:
+        """These parameters with the report's own in their place."""
+        return replace(self, **self.reports.get(name, {}), reports={})
 
     # The three months side by side in the reports.
     @property
@@ -101,8 +107,12 @@ class ReviewParams:
 
 def _typed(name: str, value):
     kinds = {f.name: str(f.type) for f in fields(ReviewParams)}
-    if value is None or name not in kinds:
+    if name not in kinds:
+        raise ValueError(f"unknown parameter {name}")
+    if value is None:
         return value
+    if name == "reports":
+        return {report: _given(own) for report, own in value.items() if own is not None}
     if kinds[name].startswith("date"):
         return date.fromisoformat(value)
     if kinds[name].startswith("tuple"):
@@ -112,7 +122,16 @@ def _typed(name: str, value):
     return value
 
 
+def _given(record: dict) -> dict:
+    """Fields of ReviewParams; what is null in the file counts as not given."""
+    return {name: _typed(name, value) for name, value in record.items() if value is not None}
+
+
 def load_params(spark: SparkSession, path: str) -> ReviewParams:
-    """Read one JSON object whose keys are the fields of ReviewParams, dates as YYYY-MM-DD."""
+    """Read one JSON object whose keys are the fields of ReviewParams, dates as YYYY-MM-DD.
+
+    `reports` holds one object for each report that has parameters of its own, for example
+    {"top_customers": {"n_months": 3}, "accounts_lost_by_sp": {"account_first": "2024-01-01"}}.
+    """
     record = spark.read.json(path, multiLine=True).first().asDict(recursive=True)
-    return ReviewParams(**{name: _typed(name, value) for name, value in record.items()})
+    return ReviewParams(**_given(record))

@@ -64,9 +64,8 @@ def shipment_bands(history: DataFrame, edges: Sequence[int]) -> DataFrame:
     )
 
 
-def with_customer_metrics(history: DataFrame) -> DataFrame:
-    """Ratios of every account-month; the revenue share is of the whole window."""
-    whole = history.agg(F.sum("n_rev").cast("double")).scalar()
+def with_customer_metrics(history: DataFrame, whole: Column) -> DataFrame:
+    """Ratios of every account-month; the revenue share is of `whole`, the revenue of the window."""
     return history.withColumns(
         {
             "rps": rounded(ratio("n_rev", "shipments")),
@@ -97,8 +96,8 @@ METRIC_COLUMNS = (
 )
 
 
-def customer_metrics(history: DataFrame) -> DataFrame:
-    return with_customer_metrics(history).select("acc_no", "month_start", *METRIC_COLUMNS)
+def customer_metrics(history: DataFrame, whole: Column) -> DataFrame:
+    return with_customer_metrics(history, whole).select("acc_no", "month_start", *METRIC_COLUMNS)
 
 
 # Leaderboard, the column that ranks it, and its direction.
@@ -115,13 +114,13 @@ LEADERBOARDS = (
 
 
 def top_customers(
-    history: DataFrame, min_shipments: int, min_weight_per_shipment: float, n: int
+    history: DataFrame, whole: Column, min_shipments: int, min_weight_per_shipment: float, n: int
 ) -> DataFrame:
     """Eight leaderboards from one pass; an account may appear once per month.
 
     `zone_share` is the share within city plus zone A, on the last board that of zone B.
     """
-    eligible = with_customer_metrics(history).where(
+    eligible = with_customer_metrics(history, whole).where(
         (F.col("shipments") >= min_shipments) & (F.col("ws") >= min_weight_per_shipment)
     )
     entries = [

@@ -16,7 +16,6 @@ from parcelscope.functions.dates import month_of
 from parcelscope.functions.numbers import percent, ratio, rounded, total
 from parcelscope.functions.shipments import zone_type
 from parcelscope.operators.reshape import at_month, side_by_side
-from parcelscope.operators.returns import returned_by_destination
 from parcelscope.operators.shares import whole_of
 from parcelscope.operators.topn import top_k, top_n_per_group
 
@@ -126,22 +125,16 @@ def top_by_ratio(
 
 
 def _top_returned(
-    shipments: DataFrame,
-    returns: DataFrame,
-    history: DataFrame,
-    measure: str,
-    base: str,
-    months: Mapping[str, date],
-    n: int,
+    returned: DataFrame, measure: str, base: str, months: Mapping[str, date], n: int
 ) -> DataFrame:
-    """Top destinations of returned shipments; shares divide by the month's own returns."""
-    per_dest = returned_by_destination(shipments, returns, list(months.values()))
-    best = top_n_per_group(per_dest, ["month_start"], measure, n, ["master_dest"])
-    bases = (
-        history.where(F.col("month_start").isin(*months.values()))
-        .groupBy("month_start")
-        .agg(total(base).alias("base"))
-    )
+    """Top destinations of returned shipments; shares divide by the month's own returns.
+
+    `returned` is operators.returns.returned_by_destination: a row per destination and month, which
+    holds the wholes as well.
+    """
+    per_dest = returned.where(F.col("master_dest").isNotNull() & (F.col("return_rows") > 0))
+    best = top_n_per_group(per_dest.drop(base), ["month_start"], measure, n, ["master_dest"])
+    bases = returned.groupBy("month_start").agg(total(base).alias("base"))
     ranked = best.join(bases, "month_start", "left").withColumn(
         "share", rounded(percent(measure, "base"))
     )
@@ -157,17 +150,12 @@ def _top_returned(
     )
 
 
-def top_by_returns(
-    shipments: DataFrame, returns: DataFrame, history: DataFrame, months: Mapping[str, date], n: int
-) -> DataFrame:
-    table = _top_returned(shipments, returns, history, "returned", "ret_ship", months, n)
-    return table.orderBy("master_dest")
+def top_by_returns(returned: DataFrame, months: Mapping[str, date], n: int) -> DataFrame:
+    return _top_returned(returned, "returned", "ret_ship", months, n).orderBy("master_dest")
 
 
-def top_by_return_weight(
-    shipments: DataFrame, returns: DataFrame, history: DataFrame, months: Mapping[str, date], n: int
-) -> DataFrame:
-    table = _top_returned(shipments, returns, history, "weight", "r_wght", months, n)
+def top_by_return_weight(returned: DataFrame, months: Mapping[str, date], n: int) -> DataFrame:
+    table = _top_returned(returned, "weight", "r_wght", months, n)
     cells = [c for c in table.columns if c != "master_dest"]
     return table.select(
         "master_dest", *[rounded(F.col(c)).alias(c) for c in cells]

@@ -42,8 +42,14 @@ ZONE_SUMS = {
 }
 
 
+# A table may lack these columns; their sums are then unknown, not zero.
+MAY_BE_ABSENT = ("n_fsc", "n_oth_chgs")
+
+
 def _sum(name: str, value: str, condition: str | None) -> str:
     filtered = f" filter (where {condition})" if condition else ""
+    if name in MAY_BE_ABSENT:
+        return f"sum({value}){filtered} as {name}"
     return f"coalesce(sum({value}){filtered}, 0) as {name}"
 
 

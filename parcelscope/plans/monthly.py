@@ -117,12 +117,12 @@ def monthly_returns(history: DataFrame) -> DataFrame:
 
 
 def month_diff(long: DataFrame) -> DataFrame:
-    return month_on_month(long).select("month_start", "metric", "diff")
+    return month_on_month(long).select("month_start", "metric", "ord", "diff")
 
 
 def month_change(long: DataFrame) -> DataFrame:
     """Fraction, not percent."""
-    return month_on_month(long).select("month_start", "metric", "pct_chng")
+    return month_on_month(long).select("month_start", "metric", "ord", "pct_chng")
 
 
 def kpi_cards(history: DataFrame) -> DataFrame:
@@ -136,9 +136,10 @@ def kpi_cards(history: DataFrame) -> DataFrame:
             F.struct(
                 F.lit(slide).alias("slide"),
                 F.lit(metric).alias("metric"),
+                F.lit(ord).alias("ord"),
                 value.cast("double").alias("value"),
             )
-            for metric, value in values.items()
+            for ord, (metric, value) in enumerate(values.items(), start=1)
         ]
 
     kpis = F.array(*lines("kpi", _kpi_values()))
@@ -164,6 +165,7 @@ def kpi_cards(history: DataFrame) -> DataFrame:
         "month_start",
         "slide",
         "metric",
+        "ord",
         value.alias("value_text"),
         before.alias("prev_text"),
         F.concat(F.lit("Diff : "), diff).alias("diff_text"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from parcelscope.functions.numbers import percent, ratio, rounded, total
-from parcelscope.operators.shares import sum_of_all
 
 SUMMED = {
     "shipment": "shipments",
@@ -35,22 +34,14 @@ def _keyed(history: DataFrame) -> DataFrame:
 def sp_customer_scorecard(history: DataFrame) -> DataFrame:
     """One row per sales person, customer and account of the month in `history`.
 
-    Wholes are summed per sales person with map-side partial sums and joined back, so a
-    sales person with most of the accounts never has to fit one task; the grand totals
-    ride along, summed over the sales-person rows.
+    Wholes are summed from these rows, per sales person with map-side partial sums and joined back,
+    so a sales person with most of the accounts never has to fit one task, and over all of them to
+    one row. The sums per account are the one scan of the history; both wholes reuse their shuffle.
     """
     rows = _keyed(history)
     sums = rows.groupBy(*KEYS).agg(*[total(source).alias(name) for name, source in SUMMED.items()])
-    wholes = (
-        rows.groupBy("sp_name")
-        .agg(total("n_rev").alias("sp_rev"), total("n_s_za").alias("sp_za"))
-        .select(
-            "sp_name",
-            "sp_rev",
-            sum_of_all("sp_rev").alias("all_rev"),
-            sum_of_all("sp_za").alias("all_za"),
-        )
-    )
+    wholes = sums.groupBy("sp_name").agg(total("n_rev").alias("sp_rev"))
+    grand = sums.agg(F.struct(total("n_rev").alias("rev"), total("n_s_za").alias("za"))).scalar()
     light = F.col("kg_0_0_5") + F.col("kg_0_5_1_0")
     derived = {
         "wc_pct": rounded(percent("n_s_wc", "shipment")),
@@ -58,12 +49,12 @@ def sp_customer_scorecard(history: DataFrame) -> DataFrame:
         "zb_pct": rounded(percent("n_s_zb", "shipment")),
         "zc_pct": rounded(percent("n_s_zc", "shipment")),
         "kg_0_1_pct": rounded(percent(light, "shipment")),
-        "revenue_share_total": rounded(percent("n_rev", "all_rev")),
+        "revenue_share_total": rounded(percent("n_rev", grand["rev"])),
         "revenue_share_sp": rounded(percent("n_rev", "sp_rev")),
         "rps": rounded(ratio("n_rev", "shipment"), 0),
         "rpw": rounded(ratio("n_rev", "n_wght"), 0),
         "ws": rounded(ratio("n_wght", "shipment"), 0),
-        "zone_a_return_pct": percent("r_s_za", "all_za"),
+        "zone_a_return_pct": percent("r_s_za", grand["za"]),
         "return_ratio": rounded(percent("ret_ship", "shipment")),
     }
     filled = [F.coalesce(c, F.lit(0.0)).alias(name) for name, c in derived.items()]

@@ -17,7 +17,7 @@ from parcelscope.functions.numbers import (
     total_when,
 )
 from parcelscope.functions.shipments import zone_slot, zone_type
-from parcelscope.operators.reshape import at_month, to_long
+from parcelscope.operators.reshape import at_month, to_long, with_order
 from parcelscope.operators.returns import with_returns
 from parcelscope.operators.shares import whole_of
 from parcelscope.schema import ZONE_SLOTS
@@ -49,6 +49,8 @@ RETURN_WEIGHT_ROWS = {
     "Wght_chrgs": "r_wght_chrg",
     "Wght_no_chrgs": "r_wght_nchrg",
 }
+# Zone types in display order; any other comes behind them, then the total lines.
+ZONE_ORDER = ("WC", "A", "B", "C")
 RETURN_REVENUE_ROWS = {"WC": "r_rev_wc", "Zone_A": "r_rev_za", "Zone_B": "r_rev_zb", "Zone_C": "r_rev_zc"}
 
 
@@ -68,11 +70,9 @@ def _compared(
     cells = [at_month(value, month).alias(role) for role, month in months.items()]
     shares = [at_month(share, months[role]).alias(f"{role}_pct") for role in ("prev", "cur")]
     change = F.col("cur") - F.col("prev")
-    return (
-        long.groupBy("description")
-        .agg(*cells, *shares)
-        .withColumn("inc_dec", rounded(change, 0) if round_values else change)
-    )
+    table = long.groupBy("description").agg(*cells, *shares)
+    table = table.withColumn("inc_dec", rounded(change, 0) if round_values else change)
+    return with_order(table, measures, "description")
 
 
 def _zone_sums(history: DataFrame, months: Mapping[str, date], columns: Mapping[str, str]) -> DataFrame:
@@ -108,23 +108,29 @@ def return_weight_by_zone(history: DataFrame, months: Mapping[str, date]) -> Dat
     return _compared(sums, list(RETURN_WEIGHT_ROWS), F.col("Return_Weight"), months, round_values=True)
 
 
-def _zone_rows(
-    shipments: DataFrame, months: Mapping[str, date], measures: Mapping[str, Column]
-) -> DataFrame:
-    """Per zone type and over all of them, each measure as `<name>_prev` and `<name>_cur`.
-
-    The shipments are summed per zone type first; the roll-up doubles only those few rows.
-    """
-    names = {f"{name}_{role}": (m, month) for name, m in measures.items() for role, month in months.items()}
+def zone_month_sums(shipments: DataFrame, months: Mapping[str, date]) -> DataFrame:
+    """What both zone reports over shipments read: sums per zone type, `<name>_prev` and `<name>_cur`."""
+    revenue = F.col("normal_revenue")
+    measures = {
+        "charges": F.col("normal_weight_charges"),
+        "revenue": revenue,
+        "cod": F.when(nonzero_or_null("cod"), revenue),
+        "ncod": F.when(F.col("cod") == 0, revenue),
+    }
     sums = [
-        total_when(F.col("month_start") == F.lit(month), measure).alias(name)
-        for name, (measure, month) in names.items()
+        total_when(F.col("month_start") == F.lit(month), measure).alias(f"{name}_{role}")
+        for name, measure in measures.items()
+        for role, month in months.items()
     ]
+    wanted = shipments.where(F.col("month_start").isin(*months.values()))
+    return wanted.groupBy(zone_type().alias("dest_zone_type")).agg(*sums)
+
+
+def _zone_rows(sums: DataFrame) -> DataFrame:
+    """The sums of each zone type and over all of them; the roll-up doubles only these few rows."""
+    names = [c for c in sums.columns if c != "dest_zone_type"]
     return (
-        shipments.where(F.col("month_start").isin(*months.values()))
-        .groupBy(zone_type().alias("dest_zone_type"))
-        .agg(*sums)
-        .rollup("dest_zone_type")
+        sums.rollup("dest_zone_type")
         .agg(
             F.grouping("dest_zone_type").cast("boolean").alias("is_total"),
             *[total(name).cast("double").alias(name) for name in names],
@@ -133,13 +139,22 @@ def _zone_rows(
     )
 
 
-def _line(label: Column, measure: str, source: str, divide_by: Mapping[str, Column] | None = None):
+def _line(
+    ord: Column | int, label: Column, measure: str, source: str, divide_by: Mapping[str, Column] | None = None
+) -> Column:
     """One output row taken from the columns `<source>_prev` and `<source>_cur`."""
+    place = F.lit(ord) if isinstance(ord, int) else ord
     cells = []
     for role in ("prev", "cur"):
         cell = F.col(f"{source}_{role}")
         cells.append((ratio(cell, divide_by[role]) if divide_by else cell).alias(role))
-    return F.struct(label.alias("dest_zone_type"), F.lit(measure).alias("measure"), *cells)
+    named = [label.alias("dest_zone_type"), F.lit(measure).alias("measure")]
+    return F.struct(place.cast("int").alias("ord"), *named, *cells)
+
+
+def _zone_place() -> Column:
+    known = F.array_position(F.array(*map(F.lit, ZONE_ORDER)), F.col("dest_zone_type"))
+    return F.when(known > 0, known).otherwise(len(ZONE_ORDER) + 1)
 
 
 def _zone_report(
@@ -152,6 +167,7 @@ def _zone_report(
         F.explode(lines).alias("line"),
     )
     return based.select(
+        "line.ord",
         "line.dest_zone_type",
         "line.measure",
         rounded(F.col("line.prev")).alias("prev"),
@@ -166,41 +182,31 @@ def _days(months: Mapping[str, date], working_days: Mapping[date, int]) -> dict[
 
 
 def weight_charges_by_zone(
-    shipments: DataFrame, months: Mapping[str, date], working_days: Mapping[date, int]
+    sums: DataFrame, months: Mapping[str, date], working_days: Mapping[date, int]
 ) -> DataFrame:
-    rows = _zone_rows(shipments, months, {"charges": F.col("normal_weight_charges")})
+    rows = _zone_rows(sums.select("dest_zone_type", "charges_prev", "charges_cur"))
     measure = "normal_weight_charges"
     total_lines = [
-        _line(F.lit("Normal Weight Charges"), measure, "charges"),
-        _line(F.lit("Daily Normal Charge"), measure, "charges", _days(months, working_days)),
+        _line(6, F.lit("Normal Weight Charges"), measure, "charges"),
+        _line(7, F.lit("Daily Normal Charge"), measure, "charges", _days(months, working_days)),
     ]
-    zone_line = _line(F.col("dest_zone_type"), measure, "charges")
+    zone_line = _line(_zone_place(), F.col("dest_zone_type"), measure, "charges")
     return _zone_report(rows, zone_line, total_lines, "charges").drop("measure")
 
 
 def revenue_by_zone_cod(
-    shipments: DataFrame, months: Mapping[str, date], working_days: Mapping[date, int]
+    sums: DataFrame, months: Mapping[str, date], working_days: Mapping[date, int]
 ) -> DataFrame:
     """Zone rows hold weight charges, all other rows revenue; `measure` names which."""
-    revenue = F.col("normal_revenue")
-    rows = _zone_rows(
-        shipments,
-        months,
-        {
-            "charges": F.col("normal_weight_charges"),
-            "revenue": revenue,
-            "cod": F.when(nonzero_or_null("cod"), revenue),
-            "ncod": F.when(F.col("cod") == 0, revenue),
-        },
-    )
+    rows = _zone_rows(sums)
     measure = "normal_revenue"
     total_lines = [
-        _line(F.lit("normal_revenue"), measure, "revenue"),
-        _line(F.lit("Total Revenue - COD"), measure, "cod"),
-        _line(F.lit("Total Revenue - NCOD"), measure, "ncod"),
-        _line(F.lit("Daily Normal Charge"), measure, "revenue", _days(months, working_days)),
+        _line(6, F.lit("normal_revenue"), measure, "revenue"),
+        _line(7, F.lit("Total Revenue - COD"), measure, "cod"),
+        _line(8, F.lit("Total Revenue - NCOD"), measure, "ncod"),
+        _line(9, F.lit("Daily Normal Charge"), measure, "revenue", _days(months, working_days)),
     ]
-    zone_line = _line(F.col("dest_zone_type"), "normal_weight_charges", "charges")
+    zone_line = _line(_zone_place(), F.col("dest_zone_type"), "normal_weight_charges", "charges")
     return _zone_report(rows, zone_line, total_lines, "revenue")
 
 

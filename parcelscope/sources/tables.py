@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelscope.functions.dates import label_short, month_end, month_of, shift_month
 from parcelscope.plans.history import build_history
@@ -58,10 +58,16 @@ class ShipmentTables:
         return frame.withColumn("month_start", month_of("normal_cn_date"))
 
     def returns(self, start: date | None = None, end: date | None = None) -> DataFrame:
-        """Returns of the shipments dated start to end, or a superset of them."""
+        """Returns of the shipments dated start to end, or a superset of them.
+
+        Where a return may be dated apart from its shipment, the shipments' own numbers choose the
+        rows, before anything is summed over all returns ever made.
+        """
         frame = self.frame("returnreport")
-        if not self.returns_dated or start is None:
+        if start is None:
             return frame
+        if not self.returns_dated:
+            return frame.join(self.shipments(start, end).select("normal_cn"), "normal_cn", "left_semi")
         if "month_start" in frame.columns:
             months = F.lit(shift_month(start, 0)), F.lit(shift_month(end, 0))
             frame = frame.where(F.col("month_start").between(*months))
@@ -78,6 +84,19 @@ class ShipmentTables:
         """An intermediate several reports read. Nothing is kept here: see review.StagedTables."""
         return build()
 
+    def account_months(self, start: date | None = None, end: date | None = None) -> DataFrame:
+        """acc_no, sp_name and month_start of the shipments dated start to end; rows may repeat."""
+        return self.shipments(start, end).select("acc_no", "sp_name", "month_start")
+
+    def revenue(self, first: date, last: date) -> Column:
+        """Revenue of the months first to last as one value, from one narrow scan."""
+        if self.has_history:
+            sums = self.history(first, last).agg(F.sum("n_rev").cast("double"))
+        else:
+            dated = self.shipments(shift_month(first, 0), month_end(last))
+            sums = dated.agg(F.sum("normal_revenue").cast("double"))
+        return sums.scalar()
+
     def accounts(self) -> DataFrame:
         return self.frame("acc_form")
 
@@ -99,6 +118,6 @@ class ShipmentTables:
         return frame.where(F.col("month_start").between(*months))
 
     def sales_people(self) -> DataFrame:
-        """Distinct sales-person names, trimmed and in capitals."""
-        name = F.upper(F.trim("sp_name")).alias("sp_name")
-        return self.frame("salesreport").select(name).distinct()
+        """Distinct sales-person names, without white space at either end, in capitals."""
+        name = F.upper(F.regexp_replace("sp_name", r"(?U)^\s+|\s+$", "")).alias("sp_name")
+        return self.account_months().select(name).distinct()

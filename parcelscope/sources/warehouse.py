@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import StructType
 
-from parcelscope.functions.dates import month_of, parse_label, shift_month
+from parcelscope.functions.dates import label_short, month_end, month_of, month_span, parse_label, shift_month
 from parcelscope.schema import ACC_FORM, CRF, MOM_HISTORY, RETURNREPORT, SALESREPORT
 from parcelscope.sources.tables import ShipmentTables
 
@@ -56,9 +58,18 @@ def write_table(frame: DataFrame, warehouse: str, name: str) -> None:
 
 
 def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """The stored table, columns in the order of its schema wherever they are stored."""
-    schema = stored_schema(name)
-    return spark.read.schema(schema).parquet(f"{warehouse}/{name}").select(*schema.names)
+    """The stored table in the columns and types of its schema, whatever types the files have.
+
+    A value too large for its column raises an error instead of being cut.
+    """
+    path = f"{warehouse}/{name}"
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as error:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            raise
+        stored = spark.createDataFrame([], stored_schema(name))  # a table without a single file
+    return conform(stored, name)
 
 
 def warehouse_tables(
@@ -70,51 +81,99 @@ def warehouse_tables(
 
 
 def refresh_history(tables: ShipmentTables, warehouse: str, first: date, last: date) -> None:
-    """Rebuild the stored account-by-month rows of the months first to last."""
+    """Rebuild the stored account-by-month rows of the months first to last.
+
+    A month that has no shipment any more loses its stored rows as well.
+    """
     source = ShipmentTables(tables.frame, returns_dated=tables.returns_dated)
     write_table(source.history(first, last), warehouse, "mom_history")
+    shipped = source.shipments(shift_month(first, 0), month_end(last)).select("month_start").distinct()
+    present = {r.month_start for r in shipped.collect()}  # at most a row for each month asked for
+    for month in month_span(first, last):
+        if month not in present:
+            _remove(shipped.sparkSession, f"{warehouse}/mom_history/month_start={month.isoformat()}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def month_predicates(column: str, first: date, last: date) -> list[str]:
-    """One WHERE clause per month, so that a JDBC read runs one query per month in parallel."""
-    clauses, start = [], shift_month(first, 0)
-    while start <= last:
+    """WHERE clauses that part all rows: one for each month, those before, after and without a date.
+
+    A JDBC read runs one query for each, in parallel. No row is left out; the filters of a report are
+    pushed into each query, so months outside a report's range cost an empty query.
+    """
+    start, stop = shift_month(first, 0), shift_month(last, 1)
+    clauses = [f"{column} < '{start.isoformat()}' OR {column} IS NULL"]
+    while start < stop:
         after = shift_month(start, 1)
         clauses.append(f"{column} >= '{start.isoformat()}' AND {column} < '{after.isoformat()}'")
         start = after
-    return clauses
+    return [*clauses, f"{column} >= '{stop.isoformat()}'"]
+
+
+def label_predicates(column: str, first: date, last: date) -> list[str]:
+    """As month_predicates, for months kept as labels such as May-24."""
+    labels = [f"'{month:%b-%y}'" for month in month_span(first, last)]
+    rest = f"{column} NOT IN ({', '.join(labels)}) OR {column} IS NULL"
+    return [*(f"{column} = {label}" for label in labels), rest]
+
+
+def bound_predicates(column: str, bounds: Sequence[str]) -> list[str]:
+    """WHERE clauses that part all rows at the given values."""
+    cuts = ["'" + b.replace("'", "''") + "'" for b in sorted(bounds)]
+    clauses = [f"{column} < {cuts[0]} OR {column} IS NULL"]
+    clauses += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [*clauses, f"{column} >= {cuts[-1]}"]
 
 
 def conform(frame: DataFrame, name: str) -> DataFrame:
     """The columns and types of a logical table, from a table kept by someone else.
 
-    Months kept as text gain their first day; optional columns may be missing.
+    Months kept as text gain their first day; optional columns may be missing. The months that a
+    table is laid out by stay.
     """
     if name == "mom_history" and "month_start" not in frame.columns:
         frame = frame.withColumn("month_start", parse_label("month"))
+    if name == "mom_history" and "month" not in frame.columns:
+        frame = frame.withColumn("month", label_short("month_start"))
     absent = [c for c in OPTIONAL.get(name, ()) if c not in frame.columns]
     filled = frame.withColumns({c: F.lit(None) for c in absent}) if absent else frame
-    return filled.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]])
+    laid_out = name in BY_MONTH and "month_start" in frame.columns
+    kept = stored_schema(name) if laid_out else SCHEMAS[name]
+    # A column that has its type already stays as it is, so that filters on it reach the files.
+    kinds = {f.name: f.dataType for f in filled.schema}
+    return filled.select(
+        [F.col(f.name) if kinds.get(f.name) == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name) for f in kept]
+    )
 
 
 def jdbc_table(
     spark: SparkSession,
     url: str,
     name: str,
-    first: date | None = None,
-    last: date | None = None,
+    first: date,
+    last: date,
     properties: dict[str, str] | None = None,
+    account_bounds: Sequence[str] = (),
 ) -> DataFrame:
-    """Read a table of the carrier's database; the dated ones month by month."""
-    day = BY_MONTH.get(name)
+    """Read a whole table of the carrier's database by parallel queries.
+
+    `first` to `last` only say where to part the dated tables; rows outside are read too, if a report
+    asks for them. `account_bounds` part the tables of accounts; without any, one query reads them.
+    """
     options = {"fetchsize": "10000", **(properties or {})}
-    if day is not None and first is not None:
-        frame = spark.read.jdbc(
-            url, name, predicates=month_predicates(day, first, last), properties=options
-        )
+    if BY_MONTH.get(name) is not None:
+        predicates = month_predicates(BY_MONTH[name], first, last)
+    elif name == "mom_history":
+        predicates = label_predicates("month", first, last)
+    elif account_bounds:
+        predicates = bound_predicates("acc_no", account_bounds)
     else:
-        frame = spark.read.jdbc(url, name, properties=options)
-    return conform(frame, name)
+        return conform(spark.read.jdbc(url, name, properties=options), name)
+    return conform(spark.read.jdbc(url, name, predicates=predicates, properties=options), name)
 
 
 def jdbc_tables(
@@ -124,8 +183,12 @@ def jdbc_tables(
     last: date,
     properties: dict[str, str] | None = None,
     with_history: bool = True,
+    account_bounds: Sequence[str] = (),
+    returns_dated: bool = False,
 ) -> ShipmentTables:
-    """All tables over JDBC, the dated ones from the month of `first` to that of `last`."""
+    """All tables over JDBC, parted by the months from `first` to `last` and by accounts."""
     return ShipmentTables(
-        lambda name: jdbc_table(spark, url, name, first, last, properties), with_history
+        lambda name: jdbc_table(spark, url, name, first, last, properties, account_bounds),
+        with_history,
+        returns_dated,
     )

@@ -4,9 +4,11 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from parcelscope.plans import customers, sales_people
 from parcelscope.plans.history import build_history
+from parcelscope.sources.tables import ShipmentTables
 from tests.frames import customers as crf
 from tests.frames import history, returns, shipments
 
@@ -42,7 +44,7 @@ def test_leaderboards(spark):
         {"acc_no": "B", "cust_name": "b", "shipments": 150, "n_rev": 100, "n_wght": 74.6},
         {"acc_no": "C", "cust_name": "c", "shipments": 99, "n_rev": 8000, "n_wght": 990},
     )
-    rows = customers.top_customers(frame, 100, 0.5, 2).collect()
+    rows = customers.top_customers(frame, ShipmentTables.of(mom_history=frame).revenue(JAN, FEB), 100, 0.5, 2).collect()
     boards = {}
     for r in rows:
         boards.setdefault(r.leaderboard, {})[r.rank] = r
@@ -59,8 +61,9 @@ def test_leaderboards(spark):
 
 def test_equal_scores_rank_by_account(spark):
     frame = history(spark, *[{"acc_no": a, "shipments": 5, "n_wght": 5} for a in "CABD"])
-    rows = customers.top_customers(frame, 1, 0, 3).where("leaderboard = 'Top5Shipments'")
-    metrics = customers.customer_metrics(frame)
+    whole = F.lit(0.0)
+    rows = customers.top_customers(frame, whole, 1, 0, 3).where("leaderboard = 'Top5Shipments'")
+    metrics = customers.customer_metrics(frame, whole)
     assert metrics.count() == 4
     assert rows.count() == 3
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 from parcelscope.operators.topn import top_k, top_n_per_group
+from parcelscope.operators.returns import returned_by_destination
 from parcelscope.plans import destinations, zones
 from tests.frames import history, returns, shipments
 
@@ -96,14 +97,14 @@ def test_two_returns_count_twice_in_the_join_reports(spark):
         {"normal_cn": "n2", "normal_cn_date": CUR, "return_cn": None},
         {"normal_cn": "n2", "normal_cn_date": date(2023, 5, 1), "return_cn": "r3"},
     )
-    base = history(spark, {"month_start": CUR, "ret_ship": 4, "r_wght": 16})
-    counted = destinations.top_by_returns(frame, back, base, MONTHS, 10).collect()
+    returned = returned_by_destination(frame, back, list(MONTHS.values()))
+    counted = destinations.top_by_returns(returned, MONTHS, 10).collect()
     assert [(r.master_dest, r.cur, r.cur_pct, r.prev) for r in counted] == [
-        ("P", 2.0, 50.0, 0.0),
+        ("P", 2.0, 100.0, 0.0),  # of the month's two returned shipments
         ("Q", 0.0, 0.0, 0.0),
     ]
-    weighed = destinations.top_by_return_weight(frame, back, base, MONTHS, 10).collect()
-    assert [(r.master_dest, r.cur, r.cur_pct) for r in weighed] == [("P", 6.0, 37.5), ("Q", 2.0, 12.5)]
+    weighed = destinations.top_by_return_weight(returned, MONTHS, 10).collect()
+    assert [(r.master_dest, r.cur, r.cur_pct) for r in weighed] == [("P", 6.0, 120.0), ("Q", 2.0, 40.0)]
 
 
 def test_matrix_equals_the_multiplied_join(spark):
@@ -180,11 +181,12 @@ def test_zone_rows_and_total_lines(spark):
         *ship("P", PREV, 1, normal_weight_charges=20, normal_revenue=25, cod=None),
     )
     days = {PREV: 4, CUR: 5}
-    charges = {r.dest_zone_type: r for r in zones.weight_charges_by_zone(frame, MONTHS, days).collect()}
+    sums = zones.zone_month_sums(frame, MONTHS)
+    charges = {r.dest_zone_type: r for r in zones.weight_charges_by_zone(sums, MONTHS, days).collect()}
     assert set(charges) == {"A", "WC", "Normal Weight Charges", "Daily Normal Charge"}
     assert (charges["WC"].prev, charges["WC"].cur, charges["WC"].cur_pct) == (0.0, 10.0, 25.0)
     assert charges["Daily Normal Charge"].cur == 8.0
-    revenue = {r.dest_zone_type: r for r in zones.revenue_by_zone_cod(frame, MONTHS, days).collect()}
+    revenue = {r.dest_zone_type: r for r in zones.revenue_by_zone_cod(sums, MONTHS, days).collect()}
     assert revenue["A"].measure == "normal_weight_charges"
     assert revenue["Total Revenue - COD"].prev == 25.0  # a missing cod is not zero
     assert revenue["Total Revenue - NCOD"].cur == 25.0

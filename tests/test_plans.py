@@ -26,7 +26,6 @@ REPORT_SIZED_WINDOWS = {
     "top_dest_weight_charges": "twice the top n plus one",
     "top_dest_revenue": "twice the top n plus one",
     "shipment_bands": "bands plus one",
-    "sp_customer_scorecard": "sales persons",
 }
 
 
@@ -112,3 +111,28 @@ def test_shuffles(plans, name, shuffles):
 @pytest.mark.parametrize("name", ["account_lifecycle", "dest_day_zone_matrix", "top_dest_rps"])
 def test_sums_start_before_the_shuffle(plans, name):
     assert "partial_" in plans[name]
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["top_dest_returns", "top_dest_return_weight", "dest_day_zone_matrix", "return_revenue_by_zone", "top_dest_return_revenue"],
+)
+def test_returns_dated_elsewhere_are_chosen_before_they_are_summed(spark, tmp_path, name):
+    def load(table):
+        spark.createDataFrame([], stored_schema(table)).write.mode("overwrite").parquet(str(tmp_path / table))
+        return spark.read.schema(stored_schema(table)).parquet(str(tmp_path / table))
+
+    tables = ShipmentTables(load, has_history=True)
+    plan = REPORTS[name](tables, PARAMS)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "return_cn" in line and "Relation" in line)
+    above = [i for i, line in enumerate(lines[:at]) if "LeftSemi" in line]
+    assert above
+    assert not any("Aggregate [normal_cn" in line for line in lines[above[-1] : at])
+
+
+@pytest.mark.parametrize("name, scans", {"top_customers": 2, "customer_metrics": 2, "sp_customer_scorecard": 2}.items())
+def test_whole_comes_from_a_narrow_scan(plans, name, scans):
+    """One scan of the report's columns; the whole reads the revenue of the same months, or reuses the shuffle."""
+    wide = [line for line in plans[name].splitlines() if "FileScan" in line and "shipments" in line]
+    assert len(wide) <= scans

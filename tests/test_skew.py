@@ -8,6 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from parcelscope.operators.returns import returned_by_destination
 from parcelscope.plans import destinations, sales_people, zones
 from parcelscope.plans.history import build_history
 from parcelscope.schema import CRF, RETURNREPORT, SALESREPORT
@@ -74,9 +75,9 @@ def destination(i):
 
 
 def test_hot_returned_shipment(hot):
-    sent, back, names = hot
-    history = build_history(sent, back, names)
-    table = destinations.top_by_return_weight(sent, back, history, MONTHS, 100).collect()
+    sent, back, _ = hot
+    returned = returned_by_destination(sent, back, list(MONTHS.values()))
+    table = destinations.top_by_return_weight(returned, MONTHS, 100).collect()
     expected = Counter()
     for i in returned_numbers():
         expected[destination(i)] += 1 + i % 5

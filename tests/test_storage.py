@@ -1,25 +1,33 @@
 from __future__ import annotations
 
+import csv
+from dataclasses import replace
 from datetime import date
+from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from __spark_entry__ import PARAMS
-from parcelscope.catalog import REPORTS, display_types
+from parcelscope.catalog import REPORTS, ROW_ORDER, display_types
+from parcelscope.params import load_params
 from parcelscope.review import StagedTables, run_review, staging_folder
 from parcelscope.sinks.writers import write_per_customer
+from parcelscope.schema import MOM_HISTORY
 from parcelscope.sources.tables import ShipmentTables
 from parcelscope.sources.warehouse import (
     conform,
+    jdbc_tables,
     read_table,
     refresh_history,
     stored_schema,
     warehouse_tables,
     write_table,
 )
-from tests.frames import history, returns, shipments
+from tests.frames import customers, history, returns, shipments
 
 NAMES = ("salesreport", "returnreport", "acc_form", "crf")
 FIRST, LAST = date(2000, 4, 1), date(2000, 6, 1)
@@ -110,13 +118,17 @@ def test_tables_kept_by_others_are_conformed(spark):
 
 
 def test_staging_uses_the_clusters_folder():
-    def session(settings):
-        context = SimpleNamespace(applicationId="app-1")
-        return SimpleNamespace(conf=settings, sparkContext=context)
+    def session(settings, master="spark://host"):
+        return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
 
     named = session({"spark.checkpoint.dir": "/shared/ckpt"})
-    assert staging_folder(named, "/out") == "/shared/ckpt/parcelscope/app-1"
-    assert staging_folder(session({}), "/out") == "/out/parcelscope/app-1"
+    first, second = staging_folder(named, "/out"), staging_folder(named, "/out")
+    assert first.startswith("/shared/ckpt/parcelscope/") and first != second
+    assert staging_folder(session({}, "local[4]"), "/out").startswith("/out/parcelscope/")
+    assert staging_folder(session({}), "hdfs://nn/out").startswith("hdfs://nn/out/parcelscope/")
+    for path in ("/out", "file:///out"):
+        with pytest.raises(ValueError):
+            staging_folder(session({}), path)
 
 
 def test_review_writes_what_the_reports_hold(spark, tables, tmp_path):
@@ -124,18 +136,185 @@ def test_review_writes_what_the_reports_hold(spark, tables, tmp_path):
     written = run_review(spark, tables, PARAMS, str(tmp_path), names)
     assert list(written) == names
     for name in names:
-        expected = display_types(REPORTS[name](tables, PARAMS))
+        expected = REPORTS[name](tables, PARAMS)
         csv, sheet = written[name][:2]
-        assert rows(spark.read.parquet(sheet)) == rows(expected)
-        text = spark.read.option("header", True).schema(expected.schema).csv(csv)
-        assert rows(text) == rows(expected)
+        assert rows(display_types(spark.read.parquet(sheet))) == rows(display_types(expected))
+        text = spark.read.option("header", True).schema(display_types(expected).schema).csv(csv)
+        assert rows(text) == rows(display_types(expected))
     assert len(written["key_account_trend"]) == 3
 
 
+def test_reports_are_computed_once_and_keep_decimals(spark, tables, tmp_path, monkeypatch):
+    ran = spark.sparkContext.accumulator(0)
+
+    def counted(tables, params):
+        frame = tables.customers().limit(1).selectExpr("'a' as customer", "cast(12345678901234567.89 as decimal(38,2)) as money")
+        return frame.rdd.map(lambda row: (ran.add(1), row)[1]).toDF(frame.schema)
+
+    monkeypatch.setitem(REPORTS, "key_account_trend", counted)
+    monkeypatch.setitem(ROW_ORDER, "key_account_trend", ("-money",))
+    sheet = run_review(spark, tables, PARAMS, str(tmp_path), ["key_account_trend"])["key_account_trend"][1]
+    assert ran.value == 1
+    assert spark.read.parquet(sheet).first().money == Decimal("12345678901234567.89")
+
+
+def test_written_rows_are_in_display_order(spark, tables, tmp_path):
+    names = ["monthly_kpis_mom_diff", "weight_charges_by_zone", "return_shipments_by_zone", "top_dest_revenue"]
+    written = run_review(spark, tables, PARAMS, str(tmp_path), names)
+    for name in names:
+        files = sorted(Path(written[name][0]).glob("*.csv"))
+        lines = [line for f in files for line in csv.DictReader(f.open())]
+        if name.startswith("top"):
+            key = [-float(r["a_cur"]) for r in lines]
+        else:
+            key = [(r.get("month_start", ""), int(r["ord"])) for r in lines]
+        assert key == sorted(key) and len(lines) > 4, name
+
+
+def test_two_reviews_in_one_session_do_not_mix(spark, tables, tmp_path):
+    june, may = PARAMS, replace(PARAMS, cur=date(2000, 5, 1))
+    first = run_review(spark, tables, may, str(tmp_path / "a"), ["mom_history_build", "monthly_kpis"])
+    only_may = ShipmentTables.of(
+        **{n: tables.frame(n) for n in NAMES if n != "salesreport"},
+        salesreport=tables.frame("salesreport").where("normal_cn_date between '2000-05-01' and '2000-05-31'"),
+    )
+    second = run_review(spark, only_may, june, str(tmp_path / "b"), ["mom_history_build"])
+    months = spark.read.parquet(second["mom_history_build"][1]).select("month_start").distinct().collect()
+    assert [r.month_start for r in months] == [date(2000, 5, 1)]
+    assert spark.read.parquet(first["mom_history_build"][1]).count() == tables.history().count()
+
+
+def test_history_is_staged_for_the_months_asked_for(spark, tables, tmp_path):
+    asked = []
+
+    class Watched(StagedTables):
+        def shipments(self, start=None, end=None):
+            asked.append((start, end))
+            return super().shipments(start, end)
+
+    staged = Watched(spark, tables, str(tmp_path))
+    REPORTS["top_dest_shipments"](staged, PARAMS)
+    assert not (tmp_path / "mom_history").exists()
+    asked.clear()
+    got = staged.history(date(2000, 5, 1), date(2000, 6, 1))
+    assert set(asked) == {(date(2000, 5, 1), date(2000, 6, 30))}
+    assert rows(got) == rows(tables.history(date(2000, 5, 1), date(2000, 6, 1)))
+    asked.clear()
+    wider = staged.history(date(2000, 3, 1), date(2000, 6, 1))
+    assert set(asked) == {(date(2000, 3, 1), date(2000, 4, 30))}
+    assert rows(wider) == rows(tables.history(date(2000, 3, 1), date(2000, 6, 1)))
+    asked.clear()
+    staged.history(date(2000, 4, 1), date(2000, 5, 1))
+    assert not asked
+
+
+def test_a_review_scans_the_shipments_once_for_each_staged_table(spark, tables, tmp_path):
+    """Five account reports, two zone tables, two return tables: one staged table each."""
+    built = []
+    staged = StagedTables(spark, tables, str(tmp_path))
+    share = staged.shared
+    staged.shared = lambda name, build: share(name, lambda: (built.append(name), build())[1])
+    for name in (
+        "account_lifecycle", "approved_accounts_by_sp", "sp_list", "weight_charges_by_zone", "revenue_by_zone_cod",
+        "top_dest_returns", "top_dest_return_weight", "key_account_trend", "key_account_group_trend", "top_dest_rps", "top_dest_wps",
+    ):
+        assert rows(REPORTS[name](staged, PARAMS)) == rows(REPORTS[name](tables, PARAMS)), name
+    assert len(built) == len(set(built)) == 5
+
+
+def test_parameters_of_one_report(spark, tmp_path):
+    path = tmp_path / "params.json"
+    path.write_text(
+        '{"cur": "2000-06-01", "n_months": 6, "reports": {"top_customers": {"n_months": 2}, '
+        '"accounts_lost_by_sp": {"account_first": "1995-01-01", "account_last": "1995-03-31"}}}'
+    )
+    params = load_params(spark, str(path))
+    assert params.for_report("top_customers").window == (date(2000, 5, 1), date(2000, 6, 1))
+    assert params.for_report("customer_metrics").window == params.window == (date(2000, 1, 1), date(2000, 6, 1))
+    assert params.for_report("accounts_lost_by_sp").account_range == (date(1995, 1, 1), date(1995, 3, 31))
+    assert params.for_report("new_active_by_sp").account_range == params.account_range
+    path.write_text('{"cur": "2000-06-01", "nmonths": 6}')
+    with pytest.raises(ValueError):
+        load_params(spark, str(path))
+
+
+def test_refresh_empties_a_month_without_shipments(spark, tables, tmp_path):
+    folder = str(tmp_path)
+    write_table(tables.history(date(2000, 4, 1), date(2000, 6, 1)), folder, "mom_history")
+    fewer = ShipmentTables.of(
+        salesreport=tables.frame("salesreport").where("month(normal_cn_date) <> 4"),
+        returnreport=tables.frame("returnreport"), crf=tables.frame("crf"),
+    )
+    refresh_history(fewer, folder, date(2000, 4, 1), date(2000, 5, 1))
+    months = read_table(spark, folder, "mom_history").select("month_start").distinct().collect()
+    assert sorted(r.month_start for r in months) == [date(2000, 5, 1), date(2000, 6, 1)]
+
+
+class Database:
+    """Stands in for spark.read.jdbc: the rows of each query's WHERE clause, from frames."""
+
+    def __init__(self, spark, frames):
+        self.frames, self.queries = frames, {}
+        self.conf, self.spark = spark.conf, spark
+
+    @property
+    def read(self):
+        return self
+
+    def jdbc(self, url, name, predicates=None, properties=None):
+        self.queries[name] = predicates
+        frame = self.frames[name]
+        if predicates is None:
+            return frame
+        parts = [frame.where(p) for p in predicates]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionAll(part)
+        return out
+
+
+def test_a_database_loses_no_rows(spark, tables):
+    late = tables.frame("returnreport").withColumn("normal_cn_date", F.add_months("normal_cn_date", 2))
+    frames = {n: tables.frame(n) for n in NAMES} | {"returnreport": late, "mom_history": tables.history().drop("month_start")}
+    database = Database(spark, frames)
+    stored = jdbc_tables(database, "jdbc:x", FIRST, LAST, with_history=False, account_bounds=["C-2", "C-5"])
+    plain = ShipmentTables.of(**{n: frames[n] for n in NAMES})
+    for name in ("monthly_returns", "top_dest_returns", "approved_accounts_by_sp", "sp_list", "mom_history_build"):
+        assert rows(display_types(REPORTS[name](stored, PARAMS))) == rows(display_types(REPORTS[name](plain, PARAMS))), name
+    assert stored.history().where("ret_ship > 0").count() > 0
+    assert len(database.queries["salesreport"]) == 5 and len(database.queries["crf"]) == 3
+    kept = jdbc_tables(database, "jdbc:x", FIRST, LAST)
+    assert rows(kept.history().select(*MOM_HISTORY.names)) == rows(tables.history().select(*MOM_HISTORY.names))
+    assert len(database.queries["mom_history"]) == 4
+
+
+def test_wider_stored_types_are_read_and_checked(spark, tmp_path):
+    frame = shipments(spark, {"weight": 3}, {"weight": 4})
+    frame.withColumn("weight", F.col("weight").cast("decimal(18,2)")).write.parquet(f"{tmp_path}/a/salesreport")
+    assert sorted(r.weight for r in read_table(spark, f"{tmp_path}/a", "salesreport").collect()) == [3, 4]
+    frame.withColumn("weight", F.lit(1_000_000).cast("decimal(18,2)")).write.parquet(f"{tmp_path}/b/salesreport")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|cannot be represented"):
+        read_table(spark, f"{tmp_path}/b", "salesreport").collect()
+
+
+def test_absent_charges_stay_unknown(spark):
+    bare = shipments(spark, {}).drop("normal_fsc", "normal_other_charges")
+    tables = ShipmentTables.of(salesreport=conform(bare, "salesreport"), returnreport=returns(spark), crf=customers(spark))
+    row = tables.history().first()
+    assert (row.n_fsc, row.n_oth_chgs, row.n_rev) == (None, None, 12)
+
+
+def test_names_lose_all_white_space(spark):
+    frame = shipments(spark, {"sp_name": "\t ann b\u00a0\n"}, {"sp_name": "Ann B"}, {"sp_name": None})
+    names = {r.sp_name for r in ShipmentTables.of(salesreport=frame).sales_people().collect()}
+    assert names == {"ANN B", None}
+
+
 def test_one_folder_per_customer(spark, tables, tmp_path):
     report = REPORTS["key_account_trend"](tables, PARAMS)
     path = write_per_customer(report, str(tmp_path), "key_account_trend")
     customers = {r.customer for r in report.select("customer").distinct().collect()}
+    assert all(len(list(d.glob("*.csv"))) == 1 for d in Path(path).glob("customer=*"))
     back = spark.read.option("header", True).csv(path)
     assert {r.customer for r in back.select("customer").distinct().collect()} == customers
     assert back.count() == report.count()
