@@ -39,10 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelscope.llm.bpe import byte_alphabet
 from parcelscope.llm.common import fresh_folder, open_store
 
 _MASK = 0xA282EAD8  # fixed value of the checksum mask
 _CACHED_RUNS = 1_000_000
+_MARKS = ",.;:!?"
+_LATIN_END = "\u0250"  # letters below are known to every version of Unicode
 _BARE_BLANK = re.compile(r" (?:\s|\Z)")  # a blank before white space or at the end
 
 
@@ -110,6 +113,9 @@ class _Runs(dict):
 
     def __init__(self, path: str, width: int):
         self.tokenizer, self.code = _tokenizer(path), {2: "H", 4: "I"}[width]
+        self.model = self.tokenizer.model
+        self.letters = dict(enumerate(byte_alphabet()))
+        self.marks = {m: self.encode(m) for m in _MARKS}
 
     def packed(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
@@ -117,12 +123,26 @@ class _Runs(dict):
     def encode(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if text else b""
 
+    def word(self, word: str) -> bytes:
+        """Ids of a blank and Latin letters, which are one piece: the library's model alone encodes it."""
+        piece = f" {word}".encode().decode("latin-1").translate(self.letters)
+        return self.packed([t.id for t in self.model.tokenize(piece)])
+
     def learn(self, runs: list[str]) -> None:
-        fresh = list(set(runs))
+        fresh = set(runs)
         if len(self) + len(fresh) > _CACHED_RUNS:
             self.clear()
-        for start in range(0, len(fresh), 10_000):
-            part = fresh[start : start + 10_000]
+        others = []
+        for run in fresh:
+            # A mark behind a word is a piece of its own.
+            mark = run[-1:] if run[-1:] in self.marks else ""
+            word = run[:-1] if mark else run
+            if word.isalpha() and max(word) < _LATIN_END:
+                self[run] = self.word(word) + self.marks[mark] if mark else self.word(word)
+            else:
+                others.append(run)
+        for start in range(0, len(others), 10_000):
+            part = others[start : start + 10_000]
             found = self.tokenizer.encode_batch_fast([" " + r for r in part], add_special_tokens=False)
             self.update(zip(part, [self.packed(f.ids) for f in found]))
 
