@@ -44,19 +44,33 @@ ZONE_SUMS = {
 
 # A table may lack these columns; their sums are then unknown, not zero.
 MAY_BE_ABSENT = ("n_fsc", "n_oth_chgs")
+# Money has more digits than Spark adds up as longs, and a roll-up adds it up ten times a row. So it
+# is counted in the smallest unit of its column; cast and sum raise an error where a long has no room.
+IN_UNITS = (
+    "normal_weight_charges", "normal_fsc", "normal_other_charges", "normal_revenue", "cod", "return_charges",
+)
 
 
-def _sum(name: str, value: str, condition: str | None) -> str:
+def _in_units(frame: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Money as whole numbers, and the decimal places of each column."""
+    places = {c: frame.schema[c].dataType.scale for c in IN_UNITS}
+    return frame.withColumns({c: F.expr(f"cast({c} * {10**n} as bigint)") for c, n in places.items()}), places
+
+
+def _sum(name: str, value: str, condition: str | None, places: dict[str, int]) -> str:
     filtered = f" filter (where {condition})" if condition else ""
-    if name in MAY_BE_ABSENT:
-        return f"sum({value}){filtered} as {name}"
-    return f"coalesce(sum({value}){filtered}, 0) as {name}"
+    total = f"sum({value}){filtered}"
+    if value in places:
+        unit = f"1{'0' * places[value]}"
+        total = f"cast({total} as decimal(19, 0)) / cast({unit} as decimal({len(unit)}, 0))"
+        total = f"cast({total} as decimal(28, {places[value]}))"
+    return f"{total} as {name}" if name in MAY_BE_ABSENT else f"coalesce({total}, 0) as {name}"
 
 
-def _roll_up() -> list[str]:
-    plain = [_sum(name, *rule) for name, rule in SUMS.items()]
+def _roll_up(places: dict[str, int]) -> list[str]:
+    plain = [_sum(name, *rule, places) for name, rule in SUMS.items()]
     zoned = [
-        _sum(f"{prefix}_{slot}", value, f"slot = '{slot}' and {condition}")
+        _sum(f"{prefix}_{slot}", value, f"slot = '{slot}' and {condition}", places)
         for prefix, (value, condition) in ZONE_SUMS.items()
         for slot in ZONE_SLOTS
     ]
@@ -68,11 +82,11 @@ def build_history(shipments: DataFrame, returns: DataFrame, customers: DataFrame
 
     Customer attributes join after the roll-up, on account rows instead of shipments.
     """
+    joined, places = _in_units(with_returns(shipments.where("month_start is not null"), returns))
     rolled = (
-        with_returns(shipments.where("month_start is not null"), returns)
-        .withColumn("slot", zone_slot())
+        joined.withColumn("slot", zone_slot())
         .groupBy("acc_no", "sp_name", "month_start")
-        .agg(*[F.expr(text) for text in _roll_up()])
+        .agg(*[F.expr(text) for text in _roll_up(places)])
         .withColumn("month", label_short("month_start"))
     )
     one_per_account = customers.groupBy("acc_no").agg(

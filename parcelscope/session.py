@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 # Shuffle partition counts are left to adaptive execution: it starts from
 # spark.sql.shuffle.partitions of the cluster and merges or splits by bytes seen.
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",  # sums and casts that overflow raise an error
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
