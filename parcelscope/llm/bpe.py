@@ -31,10 +31,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelscope.llm.common import Recent
+
 _END = "\n"  # stands for the suffix; it is no character of the byte alphabet
 _NEVER = math.inf
-_CACHED_RUNS = 300_000
-_CACHED_WORDS = 200_000
+_CACHED_RUNS = 200_000  # twice, as two generations are held
+_CACHED_WORDS = 100_000
 _CACHED_PAIRS = 200_000
 
 
@@ -90,7 +92,7 @@ class Vocabulary:
         self.text = "".join(ordered)
         self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in ordered])]).tolist()
         self.letters = dict(enumerate(byte_alphabet()))
-        self.words: dict[str, list[int]] = {}
+        self.words = Recent(self._known_word, _CACHED_WORDS)
         self.fits: dict[tuple[int, int], bool] = {}
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
@@ -157,15 +159,8 @@ class Vocabulary:
                 out.pop()
         return out
 
-    def known_word(self, word: str) -> list[int]:
-        """encode_word of a word in plain characters, through a bounded table."""
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= _CACHED_WORDS:
-                self.words.clear()
-            text = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-            ids = self.words[word] = self.encode_word(text)
-        return ids
+    def _known_word(self, word: str) -> list[int]:
+        return self.encode_word(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))
 
     def encode(self, text: str) -> list[int]:
         """Ids of any text."""
@@ -178,7 +173,7 @@ class Vocabulary:
             # Letters are put into lower case one by one: no rule for a final sigma.
             plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
             for word in self.pattern.findall(plain):
-                out += self.known_word(word)
+                out += self.words[word]
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -192,25 +187,20 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-class _Runs(dict):
-    """Run of text -> (ids as decimal text, decoded text, packed ids), all empty where it has no token."""
-
-    def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
+@lru_cache(maxsize=2)
+def _known_runs(path: str, with_ids: bool) -> Recent:
+    """Run of text -> (ids as decimal text, decoded text, packed ids), all empty where it has no token.
 
-    def __missing__(self, run: bytes) -> tuple[bytes, bytes, bytes]:
-        ids = self.vocab.encode(run.decode("utf-8"))
-        value = (" ".join(map(str, ids)).encode(), self.vocab.decode(ids).encode(), array("i", ids).tobytes())
-        if len(self) >= _CACHED_RUNS:
-            self.clear()
-        self[run] = value
-        return value
+    One table for all tasks of a worker process.
+    """
+    vocab = vocabulary(path)
 
+    def compute(run: bytes) -> tuple[bytes, bytes, bytes]:
+        ids = vocab.encode(run.decode("utf-8"))
+        packed = array("i", ids).tobytes() if with_ids else b""
+        return " ".join(map(str, ids)).encode(), vocab.decode(ids).encode(), packed
 
-@lru_cache(maxsize=2)
-def _known_runs(path: str) -> _Runs:
-    """One table for all tasks of a worker process."""
-    return _Runs(vocabulary(path))
+    return Recent(compute, _CACHED_RUNS)
 
 
 def encode_texts(
@@ -220,7 +210,7 @@ def encode_texts(
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _known_runs(path)
+        runs = _known_runs(path, with_ids)
         for batch in batches:
             counts, ids_hex, decoded_hex, packed = [], [], [], []
             for text in batch.column(1):

@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Recent(dict):
+    """Values computed once and kept for a while: when `size` are held, those of the generation before go.
+
+    What comes often moves on into each new generation, so memory stays bounded and frequent keys stay.
+    """
+
+    def __init__(self, compute: Callable, size: int):
+        super().__init__()
+        self.compute, self.size, self.older = compute, size, {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def held_out(key: Column) -> Column:
     """True where crc32 of the key as text leaves 0 modulo 5; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 0
