@@ -4,14 +4,17 @@ A passage is a window of `WINDOW` (35) consecutive words that starts at two or m
 stand at positions 0, 1, ...; D is a difference cover modulo 21: for any two starts there is a shift
 below 21 that brings both to positions in D. So only the 15-word windows at positions in D are
 hashed and shuffled (5 of 21), and two equal passages always share one of these anchors at one offset.
-Where an anchor repeats, the passages around it are hashed in full (128 bits, over the extension to
-both sides), and those that repeat are removed.
+Where an anchor repeats, the passages around it are hashed in full (over the extension to both
+sides), and those that repeat are removed.
 
 Both steps count a key with one rule: every row carries a weight, and a key of weight 2 or more
 repeats. A task sums its own rows first: of a key that it meets several times, one row goes out under
 the key with weight 2, the others under keys of their own, as they are known to repeat. A passage
 that a third of all documents share therefore sends one row a task, not one a document.
 
+Equal texts are worked on once: the first of them stands for all with weight 2, and each of them is
+one repeated passage from end to end. Passage keys have 96 bits.
+
 Texts are judged as they come in: every occurrence of a repeated passage is removed. Words are
 runs of bytes other than space, tab, line feed, vertical tab, form feed and carriage return.
 Null and empty texts have no word. Equal texts and repeated rows are removed whole if they have 35
@@ -95,20 +98,19 @@ def _own_keys(row: np.ndarray, pos: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _summed(keys: list[np.ndarray], row: np.ndarray, pos: np.ndarray) -> list[np.ndarray]:
+def _summed(keys: list[np.ndarray], row: np.ndarray, pos: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
     """[*keys, row, pos, weight] with one row a key, the further rows of a key under keys of their own."""
     order = np.lexsort(keys[::-1])
-    keys, row, pos = [k[order] for k in keys], row[order], pos[order]
+    keys, row, pos, count = [k[order] for k in keys], row[order], pos[order], count[order]
     first = np.ones(len(row), dtype=bool)
-    if len(row):
-        first[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    first[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
     starts = np.flatnonzero(first)
-    count = np.diff(np.append(starts, len(row)))
     weight = np.full(len(row), 2, dtype=np.int32)
-    weight[starts] = np.minimum(count, 2)
+    weight[starts] = np.minimum(np.add.reduceat(count, starts), 2)
     own = _own_keys(row, pos)
     keys = [np.where(first, k, own + np.uint64(n)) for n, k in enumerate(keys)]
-    return [*(k.view(np.int64) for k in keys), row, pos, weight]
+    kinds = (np.int64, np.int32)  # the first key is whole, a second one half
+    return [*(k.astype(np.uint32).view(t) if t is np.int32 else k.view(t) for k, t in zip(keys, kinds)), row, pos, weight]
 
 
 class _Sender:
@@ -117,17 +119,18 @@ class _Sender:
     def __init__(self, names: list[str]):
         self.names, self.parts, self.rows = names, [], 0
 
-    def add(self, *columns: np.ndarray) -> None:
+    def add(self, *columns: np.ndarray, count: int = 1) -> None:
+        """Keys, rows and positions of places that each stand for `count`."""
         if len(columns[0]):
-            self.parts.append(columns)
+            self.parts.append((*columns, np.full(len(columns[0]), count, dtype=np.int32)))
             self.rows += len(columns[0])
 
     def take(self, least: int = 1) -> Iterator[pa.RecordBatch]:
         if self.rows < least:
             return
-        *keys, row, pos = (np.concatenate(c) for c in zip(*self.parts))
+        *keys, row, pos, count = (np.concatenate(c) for c in zip(*self.parts))
         self.parts, self.rows = [], 0
-        columns = [pa.array(c) for c in _summed(keys, row, pos)]
+        columns = [pa.array(c) for c in _summed(keys, row, pos, count)]
         for start in range(0, len(columns[0]), 1 << 16):
             yield pa.RecordBatch.from_arrays([c.slice(start, 1 << 16) for c in columns], self.names)
 
@@ -162,17 +165,25 @@ def candidate_starts(anchors: np.ndarray, n_words: int) -> np.ndarray:
 def _passage_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table, rolling = _WordHashes(), [_Rolling(b) for b in _BASES]
     sender = _Sender(["key", "key2", "row", "pos", "weight"])
+    half = np.uint64(0xFFFFFFFF)
     for batch in batches:
-        ids = batch.column(0).to_numpy()
+        ids, copies = batch.column(0).to_numpy(), batch.column(3).to_pylist()
         for k, (text, anchors) in enumerate(zip(batch.column(1), batch.column(2))):
             hashed = _hashes(split_words(text.as_py()), table)
             starts = candidate_starts(anchors.values.to_numpy(), len(hashed))
-            keys = [r.windows(hashed, WINDOW)[starts] for r in rolling]
-            sender.add(*keys, np.full(len(starts), ids[k]), starts)
+            whole, second = (r.windows(hashed, WINDOW)[starts] for r in rolling)
+            sender.add(whole, second & half, np.full(len(starts), ids[k]), starts, count=min(copies[k], 2))
             yield from sender.take(_FLUSH)
     yield from sender.take()
 
 
+def _first_of_equals(texts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(row, copies) of the first row of each text among the candidates; the other rows of a text are left out."""
+    digest = [F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("h2"), F.octet_length("text").alias("n")]
+    digests = texts.select("row", *digest).join(candidates.select("row"), "row", "left_semi")
+    return digests.groupBy("h", "h2", "n").agg(F.min("row").alias("row"), F.count("*").alias("copies")).select("row", "copies")
+
+
 def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """(row, positions) of the rows whose key has weight 2 or more."""
     weight = F.sum("weight").over(Window.partitionBy(*keys))
@@ -200,7 +211,8 @@ def _results(with_text: bool):
                 words = split_words(text.as_py())
                 kept = words
                 if starts.is_valid:
-                    gone = covered(len(words), starts.values.to_numpy())
+                    at = starts.values.to_numpy()
+                    gone = covered(len(words), at) if at[0] >= 0 else np.ones(len(words), dtype=bool)
                     kept = [w for w, g in zip(words, gone.tolist()) if not g]
                 joined = b" ".join(kept)
                 n_words.append(len(words))
@@ -225,12 +237,19 @@ def repeated_passages(texts: DataFrame) -> DataFrame:
     """Of `texts` (row, id, text): (row, id, text, positions) of those with repeated passages, and these passages' starts."""
     anchors = texts.select("row", "text").mapInArrow(_anchor_rows, "key long, row long, pos int, weight int")
     candidates = _repeated(anchors, ["key"], "anchors")
+    flagged = candidates.join(_first_of_equals(texts, candidates), "row", "left")
     # From here on only the texts with a repeated anchor move.
-    narrowed = staged(texts.join(candidates, "row").select("row", "id", "text", "positions"), "candidates")
+    narrowed = staged(texts.join(flagged, "row").select("row", "id", "text", "positions", "copies"), "candidates")
     release_shuffles(narrowed.sparkSession)
-    passages = narrowed.select("row", "text", "positions").mapInArrow(_passage_rows, "key long, key2 long, row long, pos int, weight int")
+    firsts = narrowed.filter("copies is not null")
+    passages = firsts.select("row", "text", "positions", "copies").mapInArrow(
+        _passage_rows, "key long, key2 int, row long, pos int, weight int"
+    )
     starts = _repeated(passages, ["key", "key2"], "passages")
-    return narrowed.select("row", "id", "text").join(starts, "row")
+    found = firsts.select("row", "id", "text").join(starts, "row")
+    # A text with an equal before it is a repeated passage as a whole: -1 says so.
+    again = narrowed.filter("copies is null").select("row", "id", "text", F.array(F.lit(-1)).alias("positions"))
+    return found.union(again)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
