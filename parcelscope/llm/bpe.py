@@ -35,9 +35,7 @@ from parcelscope.llm.common import Recent
 
 _END = "\n"  # stands for the suffix; it is no character of the byte alphabet
 _NEVER = math.inf
-_CACHED_RUNS = 200_000  # twice, as two generations are held
-_CACHED_WORDS = 100_000
-_CACHED_PAIRS = 200_000
+KNOWN_RUNS = 150_000  # of one generation of the table; two are held
 
 
 def byte_alphabet() -> list[str]:
@@ -92,8 +90,9 @@ class Vocabulary:
         self.text = "".join(ordered)
         self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in ordered])]).tolist()
         self.letters = dict(enumerate(byte_alphabet()))
-        self.words = Recent(self._known_word, _CACHED_WORDS)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.words = Recent(self._known_word, KNOWN_RUNS * 2 // 3)
+        self.most_pairs = KNOWN_RUNS * 2
+        self.fits: dict[int, bool] = {}
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """Symbols at one border of a token, first to last, each with the rank of the merge that ends it."""
@@ -107,7 +106,7 @@ class Vocabulary:
 
     def pair_fits(self, left: int, right: int) -> bool:
         """Whether the text of both tokens together is encoded as the two."""
-        known = self.fits.get((left, right))
+        known = self.fits.get(left << 32 | right)
         if known is not None:
             return known
         a, b = self._spine(left, 1), self._spine(right, 0)
@@ -126,9 +125,9 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self.fits) >= _CACHED_PAIRS:
+        if len(self.fits) >= self.most_pairs:
             self.fits.clear()
-        self.fits[left, right] = fits
+        self.fits[left << 32 | right] = fits
         return fits
 
     def encode_word(self, word: str) -> list[int]:
@@ -188,29 +187,33 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 @lru_cache(maxsize=2)
-def _known_runs(path: str, with_ids: bool) -> Recent:
+def _known_runs(path: str, with_ids: bool, known: int) -> Recent:
     """Run of text -> (ids as decimal text, decoded text, packed ids), all empty where it has no token.
 
     One table for all tasks of a worker process.
     """
     vocab = vocabulary(path)
+    vocab.words.size, vocab.most_pairs = known * 2 // 3, known * 2
 
     def compute(run: bytes) -> tuple[bytes, bytes, bytes]:
         ids = vocab.encode(run.decode("utf-8"))
         packed = array("i", ids).tobytes() if with_ids else b""
         return " ".join(map(str, ids)).encode(), vocab.decode(ids).encode(), packed
 
-    return Recent(compute, _CACHED_RUNS)
+    return Recent(compute, known)
 
 
 def encode_texts(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, known: int = KNOWN_RUNS
 ) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row; with_ids: also ids, the token ids themselves."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row; with_ids: also ids, the token ids themselves.
+
+    `known` bounds the tables of runs, words and pairs that a worker keeps: about 1 KB of memory for each.
+    """
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _known_runs(path, with_ids)
+        runs = _known_runs(path, with_ids, known)
         for batch in batches:
             counts, ids_hex, decoded_hex, packed = [], [], [], []
             for text in batch.column(1):

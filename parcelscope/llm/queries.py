@@ -64,7 +64,8 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode_texts(docs, tokenizer_path("word_bpe_49k.json"), known=300_000)
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
