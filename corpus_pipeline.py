@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import bpe, decontaminate, language_id, simhash, substring_dedup
+from parcelscope.llm import bpe, decontaminate, language_id, shingle_join, substring_dedup
 from parcelscope.llm.common import held_out, numbered, ship_package, staged, table
 from parcelscope.llm.queries import tokenizer_path
 
@@ -28,10 +28,10 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document (least doc_id) of each group of near-duplicates."""
+    """The first document (least doc_id) of each group of which 5-word shingles agree to 0.8 or more, each with the next."""
     ship_package(spark)
     rows = numbered(docs, "doc_id", ROW)
-    groups = simhash.near_duplicates(rows, id_col=ROW)
+    groups = shingle_join.near_copies(rows, id_col=ROW)
     # The copies are fewer than what stays, so they are what is joined.
     copies = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias(ROW))
     return rows.join(copies, ROW, "left_anti").select(*docs.columns)

@@ -1,0 +1,261 @@
+"""Near copies: texts whose sets of word shingles agree to a given share, all of them.
+
+Two SimHash fingerprints of texts that agree to 0.8 differ in some ten of 64 bits, which no short list
+of keys can cover. So SimHash with its Golay keys proposes pairs, a prefix join proposes all that can
+be left, and every pair is verified on the shingles themselves.
+
+Prefix join: shingles have one order for all texts (by hash; those that are common in a sample come
+last). Two sets of similarity t or more share one of the first n - ceil(t n) + 1 shingles of each, n
+being the set's own size, so these are its keys. Texts with equal sets are one set. First each set is
+paired with the least of each key and with its links by fingerprint; what agrees is one component.
+Then every pair of a key whose sets are still in different components is verified, in blocks of
+`MAX_BUCKET` for crowded keys. No pair is left out, but those that are already joined.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from parcelscope.llm import simhash
+from parcelscope.llm.common import staged
+from parcelscope.llm.components import components
+
+SIZE, SIMILARITY = 5, 0.8
+SAMPLE, COMMON, MAX_COMMON = 4000, 8, 1 << 16  # sets in which at least COMMON uses make a shingle a common one
+MAX_BUCKET = 1024
+
+
+def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
+    """Sorted hashes of the different shingles of `size` words; of a shorter text, all its words are one."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, dtype=np.uint64)
+    size = min(size, len(words))
+    digest = xxhash.xxh64_intdigest
+    shingles = map(b" ".join, zip(*(words[k:] for k in range(size))))
+    return np.unique(np.fromiter((digest(s, simhash.SEED) for s in shingles), dtype=np.uint64, count=len(words) - size + 1))
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets share `similarity` of their union."""
+    both = np.concatenate([a, b])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return common >= similarity * (len(both) - common) - 1e-9
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set in the order of all sets. `common` is sorted, `rank` orders it."""
+    most = len(shingles) - math.ceil(similarity * len(shingles) - 1e-9) + 1
+    if not len(common) or not len(shingles):
+        return shingles[:most]
+    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+    last = common[at] == shingles
+    ordered = np.concatenate([shingles[~last], shingles[last][np.argsort(rank[at[last]])]])
+    return ordered[:most]
+
+
+def _sizes_fit(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    return np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9
+
+
+# --- sets and keys --------------------------------------------------------------------------
+
+
+def _told(docs: DataFrame, size: int) -> DataFrame:
+    """(id, digest of the set, its size, fingerprint) of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, counts, prints = [], [], []
+            for text in batch.column(1):
+                text = text.as_py()
+                shingles = shingle_set(text, size)
+                digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
+                counts.append(len(shingles))
+                prints.append(simhash.fingerprint(text, size))
+            found = np.array(prints, dtype=np.uint64).view(np.int64)
+            columns = [batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(found)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "n", "fp"])
+
+    return docs.mapInArrow(run, "id long, digest binary, n int, fp long")
+
+
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """(uid, shingles) of (id, text)"""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                sets = [shingle_set(t.as_py(), size).tobytes() for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["uid", "shingles"])
+
+    return docs.mapInArrow(run, "uid long, shingles binary")
+
+
+def _common(texts: DataFrame, n_sets: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that come often in a sample, sorted, and their rank by frequency. The order of keys hangs on them, no result."""
+    share = min(1.0, SAMPLE / max(n_sets, 1))
+    drawn = texts.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py(), size) for t in batch.column(1)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
+
+    counts = drawn.mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
+    rows = counts.orderBy(F.desc("n"), "key").limit(MAX_COMMON).collect()
+    keys = np.array([r["key"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], (len(rows) - np.arange(len(rows)))[order]
+
+
+def _groups(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], size: int, similarity: float) -> DataFrame:
+    """(uids, ns): the sets of each key that more than one has, least uid first, and their sizes."""
+    shared = texts.sparkSession.sparkContext.broadcast(common)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rank = shared.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for start in range(0, batch.num_rows, 256):
+                sets = [shingle_set(t.as_py(), size) for t in batch.column(1).slice(start, 256)]
+                found = [prefix(s, known, rank, similarity) for s in sets]
+                lengths = [len(f) for f in found]
+                columns = [
+                    pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(ids[start : start + 256], lengths)),
+                    pa.array(np.repeat(np.array([len(s) for s in sets], dtype=np.int32), lengths)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "uid", "n"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[list[np.ndarray]] = []  # parts of the last key so far
+
+        def grouped(key: np.ndarray, uid: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            lengths = np.diff(np.append(first, len(key)))
+            held = np.repeat(lengths > 1, lengths)
+            ends = pa.array(np.concatenate([[0], np.cumsum(lengths[lengths > 1])]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x[held])) for x in (uid, n)]
+            return pa.RecordBatch.from_arrays(lists, ["uids", "ns"])
+
+        for batch in batches:
+            columns = [batch.column(k).to_numpy() for k in range(3)]
+            if not batch.num_rows:
+                continue
+            if rest and columns[0][0] == columns[0][-1] == rest[-1][0][-1]:
+                rest.append(columns)  # a key that goes on through whole batches is joined once
+                continue
+            columns = [np.concatenate(x) for x in zip(*rest, columns)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            rest = [[c[cut:] for c in columns]]
+            if cut:
+                yield grouped(*(c[:cut] for c in columns))
+        if rest:
+            yield grouped(*(np.concatenate(x) for x in zip(*rest)))
+
+    rows = texts.mapInArrow(keys, "key long, uid long, n int")
+    return rows.repartition("key").sortWithinPartitions("key", "uid").mapInArrow(gather, "uids array<long>, ns array<int>")
+
+
+# --- pairs ----------------------------------------------------------------------------------
+
+
+def _with_least(groups: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): every set of a key and the least of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = batch.column(0).offsets.to_numpy()
+            uids, ns = (batch.column(k).values.to_numpy() for k in range(2))
+            first = np.repeat(ends[:-1], np.diff(ends))
+            uids, ns, least, size = uids[ends[0] : ends[-1]], ns[ends[0] : ends[-1]], uids[first], ns[first]
+            fit = (uids != least) & _sizes_fit(ns, size, similarity)
+            pairs = np.unique(np.column_stack([least[fit], uids[fit]]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
+
+    return groups.mapInArrow(run, "u long, v long")
+
+
+def _across(groups: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): all pairs of a key whose sets are in different components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, rows in zip(*(batch.column(k) for k in range(3))):
+                low, high, rows = low.as_py(), high.as_py(), rows.values
+                uid, n, root, mine = (rows.field(c).to_numpy() for c in ("uid", "n", "root", "mine"))
+                for k in np.flatnonzero(mine == low):
+                    fit = (mine == high) & (root != root[k]) & _sizes_fit(n, n[k], similarity)
+                    if low == high:
+                        fit &= uid > uid[k]
+                    if fit.any():
+                        ends = np.sort(np.column_stack([np.full(int(fit.sum()), uid[k]), uid[fit]]), axis=1)
+                        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["u", "v"])
+
+    numbered = groups.withColumn("key", F.xxhash64("uids", "ns")).dropDuplicates(["uids"])
+    rows = numbered.select("key", F.size("uids").alias("size"), F.explode(F.arrays_zip("uids", "ns")).alias("x"))
+    rows = rows.select("key", "size", F.col("x.uids").alias("uid"), F.col("x.ns").alias("n"))
+    rows = rows.join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    blocks = F.ceil(F.col("size") / F.lit(MAX_BUCKET)).cast("int")
+    dealt = (
+        rows.withColumn("mine", F.pmod(F.xxhash64("uid"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .groupBy("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
+        .agg(F.collect_list(F.struct("uid", "n", "root", "mine")).alias("rows"), F.min("root").alias("a"), F.max("root").alias("b"))
+        .filter("a <> b")
+    )
+    return dealt.select("low", "high", "rows").mapInArrow(run, "u long, v long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sets agree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(k).cast(pa.large_binary()) for k in ("a", "b"))
+            held = [similar(*(np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in pair), similarity) for pair in zip(a, b)]
+            yield batch.select(["u", "v"]).filter(pa.array(held, pa.bool_()))
+
+    pairs = staged(pairs.distinct(), "copy-pairs")
+    asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+    sets = staged(_sets(texts.join(asked, "id", "left_semi"), size), "copy-sets")
+    one = sets.select(F.col("uid").alias("u"), F.col("shingles").alias("a"))
+    two = sets.select(F.col("uid").alias("v"), F.col("shingles").alias("b"))
+    joined = pairs.join(one, "u").join(two, "v").select("u", "v", "a", "b")
+    return staged(joined.mapInArrow(run, "u long, v long"), "copy-links")
+
+
+def near_copies(
+    docs: DataFrame, id_col: str, text_col: str = "text", size: int = SIZE, similarity: float = SIMILARITY
+) -> DataFrame:
+    """(doc_id, component_id) of every row of `docs`; component_id is the least id of its group.
+
+    Rows are in one group if a chain of pairs with `similarity` of their shingles leads from one to the other.
+    Ids are unique and not null. Texts without a word are alike.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    told = staged(_told(rows, size), "shingle-digests")
+    least = staged(told.groupBy("digest").agg(F.min("id").alias("uid"), F.min("fp").alias("fp"), F.count("*").alias("n")), "shingle-sets")
+    texts = rows.join(least.select(F.col("uid").alias("id")), "id", "left_semi")
+    groups = staged(_groups(texts, _common(texts, least.count(), size), size, similarity), "shingle-groups")
+
+    prints = staged(least.groupBy("fp").agg(F.min("uid").alias("first")), "copy-prints")
+    u, v = (prints.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_")) for c in "uv")
+    by_print = simhash.links(prints.select("fp")).distinct().join(u, "u").join(v, "v").select(F.least("u_", "v_").alias("u"), F.greatest("u_", "v_").alias("v"))
+    equal = least.join(prints, "fp").filter("uid <> first").select(F.col("first").alias("u"), F.col("uid").alias("v"))
+    first = _verified(_with_least(groups, similarity).union(by_print).union(equal), texts, size, similarity)
+    second = _verified(_across(groups, components(first), similarity), texts, size, similarity)
+    roots = components(first.union(second))
+    named = told.join(least.select("digest", "uid"), "digest").join(roots.withColumnRenamed("node", "uid"), "uid", "left")
+    return named.select(F.col("id").alias("doc_id"), F.coalesce("root", "uid").alias("component_id"))

@@ -1,0 +1,90 @@
+"""Near copies of the pipeline against all pairs in plain Python."""
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from parcelscope.llm import shingle_join
+from parcelscope.llm.common import ship_package, table
+from test_dedup import plain_components
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def spark(spark):
+    ship_package(spark)
+    return spark
+
+
+def plain_sets(texts, size=5):
+    out = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        out.append({tuple(w[k : k + size]) for k in range(max(len(w) - size + 1, 1))} if w else set())
+    return out
+
+
+def plain_groups(rows, similarity=0.8):
+    """{id: least id of its group}"""
+    sets, root = plain_sets([t for _, t in rows]), {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for (a, s), (b, t) in combinations(list(zip([i for i, _ in rows], sets)), 2):
+        if len(s & t) >= similarity * len(s | t) - 1e-9:
+            low, high = sorted((top(a), top(b)))
+            root[high] = low
+    return {i: top(i) for i, _ in rows}
+
+
+def edited(rng, words, share):
+    return [f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in words]
+
+
+@pytest.mark.parametrize("bucket, common", [(1024, 8), (3, 2)])
+def test_all_pairs(spark, monkeypatch, bucket, common):
+    monkeypatch.setattr(shingle_join, "MAX_BUCKET", bucket)
+    monkeypatch.setattr(shingle_join, "COMMON", common)
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(300)]
+    line = rng.choices(vocabulary, k=12)  # a line that many texts share
+    rows = []
+    for _ in range(30):
+        base = rng.choices(vocabulary, k=rng.choice((4, 6, 12, 40, 150, 400))) + line * (rng.random() < 0.7)
+        for share in (0, 0.005, 0.01, 0.02, 0.03, 0.05):
+            rows.append(" ".join(edited(rng, base, share)))
+        rows.append(" ".join(base[: int(len(base) * 0.85)]).upper())
+    rows += ["", None, "one", "One", " ".join(line), " ".join(line * 2)]
+    rng.shuffle(rows)
+    rows = [(7 * k - 100, t) for k, t in enumerate(rows)]
+    got = {r.doc_id: r.component_id for r in shingle_join.near_copies(spark.createDataFrame(rows, "id long, text string"), "id").collect()}
+    assert got == plain_groups(rows)
+    assert len(set(got.values())) < len(got) - 60
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(12)
+    common = np.sort(rng.choice(2000, 100, replace=False)).astype(np.uint64)
+    rank = rng.permutation(100)
+    for _ in range(2000):
+        a = np.unique(rng.integers(0, 2000, rng.integers(1, 60))).astype(np.uint64)
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.93], rng.integers(0, 2000, rng.integers(0, 5)).astype(np.uint64)]))
+        alike = len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b)) - 1e-9
+        assert shingle_join.similar(a, b, 0.8) == alike
+        if alike:
+            assert set(shingle_join.prefix(a, common, rank, 0.8)) & set(shingle_join.prefix(b, common, rank, 0.8))
+
+
+def test_stage_drops_near_copies(spark):
+    docs = table(spark, SF, "documents").filter("text is not null and text <> ''")
+    groups = plain_groups([(r.doc_id, r.text) for r in docs.collect()])
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).select("doc_id").collect()}
+    assert kept == set(groups.values())
+    assert not kept & {145, 177}  # copies that differ from 6 and 1 in 7 and 11 bits of their SimHash
