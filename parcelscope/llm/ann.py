@@ -1,16 +1,18 @@
 """Nearest neighbours by inner product: inverted lists, scanned adaptively by dimension.
 
-Inner products become distances by one more coordinate (the root of the largest squared norm less the
-own squared norm), so the largest product is the least distance. Vectors are turned by one random
+Vectors are parted into bands of norms within a factor of 4, so that a few long ones cannot swamp the
+others. In a band, inner products become distances by one more coordinate (the root of the band's largest
+squared norm less the own squared norm, all divided by that largest norm), so the largest product is the
+least distance. Vectors are turned by one random
 rotation: then every block of coordinates is a fair sample of the whole distance. Inside a probed list
 the distance to a query grows block by block, and a candidate is abandoned as soon as a hypothesis
-test on the part seen says that the whole will exceed the query's threshold. What is left is scored
-in double precision on the original vectors.
+test on the part seen says that the whole will exceed the query's threshold. Everything that is left is
+scored in double precision on the original vectors. Bands too short to reach the threshold are not probed.
 
 The lists are the cells of k-means centres. Centres, and how many lists to probe for a recall of
 `TARGET` on the sample, are fitted on a bounded sample of at most `SAMPLE` vectors; every vector is
-indexed. A query's first threshold is its k-th distance within the sample, which no k-th distance over
-all rows exceeds; these k of the sample also stand as found, so no query comes back short. Lists are cut into blocks of `BLOCK` vectors and the queries of a list into packs
+indexed. A query's first threshold is its k-th product within the sample, taken in double precision, which
+no k-th product over all rows falls below; these k of the sample also stand as found, so no query comes back short. Lists are cut into blocks of `BLOCK` vectors and the queries of a list into packs
 of `PACK`, so that a crowded list is many small tasks.
 
 Equal vectors are one entry with their least k+1 ids, which is all that a result can need. Vectors
@@ -21,6 +23,7 @@ nor do rows without vec_id; rows repeated with one vec_id and vector count once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,8 @@ TARGET = 0.99
 BLOCK = 4096
 PACK = 256
 STEP = 16  # coordinates of a column block
+LEAST = 256  # vectors of a band in the sample, if it has as many
+SLACK = 1e-5  # of squared distances between unit vectors in single precision
 EPSILON = 3.0  # of the test: how far a partial distance must lie beyond the threshold
 SEED = 20
 
@@ -71,43 +76,28 @@ def _nearest(points: np.ndarray, centres: np.ndarray, count: int) -> np.ndarray:
 
 
 class Space:
-    """The rotated space, its lists and the sample; sent to all tasks, bounded by SAMPLE."""
-
-    def __init__(self, uids: np.ndarray, sample: np.ndarray, largest: float, n_vectors: int, k: int):
-        self.uids, self.raw, self.largest, self.k = uids, sample, largest, k
-        rng = np.random.default_rng(SEED)
-        turn, _ = np.linalg.qr(rng.standard_normal((sample.shape[1] + 1, sample.shape[1] + 1)))
-        self.turn = turn.astype(np.float32)
-        self.sample = self.candidates(sample)
+    """The rotated space of one band of norms and its lists. Vectors are divided by the band's largest norm, queries by their own."""
+
+    def __init__(self, sample: np.ndarray, largest: float, n_vectors: int, k: int, asked: np.ndarray, first: int):
+        self.largest, self.k, self.first = largest, k, first  # number of its first list
+        self.turn = _turn(sample.shape[1])
+        points = self.candidates(sample)
         lists = int(min(max(round(n_vectors**0.5), 1), max(len(sample) // 16, 1)))
-        self.centres = _kmeans(self.sample, lists)
-        self.probes = self._calibrated(sample)
+        self.centres = _kmeans(points, lists)
+        self.probes = self._calibrated(points, asked)
 
     def candidates(self, vectors: np.ndarray) -> np.ndarray:
-        rest = np.sqrt(np.maximum(self.largest - (vectors.astype(np.float64) ** 2).sum(axis=1), 0))
-        return np.column_stack([vectors, rest.astype(np.float32)]).astype(np.float32) @ self.turn
-
-    def queries(self, vectors: np.ndarray) -> np.ndarray:
-        return np.column_stack([vectors, np.zeros(len(vectors), np.float32)]).astype(np.float32) @ self.turn
-
-    def distances(self, queries: np.ndarray) -> np.ndarray:
-        return (queries**2).sum(axis=1)[:, None] + (self.sample**2).sum(axis=1) - 2 * (queries @ self.sample.T)
-
-    def thresholds(self, queries: np.ndarray) -> np.ndarray:
-        """Squared distance to the k-th of the sample."""
-        if len(self.sample) < self.k:
-            return np.full(len(queries), np.inf)
-        parts = [queries[i : i + 256] for i in range(0, len(queries), 256)]
-        found = [np.partition(self.distances(p), self.k - 1, axis=1)[:, self.k - 1] for p in parts]
-        return np.concatenate(found).astype(np.float64) * (1 + 1e-4) + 1e-6 if found else np.zeros(0)
+        scaled = vectors.astype(np.float64) / self.largest
+        rest = np.sqrt(np.maximum(1 - (scaled**2).sum(axis=1), 0))
+        return np.column_stack([scaled, rest]).astype(np.float32) @ self.turn
 
-    def _calibrated(self, sample: np.ndarray) -> int:
+    def _calibrated(self, points: np.ndarray, asked: np.ndarray) -> int:
         """Lists to probe so that on the sample the share TARGET of the true neighbours is met."""
         if len(self.centres) == 1:
             return 1
-        queries = self.queries(sample[:: max(len(sample) // 256, 1)])
-        own = _nearest(self.sample, self.centres, 1)[:, 0]
-        true = np.argsort(self.distances(queries), axis=1)[:, : self.k]
+        queries = rotated_queries(asked)
+        own = _nearest(points, self.centres, 1)[:, 0]
+        true = np.argsort(-(queries @ points.T), axis=1)[:, : self.k]
         order = _nearest(queries, self.centres, len(self.centres))
         place = np.empty_like(order)
         np.put_along_axis(place, order, np.broadcast_to(np.arange(order.shape[1], dtype=np.int32), order.shape), axis=1)
@@ -115,9 +105,47 @@ class Space:
         return int(min(np.ceil(np.quantile(needed, TARGET)) + 1, len(self.centres)))
 
 
+@lru_cache(maxsize=4)
+def _turn(size: int) -> np.ndarray:
+    turn, _ = np.linalg.qr(np.random.default_rng(SEED).standard_normal((size + 1, size + 1)))
+    return turn.astype(np.float32)
+
+
+def _units(vectors: np.ndarray) -> np.ndarray:
+    exact = vectors.astype(np.float64)
+    return exact / np.sqrt((exact**2).sum(axis=1))[:, None]
+
+
+def rotated_queries(vectors: np.ndarray) -> np.ndarray:
+    return np.column_stack([_units(vectors), np.zeros(len(vectors))]).astype(np.float32) @ _turn(vectors.shape[1])
+
+
+class Bands:
+    """A space for each band of norms, and the sample of them all; sent to all tasks, bounded by SAMPLE."""
+
+    def __init__(self, uids: np.ndarray, sample: np.ndarray, band: np.ndarray, sizes: dict[int, tuple[int, float]], k: int):
+        """`sizes`: number of vectors and largest norm of each band."""
+        self.uids, self.raw, self.k = uids, sample, k
+        asked, first = sample[:: max(len(sample) // 256, 1)], 0
+        self.spaces: dict[int, Space] = {}
+        for b, (n, largest) in sorted(sizes.items()):
+            self.spaces[b] = Space(sample[band == b], largest, n, k, asked, first)
+            first += len(self.spaces[b].centres)
+
+    def nearest_of_sample(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions of the k best of the sample, k-th product) of each query as a unit vector, in double precision."""
+        k = min(self.k, len(self.raw))
+        products = _units(vectors) @ self.raw.astype(np.float64).T
+        best = np.argpartition(-products, k - 1, axis=1)[:, :k]
+        least = np.take_along_axis(products, best, axis=1).min(axis=1)
+        return best, least if k == self.k else np.full(len(vectors), -np.inf)
+
+
 def scan(query: np.ndarray, candidates: np.ndarray, threshold: float, k: int) -> np.ndarray:
     """Positions of candidates that may be among the k nearest: those that no test abandoned."""
     size = candidates.shape[1]
+    if len(candidates) <= k:
+        return np.arange(len(candidates))
     alive, partial = None, np.zeros(len(candidates), dtype=np.float64)
     for start in range(0, size, STEP):
         stop = min(start + STEP, size)
@@ -134,11 +162,8 @@ def scan(query: np.ndarray, candidates: np.ndarray, threshold: float, k: int) ->
             partial = partial[keep]
         if not len(partial):
             return np.empty(0, dtype=np.int64)
-    alive = np.arange(len(candidates)) if alive is None else alive
-    few = 2 * k  # single precision may swap neighbours; the exact order is settled on these
-    if len(alive) > few:
-        alive = alive[np.argpartition(partial, few - 1)[:few]]
-    return alive
+    # Single precision may swap neighbours, so all that are left are scored exactly.
+    return np.arange(len(candidates)) if alive is None else alive
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
@@ -170,61 +195,71 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     few = rows.withColumn("n", F.dense_rank().over(least)).filter(F.col("n") <= k + 1)
     entries = few.groupBy("v").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
     entries = staged(entries.select(F.monotonically_increasing_id().alias("uid"), "v", "ids"), "ann-entries")
+    # Bands of norms within a factor of 4, the median norm in the middle of one: few, and each well scaled.
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    whole = entries.agg(F.count("*").alias("n"), F.max(norm).alias("largest")).first()
-    if not whole["n"]:
+    middle = entries.agg(F.percentile_approx(norm, 0.5).alias("norm")).first()["norm"]
+    if middle is None:
         return empty
+    entries = entries.withColumn("band", F.round(F.log2(norm / F.lit(middle)) / 4).cast("int"))
+    found = entries.groupBy("band").agg(F.count("*").alias("n"), F.max(norm).alias("largest")).collect()
+    bands = {r["band"]: (r["n"], r["largest"] ** 0.5) for r in found}
+    whole = sum(n for n, _ in bands.values())
     most = max(min(SAMPLE, (64 << 20) // (4 * size)), 256)
-    share = min(1.0, most / whole["n"])
-    draw = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = entries.filter(draw < share).select("uid", "v", draw.alias("d")).orderBy("d", "uid").limit(2 * most).collect()
-    chosen = chosen or entries.select("uid", "v").orderBy("uid").limit(most).collect()
+    share = F.coalesce(*(F.when(F.col("band") == b, F.lit(min(1.0, max(most / whole, LEAST / n)))) for b, (n, _) in bands.items()))
+    draw = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) / float(1 << 30) / share
+    drawn = entries.filter(draw < 1).select("uid", "v", "band", draw.alias("d")).orderBy("d", "uid")
+    chosen = drawn.limit(2 * most + 2 * LEAST * len(bands)).collect()
+    for b in bands.keys() - {r["band"] for r in chosen}:
+        chosen += entries.filter(F.col("band") == b).select("uid", "v", "band").orderBy("uid").limit(LEAST).collect()
     sample = np.array([r["v"] for r in chosen], dtype=np.float32)
-    uids = np.array([r["uid"] for r in chosen], dtype=np.int64)
-    space = Space(uids, sample, whole["largest"], whole["n"], k + 1)
-    shared = spark.sparkContext.broadcast(space)
+    uids, band = (np.array([r[c] for r in chosen], dtype=np.int64) for c in ("uid", "band"))
+    shared = spark.sparkContext.broadcast(Bands(uids, sample, band, bands, k + 1))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space = shared.value
         for batch in batches:
-            v = _matrix(batch.column("v"), size)
-            turned = space.candidates(v)
+            v, band = _matrix(batch.column("v"), size), batch.column("band").to_numpy()
+            turned, lists = np.empty((len(v), size + 1), np.float32), np.empty(len(v), np.int32)
+            for b in np.unique(band):
+                space, own = shared.value.spaces[int(b)], band == b
+                turned[own] = space.candidates(v[own])
+                lists[own] = space.first + _nearest(turned[own], space.centres, 1)[:, 0]
             columns = [
-                pa.array(_nearest(turned, space.centres, 1)[:, 0]), batch.column("uid"),
+                pa.array(lists), batch.column("uid"),
                 pa.array([x.tobytes() for x in v], pa.binary()), pa.array([x.tobytes() for x in turned], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["list", "uid", "raw", "turned"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space = shared.value
         for batch in batches:
-            v = _matrix(batch.column("v"), size)
-            turned = space.queries(v)
-            lists = _nearest(turned, space.centres, space.probes)
-            limits = space.thresholds(turned)
-            uids = batch.column("uid").to_numpy()
-            for start in range(0, len(v), 512):
-                part = slice(start, start + 512)
-                n = len(uids[part])
-                at = np.repeat(np.arange(start, start + n), space.probes)
-                raw, rot = [x.tobytes() for x in v[part]], [x.tobytes() for x in turned[part]]
-                columns = [
-                    pa.array(lists[part].ravel()), pa.array(uids[at]), pa.array([raw[i - start] for i in at], pa.binary()),
-                    pa.array([rot[i - start] for i in at], pa.binary()), pa.array(limits[at]),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["list", "uid", "raw", "turned", "threshold"])
+            vectors, ids = _matrix(batch.column("v"), size), batch.column("uid").to_numpy()
+            for start in range(0, len(vectors), 256):
+                v, uids = vectors[start : start + 256], ids[start : start + 256]
+                turned, (_, product) = rotated_queries(v), shared.value.nearest_of_sample(v)
+                raw, rot = [x.tobytes() for x in v], [x.tobytes() for x in turned]
+                for space in shared.value.spaces.values():
+                    # Squared distance of what has that product. Below zero no vector of the band is long enough.
+                    limits = 2 - 2 * product / space.largest
+                    able = np.flatnonzero(limits > -SLACK)
+                    if not len(able):
+                        continue
+                    at = np.repeat(able, space.probes)
+                    columns = [
+                        pa.array(space.first + _nearest(turned[able], space.centres, space.probes).ravel(), pa.int32()),
+                        pa.array(uids[at]), pa.array([raw[i] for i in at], pa.binary()), pa.array([rot[i] for i in at], pa.binary()),
+                        pa.array(np.maximum(limits[at], 0) * (1 + 1e-4) + SLACK),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["list", "uid", "raw", "turned", "threshold"])
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space = shared.value
-        k = min(space.k, len(space.raw))
+        bands = shared.value
         for batch in batches:
             v = _matrix(batch.column("v"), size)
             for start in range(0, len(v), 256):
                 part = v[start : start + 256]
-                near = np.argpartition(space.distances(space.queries(part)), k - 1, axis=1)[:, :k]
-                scores = np.stack([(space.raw[n].astype(np.float64) * x.astype(np.float64)).sum(axis=1) for n, x in zip(near, part)])
-                quids = np.repeat(batch.column("uid").to_numpy()[start : start + 256], k)
-                columns = [pa.array(quids), pa.array(space.uids[near].ravel()), pa.array(scores.ravel())]
+                near, _ = bands.nearest_of_sample(part)
+                scores = np.stack([(bands.raw[n].astype(np.float64) * x.astype(np.float64)).sum(axis=1) for n, x in zip(near, part)])
+                quids = np.repeat(batch.column("uid").to_numpy()[start : start + 256], near.shape[1])
+                columns = [pa.array(quids), pa.array(bands.uids[near].ravel()), pa.array(scores.ravel())]
                 yield pa.RecordBatch.from_arrays(columns, ["quid", "uid", "score"])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +285,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["quid", "uid", "score"])
 
     kind = "list int, uid long, raw binary, turned binary"
-    lists = staged(entries.select("uid", "v").mapInArrow(assign, kind), "ann-lists")
+    lists = staged(entries.select("uid", "v", "band").mapInArrow(assign, kind), "ann-lists")
     queries = rows.filter(is_query).select("vec_id", "v").distinct()
     asked = staged(queries.join(entries.select("uid", "v"), "v").select("vec_id", "uid"), "ann-queries")
     distinct = entries.join(asked.select("uid").distinct(), "uid").select("uid", "v")

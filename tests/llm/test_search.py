@@ -89,6 +89,23 @@ def test_ann_query(spark):
     assert got == brute_force(rows, 20, 20)
 
 
+@pytest.mark.parametrize("longer", [10**4, 10**6])
+def test_one_long_vector_hides_no_neighbours(spark, monkeypatch, longer):
+    monkeypatch.setattr(ann, "SAMPLE", 600)
+    rng = np.random.default_rng(9)
+    vectors = rng.standard_normal((2500, 32)).astype(np.float32)
+    vectors[7] *= longer
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    got, true = found(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 20, 25), brute_force(rows, 20, 25)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in true[q]}) / 20 for q in true]) >= 0.9
+
+
+def test_scan_keeps_all_within_the_threshold():
+    rng = np.random.default_rng(10)
+    near = rng.standard_normal((500, 64)).astype(np.float32) * 0.01
+    assert len(ann.scan(np.zeros(64, np.float32), near, 1.5, 21)) == 500
+
+
 # --- decontamination ------------------------------------------------------------------------
 
 
