@@ -5,9 +5,11 @@ Texts are sequences of lower-case words. Columns of the TF-IDF matrix are the te
 frequencies count every passage of the corpus. A randomised range finder gives the latent space: one
 distributed pass multiplies a random matrix by the matrix and by its transpose, summed over all
 passages, and the benchmark's own vectors join the basis. Overlapping windows of each document are
-projected and compared with all items by cosine.
+projected and compared with all items by cosine. A benchmark of more than `ITEM_RANK` parts does not fit
+the space, and a short item is a small part of its window; so windows that hold enough of an item's rarest
+words are taken as well. That loses nothing: whatever the check below finds holds that many.
 
-What passes the cosine is checked on the words themselves. With r the longest common subsequence of
+What is taken is checked on the words themselves. With r the longest common subsequence of
 item and window over the words of the item: r of `SURE` or more is a leak, and from `LIKELY` on it
 is one, a paraphrase, if the window holds the item's answer as well (a column `answer`, or else its
 last words) in order, up to `ANSWER` of its words.
@@ -39,6 +41,7 @@ RANK, OVERSAMPLE = 40, 8  # latent dimensions from the corpus
 ITEM_RANK = 256  # and at most so many from the benchmark
 COSINE = 0.4
 COMMON = 0.2  # terms in more than this share of the passages have no weight
+HITS = 4  # words of a part's rarest that a window must hold to be looked at for their sake
 SURE, LIKELY, ANSWER = 0.75, 0.6, 0.8
 MIN_WORDS, PART, MAX_TERMS = 6, 64, 200_000
 _SEED = 8
@@ -240,9 +243,56 @@ def is_leak(part: Part, window: list[int]) -> tuple[bool, float]:
     return common_subsequence(part.answer, window) >= ANSWER * len(part.answer), ratio
 
 
+class Keys:
+    """Words by which a leak is found without the latent space, whatever that space holds of the item.
+
+    A leak has LIKELY of a part's words or more, in one window. So of any set of the part's words that is larger
+    by HITS - 1 than what may be missing, HITS are in the window; the set is of the rarest words.
+    """
+
+    def __init__(self, parts: list[Part], frequency: np.ndarray):
+        terms, owners, self.hits = [], [], np.zeros(len(parts), dtype=np.int64)
+        for p, part in enumerate(parts):
+            need = math.ceil(LIKELY * len(part.words) - 1e-9)
+            self.hits[p] = min(HITS, need)
+            rarest = sorted(part.words, key=lambda w: (frequency[w], w))
+            found = set(rarest[: len(rarest) - need + self.hits[p]])
+            terms += found
+            owners += [p] * len(found)
+        order = np.argsort(np.array(terms, dtype=np.int64), kind="stable")
+        self.owners = np.array(owners, dtype=np.int64)[order]
+        self.ends = np.concatenate([[0], np.cumsum(np.bincount(np.array(terms, dtype=np.int64), minlength=len(frequency)))])
+        self.sizes = np.array([window_size(len(p.words)) for p in parts], dtype=np.int64)
+
+    def windows(self, block: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """(first block, part) of each window that holds enough of a part's keys."""
+        uses = self.ends[terms + 1] - self.ends[terms]
+        at = np.repeat(np.arange(len(terms)), uses)
+        if not len(at):
+            return np.empty((0, 2), dtype=np.int64)
+        part = self.owners[np.arange(len(at)) - np.repeat(np.cumsum(uses) - uses, uses) + self.ends[terms[at]]]
+        order = np.argsort(part, kind="stable")
+        part, where = part[order], block[at[order]]
+        last = np.arange(len(part)) + self.hits[part] - 1
+        fit = last < len(part)
+        last = np.minimum(last, len(part) - 1)
+        span = where[last] - where
+        fit &= (part[last] == part) & (span < self.sizes[part])
+        part, low, high = part[fit], where[fit], where[last[fit]]
+        ways = self.sizes[part] - (high - low)  # windows that hold them all
+        step = np.arange(ways.sum()) - np.repeat(np.cumsum(ways) - ways, ways)
+        return np.unique(np.column_stack([np.repeat(low, ways) - step, np.repeat(part, ways)]), axis=0)
+
+
+def window_size(n_words: int) -> int:
+    """Blocks of the smallest window that holds so many words wherever they stand."""
+    return next(size for size in WINDOWS if n_words <= (size - 1) * BLOCK + 1)
+
+
 @dataclass
 class _Search:
     parts: list[Part]
+    keys: Keys
     idf: np.ndarray
     basis: np.ndarray  # terms x rank, rows weighted by idf
     items: np.ndarray  # rank x parts, unit columns
@@ -262,7 +312,7 @@ def _matches(search: _Search, block: np.ndarray, terms: np.ndarray) -> Iterator[
         part = first[k : k + 1024]
         latent[at[part]] = np.add.reduceat(search.basis[weighed[part[0] : stop]], part - part[0], axis=0)
     lengths = np.array([len(p.words) for p in search.parts])
-    before = 0
+    before, seen = 0, set()
     for size in WINDOWS:
         # Each part is looked for in the smallest window that holds it wherever it stands.
         columns = np.flatnonzero((lengths > before) & (lengths <= (size - 1) * BLOCK + 1))
@@ -280,11 +330,22 @@ def _matches(search: _Search, block: np.ndarray, terms: np.ndarray) -> Iterator[
             at, which = np.nonzero(window @ items >= COSINE * norm[:, None])
             for w, c in zip(at, columns[which]):
                 start = k + int(w) - (size - 1)
+                seen.add((start, int(c)))
                 lo, hi = np.searchsorted(block, (start, start + size))
                 if hi > lo:
                     leak, ratio = is_leak(search.parts[c], terms[lo:hi].tolist())
                     if leak:
                         yield int(lo), int(c), ratio, float(window[w] @ search.items[:, c] / norm[w])
+    # What the space does not show is found by its words.
+    for start, c in map(tuple, search.keys.windows(block, terms).tolist()):
+        if (start, c) in seen:
+            continue
+        size = int(search.keys.sizes[c])
+        lo, hi = np.searchsorted(block, (start, start + size))
+        leak, ratio = is_leak(search.parts[c], terms[lo:hi].tolist())
+        if leak:
+            window = latent[max(start, 0) : start + size].sum(axis=0)
+            yield int(lo), c, ratio, float(window @ search.items[:, c] / max(np.linalg.norm(window), 1e-9))
 
 
 def leaks(
@@ -305,7 +366,7 @@ def leaks(
     basis = latent_basis(items, _range(known, idf))
     projected = items @ basis
     projected /= np.maximum(np.linalg.norm(projected, axis=1), 1e-9)[:, None]
-    shared = spark.sparkContext.broadcast(_Search(bench.parts, idf, basis * idf[:, None], np.ascontiguousarray(projected.T)))
+    shared = spark.sparkContext.broadcast(_Search(bench.parts, Keys(bench.parts, frequency), idf, basis * idf[:, None], np.ascontiguousarray(projected.T)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = shared.value

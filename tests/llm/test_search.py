@@ -148,6 +148,23 @@ def test_planted_leaks(spark):
     assert decontaminate.leaks(frame.limit(0), bench).count() == 0
 
 
+def test_more_items_than_the_space_holds(spark):
+    rng = np.random.default_rng(13)
+    share = 1 / np.arange(1, 6001)
+    share /= share.sum()
+    draw = lambda n: [f"w{k}" for k in rng.choice(6000, n, p=share)]
+    items = [(i, draw(n)) for i, n in enumerate(rng.integers(6, 61, 1100).tolist())]
+    docs, expected = [], set()
+    for i, w in items:
+        edited = [x if k % 6 != 5 else "other" for k, x in enumerate(w)]  # a word in six replaced
+        for kind, leak in enumerate((w, edited)):
+            docs.append((10 * i + kind, " ".join(draw(int(rng.integers(20, 60))) + leak + draw(40))))
+            expected.add((10 * i + kind, i))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert expected <= got
+
+
 def test_paraphrase_needs_the_answer():
     part = decontaminate.Part(1, list(range(20)), [17, 18, 19], 20)
     loose = [x for x in range(20) if x % 3 or x > 16]  # 65 percent and the answer
