@@ -6,9 +6,9 @@ be left, and every pair is verified on the shingles themselves.
 
 Prefix join: shingles have one order for all texts (by hash; those that are common in a sample come
 last). Two sets of similarity t or more share one of the first n - ceil(t n) + 1 shingles of each, n
-being the set's own size, so these are its keys. Texts with equal sets are one set. First each set is
+being the set's own size, so these are its keys; and of those they share as many as `keys_needed`. Texts with equal sets are one set. First each set is
 paired with the least of each key and with its links by fingerprint; what agrees is one component.
-Then every pair of a key whose sets are still in different components is verified, in blocks of
+Then every pair with enough keys whose sets are still in different components is verified, in blocks of
 `MAX_BUCKET` for crowded keys. No pair is left out, but those that are already joined.
 """
 
@@ -67,6 +67,17 @@ def _sizes_fit(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
     return np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9
 
 
+def keys_needed(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Least number of keys that two similar sets of sizes a and b share.
+
+    All they share up to the end of the prefix that ends first is in both prefixes; what follows in that
+    set is at most ceil(t n) - 1.
+    """
+    shared = np.ceil(similarity / (1 + similarity) * (a.astype(np.int64) + b) - 1e-9)
+    after = np.ceil(similarity * np.maximum(a, b) - 1e-9) - 1
+    return np.maximum(shared - after, 1).astype(np.int64)
+
+
 # --- sets and keys --------------------------------------------------------------------------
 
 
@@ -172,7 +183,7 @@ def _groups(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], size: int,
 
 
 def _with_least(groups: DataFrame, similarity: float) -> DataFrame:
-    """(u, v): every set of a key and the least of it."""
+    """(u, v): sets and the least of their keys, where these are enough keys. The rest is left to `_across`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,19 +192,25 @@ def _with_least(groups: DataFrame, similarity: float) -> DataFrame:
             first = np.repeat(ends[:-1], np.diff(ends))
             uids, ns, least, size = uids[ends[0] : ends[-1]], ns[ends[0] : ends[-1]], uids[first], ns[first]
             fit = (uids != least) & _sizes_fit(ns, size, similarity)
-            pairs = np.unique(np.column_stack([least[fit], uids[fit]]), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
+            need = keys_needed(ns[fit], size[fit], similarity)
+            pairs, keys = np.unique(np.column_stack([least[fit], uids[fit], need]), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, pairs.T.copy()), pa.array(keys)], ["u", "v", "need", "keys"])
+
+    return _enough(groups.mapInArrow(run, "u long, v long, need long, keys long"))
+
 
-    return groups.mapInArrow(run, "u long, v long")
+def _enough(pairs: DataFrame) -> DataFrame:
+    """Pairs that share as many keys as similar sets must."""
+    return pairs.groupBy("u", "v").agg(F.sum("keys").alias("keys"), F.max("need").alias("need")).filter("keys >= need").select("u", "v")
 
 
 def _across(groups: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """(u, v): all pairs of a key whose sets are in different components."""
+    """(u, v): all pairs of sets in different components that share as many keys as similar sets must."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, rows in zip(*(batch.column(k) for k in range(3))):
-                low, high, rows = low.as_py(), high.as_py(), rows.values
+            for low, high, keys, rows in zip(*(batch.column(k) for k in range(4))):
+                low, high, keys, rows = low.as_py(), high.as_py(), keys.as_py(), rows.values
                 uid, n, root, mine = (rows.field(c).to_numpy() for c in ("uid", "n", "root", "mine"))
                 for k in np.flatnonzero(mine == low):
                     fit = (mine == high) & (root != root[k]) & _sizes_fit(n, n[k], similarity)
@@ -201,21 +218,23 @@ def _across(groups: DataFrame, roots: DataFrame, similarity: float) -> DataFrame
                         fit &= uid > uid[k]
                     if fit.any():
                         ends = np.sort(np.column_stack([np.full(int(fit.sum()), uid[k]), uid[fit]]), axis=1)
-                        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["u", "v"])
+                        columns = [ends[:, 0], ends[:, 1], keys_needed(n[fit], n[k], similarity), np.full(len(ends), keys)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["u", "v", "need", "keys"])
 
-    numbered = groups.withColumn("key", F.xxhash64("uids", "ns")).dropDuplicates(["uids"])
-    rows = numbered.select("key", F.size("uids").alias("size"), F.explode(F.arrays_zip("uids", "ns")).alias("x"))
-    rows = rows.select("key", "size", F.col("x.uids").alias("uid"), F.col("x.ns").alias("n"))
+    # Keys of the same sets are one group that counts as often.
+    numbered = groups.groupBy("uids", "ns").agg(F.count("*").alias("keys")).withColumn("key", F.xxhash64("uids", "ns"))
+    rows = numbered.select("key", "keys", F.size("uids").alias("size"), F.explode(F.arrays_zip("uids", "ns")).alias("x"))
+    rows = rows.select("key", "keys", "size", F.col("x.uids").alias("uid"), F.col("x.ns").alias("n"))
     rows = rows.join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     blocks = F.ceil(F.col("size") / F.lit(MAX_BUCKET)).cast("int")
     dealt = (
         rows.withColumn("mine", F.pmod(F.xxhash64("uid"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .groupBy("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
+        .groupBy("key", "keys", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
         .agg(F.collect_list(F.struct("uid", "n", "root", "mine")).alias("rows"), F.min("root").alias("a"), F.max("root").alias("b"))
         .filter("a <> b")
     )
-    return dealt.select("low", "high", "rows").mapInArrow(run, "u long, v long")
+    return _enough(dealt.select("low", "high", "keys", "rows").mapInArrow(run, "u long, v long, need long, keys long"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
