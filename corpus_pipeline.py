@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import bpe, decontaminate, language_id, shingle_join, substring_dedup
+from parcelscope.llm import bpe, decontaminate, language_id, simhash, substring_dedup
 from parcelscope.llm.common import held_out, numbered, ship_package, staged, table
 from parcelscope.llm.queries import tokenizer_path
 
@@ -20,18 +20,24 @@ ROW = "pipeline_row"
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a language can be told: texts with a letter. Their own columns stay as they are."""
+    """Documents of which a language can be told: texts with a letter. Their own columns stay as they are.
+
+    Where no training row has a lang there is no model to reject by, and only texts without a letter go.
+    """
     ship_package(spark)
     training = docs.filter(~held_out(F.col("doc_id"))).select(F.col("lang").alias("label"), "text")
-    told = language_id.predict(docs, language_id.train(training))
+    model = language_id.train(training)
+    if model is None:
+        return docs.filter(language_id.has_letter(F.col("text")))
+    told = language_id.predict(docs, model)
     return told.filter(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document (least doc_id) of each group of which 5-word shingles agree to 0.8 or more, each with the next."""
+    """The first document (least doc_id) of each group of fingerprints that differ in at most 3 bits, each from the next."""
     ship_package(spark)
     rows = numbered(docs, "doc_id", ROW)
-    groups = shingle_join.near_copies(rows, id_col=ROW)
+    groups = simhash.near_duplicates(rows, id_col=ROW)
     # The copies are fewer than what stays, so they are what is joined.
     copies = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias(ROW))
     return rows.join(copies, ROW, "left_anti").select(*docs.columns)
