@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelscope.llm import ann, bpe, chat_format, decontaminate, language_id, simhash, substring_dedup, token_records, toxicity, warc
+from parcelscope.llm import (
+    ann,
+    bpe,
+    chat_format,
+    collocations,
+    conversation_repair,
+    decontaminate,
+    language_id,
+    simhash,
+    substring_dedup,
+    syncmers,
+    token_records,
+    toxicity,
+    warc,
+)
 from parcelscope.llm.common import held_out, ship_package, table
+from parcelscope.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +83,36 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, tokenizer_path("word_bpe_49k.json"), known=300_000)
 
 
+def op11_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows of conversations with the faults of op12's contract, each by the crc32 of `conv_id:turn` modulo 20.
+
+    `there` is false for dropped rows. Of nulls, role, text and what enters the crc count as one space.
+    """
+    blank = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    fault, text = F.col("fault"), F.coalesce("text", blank)
+    return rows.withColumn("fault", F.crc32(key.cast("binary")) % 20).select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, F.lit("user")).otherwise(F.coalesce("role", blank)).alias("role"),
+        F.when(fault == 1, F.lit("")).when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(fault != 0, F.when(fault == 3, 2).otherwise(1))).alias("there"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return conversation_repair.digests(conversation_repair.repair(rows, kept="there"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -89,7 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_token_records,
         op10_bpe,
+        op11_syncmers,
+        op12_conversation_repair,
+        op13_collocations,
     )
 }
-
-ORACLES: dict[str, str] = {}

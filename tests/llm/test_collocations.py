@@ -1,0 +1,183 @@
+"""Collocations against plain counting, and the query against its SQL."""
+
+import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from parcelscope.llm import collocations
+from parcelscope.llm.common import ship_package
+from parcelscope.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+@pytest.fixture(scope="module")
+def spark(spark):
+    ship_package(spark)
+    return spark
+
+
+def plain(rows, top=2000, least=10):
+    lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    counts = {}
+    for lang, text in rows:
+        f = counts.setdefault(lang or "und" if lang != "" else "", Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for size in (1, 2, 3):
+                f.update(tuple(w[k : k + size]) for k in range(len(w) - size + 1))
+    out = []
+    for lang, f in counts.items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        found = []
+        for p, a in f.items():
+            if len(p) == 1 or a < least:
+                continue
+            score, _, l, r = min((10**6 * a * a // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            longer = [c for q, c in f.items() if len(q) == 3 and c >= least and len(p) == 2 and p in (q[:2], q[1:])]
+            if not any(100 * c >= 50 * a for c in longer):
+                found.append((score, a, " ".join(p), l, r))
+        found.sort(key=lambda x: (-x[0], -x[1], x[2].encode()))
+        out += [(lang, k, p, a, l, r, n, s) for k, (s, a, p, l, r) in enumerate(found[:top], 1)]
+    return sorted(out)
+
+
+def got(frame):
+    assert frame.columns == COLUMNS
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    words = [f"W{k}" if k % 5 == 0 else f"é{k}" if k % 7 == 0 else f"w{k}" for k in range(25)]
+    fixed = [" ".join(rng.choices(words, k=3)) for _ in range(6)] + ["once upon a", "upon a time"]
+    rows = []
+    for _ in range(400):
+        parts = []
+        for _ in range(rng.randrange(1, 12)):
+            parts.append(rng.choice(fixed) if rng.random() < 0.4 else " ".join(rng.choices(words, k=rng.randrange(1, 5))))
+        joined = "".join(p + rng.choice([" ", "\t", ". ", ", ", "\n", " \x0b", "  "]) for p in parts)
+        rows.append((rng.choice(["en", "en", "fr", None]), joined))
+    return rows
+
+
+@pytest.mark.parametrize("top, wave", [(2000, None), (7, 1), (3, 1), (12, 5), (1, 2)])
+def test_waves_settle_what_plain_counting_finds(spark, top, wave):
+    rows = corpus(top) + [("en", None), (None, ""), ("de", "too few words"), ("empty", " \t. ,")]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    expected = plain(rows, top)
+    assert got(collocations.collocations(frame, top=top, first_wave=wave)) == expected
+    assert {"en", "fr", "und"} == {r[0] for r in expected}
+
+
+def test_parts_do_not_matter(spark, monkeypatch):
+    """Long texts are split in chunks, and tasks hand on what they hold: every count stays."""
+    rows = corpus(5)
+    long = [(lang, " ".join(t for k, t in rows if k == lang)) for lang in ("en", "fr")]
+    monkeypatch.setattr(collocations, "_CHUNK", 64)
+    for words, held in ((10, 50), (1000, 20)):
+        monkeypatch.setattr(collocations, "_WORDS", words)
+        monkeypatch.setattr(collocations, "_HELD", held)
+        batches = spark.createDataFrame(rows * 2 + long, "lang string, text string").coalesce(1)
+        collect = lambda make: list(make)
+        counted = {}
+        table = batches.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").toArrow().to_batches()
+        for b in collect(collocations._word_counts(iter(table))):
+            for lang, word, n in zip(*(c.to_pylist() for c in b.columns)):
+                counted[lang, word] = counted.get((lang, word), 0) + n
+        expected = Counter()
+        for lang, text in rows * 2 + long:
+            for w in re.findall(r"[^\x20\x09-\x0D.,;:!?]+", text):
+                w = w.encode().lower().decode()
+                expected[lang or "und", w] += 1
+                expected[lang or "und", ""] += 1
+        assert counted == expected
+
+
+@pytest.mark.parametrize("size", [2, 3])
+def test_phrase_counts_over_small_parts(spark, monkeypatch, size):
+    rows = [(lang or "und", t) for lang, t in corpus(6)]
+    rows += [("en", " ".join(t for _, t in rows))]
+    monkeypatch.setattr(collocations, "_CHUNK", 40)
+    monkeypatch.setattr(collocations, "_WORDS", 12)
+    monkeypatch.setattr(collocations, "_HELD", 30)
+    everything = collocations.Filter(b"\xff" * 1024)
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    shown = {}
+
+    class Rows:
+        sparkSession = frame.sparkSession
+
+        def mapInArrow(self, run, schema):
+            for b in run(iter(frame.toArrow().to_batches(max_chunksize=50))):
+                for *key, n in zip(*(c.to_pylist() for c in b.columns)):
+                    shown[tuple(key)] = shown.get(tuple(key), 0) + n
+            return frame.select(*(F.lit("").alias(x.split()[0]) for x in schema.split(", ")))
+
+    collocations.phrase_counts(Rows(), size, everything)
+    expected = Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.encode().lower().decode()):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            expected.update((lang, *w[k : k + size]) for k in range(len(w) - size + 1))
+    assert shown == dict(expected)
+
+
+def test_filters_hold_what_they_were_given(spark):
+    rows = [(f"l{k % 3}", f"w{k}") for k in range(5000)]
+    held = collocations.build_filter(spark.createDataFrame(rows, "lang string, word string"))
+    hashed = np.array([collocations.xxhash.xxh64_intdigest(w.encode(), collocations.word_seed(k)) for k, w in rows], dtype=np.uint64)
+    assert held.holds(hashed).all() and all(int(h) in held for h in hashed)
+    others = np.random.default_rng(0).integers(0, 1 << 63, 100_000).astype(np.uint64)
+    share = held.holds(others).mean()
+    assert share < 0.01
+    assert [int(h) in held for h in others[:2000]] == held.holds(others[:2000]).tolist()
+
+
+def test_bounds_are_admissible(spark):
+    """No extension of a prefix, nor the prefix, scores above its bound."""
+    rows = corpus(9)
+    for lang in ("en", "fr"):
+        f = Counter()
+        for k, text in rows:
+            if k == lang:
+                for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+                    w = piece.split()
+                    for size in (1, 2, 3):
+                        f.update(tuple(w[i : i + size]) for i in range(len(w) - size + 1))
+        for p, a in f.items():
+            if len(p) > 1:
+                bound = 10**6 * f[p[:2]] // f[p[:1]]
+                assert min(10**6 * a * a // (f[p[:k]] * f[p[k:]]) for k in range(1, len(p))) <= bound
+
+
+def test_exact_scores_past_64_bits(spark):
+    big = 3_000_000_000_019
+    frame = spark.createDataFrame([(big, big + 7, big + 11), (big, big, big), (1, 3, 10**12)], "a long, l long, r long")
+    got = [r[0] for r in frame.select(collocations.score_of("a", "l", "r")).collect()]
+    assert got == [10**6 * a * a // (l * r) for a, l, r in ((big, big + 7, big + 11), (big, big, big), (1, 3, 10**12))]
+
+
+def test_odd_tables(spark):
+    frame = spark.createDataFrame([], "lang string, text string")
+    assert got(collocations.collocations(frame)) == []
+    rows = [("und", "a b c d")] * 6 + [(None, "a b c d")] * 6  # a null language is und
+    more = spark.createDataFrame(rows, "lang string, text string").withColumn("n", F.lit("x")).withColumn("score", F.lit(1)).withColumn("word", F.lit("a"))
+    assert got(collocations.collocations(more)) == plain(rows)
+    hot = [("en", "very hot phrase")] * 3000 + [("en", "a rare one")] * 12
+    assert got(collocations.collocations(spark.createDataFrame(hot, "lang string, text string"))) == plain(hot)
+
+
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
+def test_query_matches_sql(spark, folder):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    expected = connection.sql(ORACLES["op13_collocations"])
+    assert expected.columns == COLUMNS
+    assert got(QUERIES["op13_collocations"](spark, folder)) == sorted(expected.fetchall())

@@ -1,0 +1,155 @@
+"""Syncmer fingerprints against plain Python."""
+
+import hashlib
+import random
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from parcelscope.llm import syncmers
+from parcelscope.llm.common import ship_package, table
+from parcelscope.llm.queries import QUERIES
+from parcelscope.llm.syncmers import SIZE, K, S
+
+SF = "/root/testdata/sf0.001"
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "aligned_edited", "aligned_next"]
+
+
+@pytest.fixture(scope="module")
+def spark(spark):
+    ship_package(spark)
+    return spark
+
+
+def signed(text):
+    value = xxhash.xxh64_intdigest(text.encode("utf-32-be"), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def plain_anchors(text):
+    """{hash: first place} of all anchors of a text."""
+    if 0 < len(text) < K:
+        return {(signed(text) & (1 << 64) - 1) >> 33: 0}
+    inner = [signed(text[i : i + S]) for i in range(len(text) - S + 1)]
+    out = {}
+    for i in range(len(text) - K + 1):
+        window = inner[i : i + K - S + 1]
+        if min(window) in (window[0], window[-1]):
+            out.setdefault((signed(text[i : i + K]) & (1 << 64) - 1) >> 33, i)
+    return out
+
+
+def plain_sketch(text):
+    return sorted(plain_anchors(text).items())[:SIZE]
+
+
+def plain_likeness(a, b):
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    least = sorted(a | b)[:SIZE]
+    return sum(h in a and h in b for h in least) / len(least) if least else 1.0
+
+
+def plain_aligned(a, b):
+    a, b = dict(a), dict(b)
+    shifts = [b[h] - a[h] for h in a.keys() & b.keys()]
+    return max((shifts.count(s) for s in shifts), default=0)
+
+
+def plain_rows(rows):
+    """Rows as `fingerprints` returns them; of equal ids the order is by a hash, so it is given."""
+    rows = [(i, t or "") for i, t in rows]
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (lambda v: v - (1 << 64) if v >> 63 else v)(xxhash.xxh64_intdigest(r[1].encode(), 42))))
+    out = []
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        one, two, three = plain_sketch(text), plain_sketch(edited), plain_sketch(after)
+        shown = ["".join(f"{h << 32 | p:016x}" for h, p in s) for s in (one, two)]
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        out.append((i, len(text), digest, *shown, plain_likeness(one, two), plain_likeness(one, three), plain_aligned(one, two), plain_aligned(one, three)))
+    return sorted(out, key=repr)
+
+
+def got(frame):
+    assert frame.columns == NAMES
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+def texts(rng, n):
+    letters = ["a", "b", "c", "é", "ß", "中", "😀", " ", " ", "\n"]
+    out = ["", "a", "ab", "x" * 15, "x" * 16, "x" * 17, "y" * 500, "ab" * 40, "The end.", "The end."]
+    while len(out) < n:
+        base = "".join(rng.choices(letters, k=rng.choice((3, 15, 16, 30, 31, 32, 47, 200, 900))))
+        out += [base, base[: len(base) // 2] + "".join(rng.choices(letters, k=9))]
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("part, rows_per_bucket", [(4096, 4096), (16, 9), (37, 3)])
+def test_equals_plain_python(spark, monkeypatch, part, rows_per_bucket):
+    monkeypatch.setattr(syncmers, "PART", part)
+    monkeypatch.setattr(syncmers, "ROWS_PER_BUCKET", rows_per_bucket)
+    rng = random.Random(part)
+    rows = [(rng.randrange(-(10**12), 10**12), t) for t in texts(rng, 120)] + [(5, None), (-(1 << 63), "least of all ids"), ((1 << 63) - 1, "the largest of all ids")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(syncmers.fingerprints(frame)) == plain_rows(rows)
+
+
+def test_equal_ids_null_ids_and_clashing_names(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 1, 2, 3]), t) for t in texts(rng, 60)] + [(1, "again and again and again")] * 40 + [(None, None)] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    odd = frame.withColumns({c: F.lit("x") for c in ("id", "key", "bucket", "times", "closes", "next_text", "row", "anchors")})
+    assert got(syncmers.fingerprints(odd)) == plain_rows(rows)
+
+
+def test_few_rows(spark):
+    for rows in ([], [(1, "alone but long enough for some anchors")], [(1, None)], [(None, "a"), (None, "b")], [(2, "same text, same text"), (1, "same text, same text")]):
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        assert got(syncmers.fingerprints(frame)) == plain_rows(rows)
+
+
+def test_a_long_text(spark):
+    rng = random.Random(9)
+    long = "".join(rng.choices("abcdefgh ", k=300_000))
+    rows = [(1, long), (2, "short"), (3, long[150_000:] + "tail")]
+    assert got(syncmers.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))) == plain_rows(rows)
+
+
+def test_context_free(spark):
+    """An anchor hangs on its k-mer alone: all of a stretch that two texts share are common."""
+    rng = random.Random(10)
+    shared = "".join(rng.choices("abcdefgh ", k=400))
+    one, two = (plain_anchors("".join(rng.choices("xyz", k=n)) + shared) for n in (50, 93))
+    inside = set(plain_anchors(shared))
+    assert inside and inside <= set(one) and inside <= set(two)
+    assert {two[h] - one[h] for h in inside if shared.count(shared[plain_anchors(shared)[h] :][:K]) == 1} == {43}
+
+
+def test_likeness_follows_the_share_of_anchors(spark):
+    rng = random.Random(11)
+    rows, expected = [], []
+    for k in range(60):
+        base = "".join(rng.choices("abcdefghij ", k=2000))
+        cut = rng.randrange(2000)
+        rows += [(2 * k + 1, base), (2 * k, base[:cut] + "".join(rng.choices("abcdefghij ", k=2000 - cut)))]
+        a, b = (set(plain_anchors(t)) for _, t in rows[-2:])
+        expected.append(len(a & b) / len(a | b))
+    near = {r.doc_id: r.near_next for r in syncmers.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    off = [abs(near[2 * k + 1] - e) for k, e in enumerate(expected)]
+    assert sum(off) / len(off) < 0.06 and max(off) < 0.25
+
+
+def test_native_plan(spark):
+    plan = QUERIES["op11_syncmers"](spark, SF)._jdf.queryExecution().toString()
+    for node in ("Python", "Pandas", "Arrow", "ExistingRDD", "Cartesian", "NestedLoop"):
+        assert node not in plan
+    assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
+    found = got(QUERIES["op11_syncmers"](spark, SF))
+    assert found == plain_rows(rows)
+    assert sum(r[5] > r[6] for r in found) > 0.9 * len(found)
