@@ -361,13 +361,18 @@ def key_account_group_trend(tables, params):
 
 @report
 def top_customers(tables, params):
-    return customers.top_customers(
-        _window(tables, params),
-        tables.revenue(*params.window),
-        params.min_shipments,
-        params.min_weight_per_shipment,
-        params.top_customers,
-    )
+    def build() -> DataFrame:
+        return customers.board_rows(
+            _window(tables, params),
+            tables.revenue(*params.window),
+            params.min_shipments,
+            params.min_weight_per_shipment,
+        )
+
+    asked = f"{params.window}{params.min_shipments}{params.min_weight_per_shipment}"
+    rows = tables.shared(f"board_rows_{zlib.crc32(asked.encode()):08x}", build)
+    ranked = customers.top_customers_by_heaps if tables.keeps_shared else customers.top_customers
+    return ranked(rows, params.top_customers)
 
 
 @report
@@ -382,7 +387,10 @@ def all_data_extract(tables, params):
 
 @report
 def sp_customer_scorecard(tables, params):
-    return sales_people.sp_customer_scorecard(_current(tables, params))
+    def build() -> DataFrame:
+        return sales_people.sp_customer_sums(_current(tables, params))
+
+    return sales_people.sp_customer_scorecard(tables.shared(f"sp_customer_sums_{params.cur:%Y%m}", build))
 
 
 @report

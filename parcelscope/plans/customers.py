@@ -18,7 +18,7 @@ from parcelscope.functions.shipments import left_closed_band
 from parcelscope.functions.text import percent_text, thousands
 from parcelscope.operators.reshape import to_long, with_order
 from parcelscope.operators.shares import sum_of_all
-from parcelscope.operators.topn import top_n_per_group
+from parcelscope.operators.topn import top_k, top_n_per_group
 
 
 def _bands(spark: SparkSession, edges: Sequence[int]) -> DataFrame:
@@ -113,16 +113,20 @@ LEADERBOARDS = (
 )
 
 
-def top_customers(
-    history: DataFrame, whole: Column, min_shipments: int, min_weight_per_shipment: float, n: int
-) -> DataFrame:
-    """Eight leaderboards from one pass; an account may appear once per month.
+BOARD_TIES = ("acc_no", "sp_name", "month_start")
 
-    `zone_share` is the share within city plus zone A, on the last board that of zone B.
-    """
-    eligible = with_customer_metrics(history, whole).where(
+
+def board_rows(
+    history: DataFrame, whole: Column, min_shipments: int, min_weight_per_shipment: float
+) -> DataFrame:
+    """Account-months that may stand on a leaderboard, with their metrics; an account may appear once per month."""
+    return with_customer_metrics(history, whole).where(
         (F.col("shipments") >= min_shipments) & (F.col("ws") >= min_weight_per_shipment)
     )
+
+
+def top_customers(eligible: DataFrame, n: int) -> DataFrame:
+    """Eight leaderboards from one pass over `board_rows`, for rows that are not stored."""
     entries = [
         F.struct(
             F.lit(board).alias("leaderboard"),
@@ -131,13 +135,33 @@ def top_customers(
         )
         for board, column, sign in LEADERBOARDS
     ]
-    ranked = top_n_per_group(
-        eligible.select("*", F.inline(F.array(*entries))),
-        ["leaderboard"],
-        "score",
-        n,
-        ["acc_no", "sp_name", "month_start"],
-    )
+    expanded = eligible.select("*", F.inline(F.array(*entries)))
+    return _boards(top_n_per_group(expanded, ["leaderboard"], "score", n, BOARD_TIES))
+
+
+def top_customers_by_heaps(stored: DataFrame, n: int) -> DataFrame:
+    """The same from stored `board_rows`: a heap of n rows per task and board, no row expanded or sorted.
+
+    Each board reads the stored rows once; what meets in one task is eight times n rows.
+    """
+    boards = []
+    for board, column, sign in LEADERBOARDS:
+        scored = stored.withColumns(
+            {
+                "leaderboard": F.lit(board),
+                "score": F.col(column).cast("double") * sign,
+                "zone_share": F.col("zb" if column == "zb" else "wc_za"),
+            }
+        ).where(F.col("score").isNotNull())
+        boards.append(top_k(scored, [F.desc("score"), *[F.asc(t) for t in BOARD_TIES]], n))
+    best = boards[0]
+    for rows in boards[1:]:
+        best = best.unionByName(rows)
+    return _boards(top_n_per_group(best, ["leaderboard"], "score", n, BOARD_TIES))
+
+
+def _boards(ranked: DataFrame) -> DataFrame:
+    """The columns of a leaderboard. `zone_share` is the share within city plus zone A, on the last board that of zone B."""
     return ranked.select(
         "leaderboard",
         "rank",

@@ -86,6 +86,11 @@ def account_lifecycle(
         }
         counts += [F.count_if(condition).alias(f"r{i}_{role}") for i, condition in rows.items()]
     one_row = matrix.agg(*counts)
+    return lifecycle_table(one_row)
+
+
+def lifecycle_table(one_row: DataFrame) -> DataFrame:
+    """The twelve lines from one row of counts r<line>_<role>; three lines follow from others."""
     for role in ("prev", "cur"):
         one_row = one_row.withColumns(
             {

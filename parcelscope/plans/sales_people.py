@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from parcelscope.functions.numbers import percent, ratio, rounded, total
+from parcelscope.operators.shares import sum_of_all
 
 SUMMED = {
     "shipment": "shipments",
@@ -31,17 +32,22 @@ def _keyed(history: DataFrame) -> DataFrame:
     )
 
 
-def sp_customer_scorecard(history: DataFrame) -> DataFrame:
-    """One row per sales person, customer and account of the month in `history`.
+def sp_customer_sums(history: DataFrame) -> DataFrame:
+    """One row per sales person, customer and account of the month in `history`: the base of the scorecard and its wholes."""
+    return _keyed(history).groupBy(*KEYS).agg(*[total(source).alias(name) for name, source in SUMMED.items()])
 
-    Wholes are summed from these rows, per sales person with map-side partial sums and joined back,
-    so a sales person with most of the accounts never has to fit one task, and over all of them to
-    one row. The sums per account are the one scan of the history; both wholes reuse their shuffle.
+
+def sp_customer_scorecard(sums: DataFrame) -> DataFrame:
+    """The scorecard of `sp_customer_sums`.
+
+    Wholes are summed from these rows, per sales person with map-side partial sums and joined back, so a
+    sales person with most of the accounts never has to fit one task; the whole of all is a sum over the
+    few sales persons. The wholes read every column of the sums, though they show two: so both sides of the
+    join are one shuffle to Spark, which it runs once where the sums are not stored.
     """
-    rows = _keyed(history)
-    sums = rows.groupBy(*KEYS).agg(*[total(source).alias(name) for name, source in SUMMED.items()])
-    wholes = sums.groupBy("sp_name").agg(total("n_rev").alias("sp_rev"))
-    grand = sums.agg(F.struct(total("n_rev").alias("rev"), total("n_s_za").alias("za"))).scalar()
+    every = F.max(F.hash(*[F.col(c) for c in sums.columns]))
+    wholes = sums.groupBy("sp_name").agg(total("n_rev").alias("sp_rev"), total("n_s_za").alias("sp_za"), every.alias("every"))
+    wholes = wholes.where("every is not null").select("sp_name", "sp_rev", sum_of_all("sp_rev").alias("all_rev"), sum_of_all("sp_za").alias("all_za"))
     light = F.col("kg_0_0_5") + F.col("kg_0_5_1_0")
     derived = {
         "wc_pct": rounded(percent("n_s_wc", "shipment")),
@@ -49,12 +55,12 @@ def sp_customer_scorecard(history: DataFrame) -> DataFrame:
         "zb_pct": rounded(percent("n_s_zb", "shipment")),
         "zc_pct": rounded(percent("n_s_zc", "shipment")),
         "kg_0_1_pct": rounded(percent(light, "shipment")),
-        "revenue_share_total": rounded(percent("n_rev", grand["rev"])),
+        "revenue_share_total": rounded(percent("n_rev", "all_rev")),
         "revenue_share_sp": rounded(percent("n_rev", "sp_rev")),
         "rps": rounded(ratio("n_rev", "shipment"), 0),
         "rpw": rounded(ratio("n_rev", "n_wght"), 0),
         "ws": rounded(ratio("n_wght", "shipment"), 0),
-        "zone_a_return_pct": percent("r_s_za", grand["za"]),
+        "zone_a_return_pct": percent("r_s_za", "all_za"),
         "return_ratio": rounded(percent("ret_ship", "shipment")),
     }
     filled = [F.coalesce(c, F.lit(0.0)).alias(name) for name, c in derived.items()]

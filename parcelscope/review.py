@@ -40,6 +40,8 @@ class StagedTables(ShipmentTables):
     Nothing is staged before a report asks for it.
     """
 
+    keeps_shared = True
+
     def __init__(self, spark: SparkSession, source: ShipmentTables, folder: str):
         super().__init__(source.frame, source.has_history, source.returns_dated)
         self._spark = spark

@@ -21,6 +21,8 @@ class ShipmentTables:
     is not certain (`misdated_returns` tells) and all returns are read.
     """
 
+    keeps_shared = False  # whether `shared` stores what it builds, so that reading it again is cheap
+
     def __init__(
         self,
         load: Callable[[str], DataFrame],
@@ -60,12 +62,16 @@ class ShipmentTables:
     def returns(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Returns of the shipments dated start to end, or a superset of them.
 
-        Where a return may be dated apart from its shipment, the shipments' own numbers choose the
+        Returns stored under the month of their shipment are pruned to the months of the range. Else,
+        where a return may be dated apart from its shipment, the shipments' own numbers choose the
         rows, before anything is summed over all returns ever made.
         """
         frame = self.frame("returnreport")
         if start is None:
             return frame
+        if "shipment_month" in frame.columns:
+            months = F.lit(shift_month(start, 0)), F.lit(shift_month(end, 0))
+            return frame.where(F.col("shipment_month").between(*months))
         if not self.returns_dated:
             return frame.join(self.shipments(start, end).select("normal_cn"), "normal_cn", "left_semi")
         if "month_start" in frame.columns:

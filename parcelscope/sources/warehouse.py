@@ -91,10 +91,15 @@ def refresh_history(tables: ShipmentTables, warehouse: str, first: date, last: d
     present = {r.month_start for r in shipped.collect()}  # at most a row for each month asked for
     for month in month_span(first, last):
         if month not in present:
-            _remove(shipped.sparkSession, f"{warehouse}/mom_history/month_start={month.isoformat()}")
+            remove_folder(shipped.sparkSession, f"{warehouse}/mom_history/month_start={month.isoformat()}")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def make_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
@@ -121,12 +126,38 @@ def label_predicates(column: str, first: date, last: date) -> list[str]:
     return [*(f"{column} = {label}" for label in labels), rest]
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def bound_predicates(column: str, bounds: Sequence[str]) -> list[str]:
-    """WHERE clauses that part all rows at the given values."""
-    cuts = ["'" + b.replace("'", "''") + "'" for b in sorted(bounds)]
-    clauses = [f"{column} < {cuts[0]} OR {column} IS NULL"]
-    clauses += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
-    return [*clauses, f"{column} >= {cuts[-1]}"]
+    """WHERE clauses that part all rows by how many of the given values they reach.
+
+    The database compares; its order may differ from Python's, and the values may come in any order or be
+    equal to it. A row reaches some number of them, null none, so it meets one clause and no other.
+    """
+    reached = " + ".join(f"CASE WHEN {column} >= {_quoted(b)} THEN 1 ELSE 0 END" for b in bounds)
+    return [f"({reached}) = {n}" for n in range(len(bounds) + 1)]
+
+
+def range_predicates(column: str, cuts: Sequence[str]) -> list[str]:
+    """WHERE clauses that part all rows at values that the database has put in order, so that an index serves them."""
+    quoted = [_quoted(c) for c in cuts]
+    clauses = [f"{column} < {quoted[0]} OR {column} IS NULL"]
+    clauses += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(quoted, quoted[1:])]
+    return [*clauses, f"{column} >= {quoted[-1]}"]
+
+
+def database_cuts(
+    spark: SparkSession, url: str, table: str, column: str, parts: int, properties: dict[str, str]
+) -> list[str]:
+    """Values that cut a column into `parts` of like size, as the database counts and orders them: `parts` rows at most."""
+    query = (
+        f"(SELECT part, MIN({column}) AS cut FROM (SELECT {column}, NTILE({parts}) OVER (ORDER BY {column}) AS part "
+        f"FROM {table} WHERE {column} IS NOT NULL) ranked GROUP BY part) cuts"
+    )
+    found = spark.read.jdbc(url, query, properties=properties).collect()
+    return [r["cut"] for r in sorted(found, key=lambda r: r["part"])][1:]
 
 
 def conform(frame: DataFrame, name: str) -> DataFrame:
@@ -158,11 +189,13 @@ def jdbc_table(
     last: date,
     properties: dict[str, str] | None = None,
     account_bounds: Sequence[str] = (),
+    account_parts: int = 1,
 ) -> DataFrame:
     """Read a whole table of the carrier's database by parallel queries.
 
     `first` to `last` only say where to part the dated tables; rows outside are read too, if a report
-    asks for them. `account_bounds` part the tables of accounts; without any, one query reads them.
+    asks for them. The tables of accounts are parted by `account_bounds`, or into `account_parts` where the
+    database says; without either, one query reads them.
     """
     options = {"fetchsize": "10000", **(properties or {})}
     if BY_MONTH.get(name) is not None:
@@ -171,6 +204,8 @@ def jdbc_table(
         predicates = label_predicates("month", first, last)
     elif account_bounds:
         predicates = bound_predicates("acc_no", account_bounds)
+    elif account_parts > 1 and (cuts := database_cuts(spark, url, name, "acc_no", account_parts, options)):
+        predicates = range_predicates("acc_no", cuts)
     else:
         return conform(spark.read.jdbc(url, name, properties=options), name)
     return conform(spark.read.jdbc(url, name, predicates=predicates, properties=options), name)
@@ -185,10 +220,11 @@ def jdbc_tables(
     with_history: bool = True,
     account_bounds: Sequence[str] = (),
     returns_dated: bool = False,
+    account_parts: int = 1,
 ) -> ShipmentTables:
     """All tables over JDBC, parted by the months from `first` to `last` and by accounts."""
     return ShipmentTables(
-        lambda name: jdbc_table(spark, url, name, first, last, properties, account_bounds),
+        lambda name: jdbc_table(spark, url, name, first, last, properties, account_bounds, account_parts),
         with_history,
         returns_dated,
     )

@@ -44,7 +44,7 @@ def test_leaderboards(spark):
         {"acc_no": "B", "cust_name": "b", "shipments": 150, "n_rev": 100, "n_wght": 74.6},
         {"acc_no": "C", "cust_name": "c", "shipments": 99, "n_rev": 8000, "n_wght": 990},
     )
-    rows = customers.top_customers(frame, ShipmentTables.of(mom_history=frame).revenue(JAN, FEB), 100, 0.5, 2).collect()
+    rows = customers.top_customers(customers.board_rows(frame, ShipmentTables.of(mom_history=frame).revenue(JAN, FEB), 100, 0.5), 2).collect()
     boards = {}
     for r in rows:
         boards.setdefault(r.leaderboard, {})[r.rank] = r
@@ -62,7 +62,7 @@ def test_leaderboards(spark):
 def test_equal_scores_rank_by_account(spark):
     frame = history(spark, *[{"acc_no": a, "shipments": 5, "n_wght": 5} for a in "CABD"])
     whole = F.lit(0.0)
-    rows = customers.top_customers(frame, whole, 1, 0, 3).where("leaderboard = 'Top5Shipments'")
+    rows = customers.top_customers(customers.board_rows(frame, whole, 1, 0), 3).where("leaderboard = 'Top5Shipments'")
     metrics = customers.customer_metrics(frame, whole)
     assert metrics.count() == 4
     assert rows.count() == 3
@@ -113,7 +113,7 @@ def test_scorecard_divides_by_the_rows_own_sales_person(spark):
         {"acc_no": "C", "sp_name": "Q", "n_rev": 60, "shipments": 1, "n_wght": 24},
         {"acc_no": "D", "sp_name": None, "n_rev": 900, "n_s_za": 90},
     )
-    rows = {r.acc_no: r for r in sales_people.sp_customer_scorecard(frame).collect()}
+    rows = {r.acc_no: r for r in sales_people.sp_customer_scorecard(sales_people.sp_customer_sums(frame)).collect()}
     assert set(rows) == {"A", "B", "C"}
     assert (rows["A"].revenue_share_sp, rows["A"].revenue_share_total) == (75.0, 30.0)
     assert rows["C"].revenue_share_sp == 100.0

@@ -96,7 +96,7 @@ def test_hot_matrix_counts_every_joined_row(hot):
 
 def test_hot_sales_person(hot):
     history = build_history(*hot)
-    rows = sales_people.sp_customer_scorecard(history).collect()
+    rows = sales_people.sp_customer_scorecard(sales_people.sp_customer_sums(history)).collect()
     accounts = {("HOT" if i % 3 == 0 else f"A{i % 40}", "HOT" if i % 3 == 0 else f"S{i % 7}") for i in range(N)}
     assert {(r.acc_no, r.sp_name) for r in rows} == accounts
     whole = sum(i % 13 for i in range(N))

@@ -288,6 +288,37 @@ def test_a_database_loses_no_rows(spark, tables):
     assert len(database.queries["mom_history"]) == 4
 
 
+class Collated(Database):
+    """A database that compares text without regard to case, and answers queries in place of a table."""
+
+    def jdbc(self, url, name, predicates=None, properties=None):
+        if name.startswith("("):
+            for table, frame in self.frames.items():
+                frame.createOrReplaceTempView(table)
+            return self.spark.sql(f"SELECT * FROM {name}")
+        return super().jdbc(url, name, predicates, properties)
+
+
+@pytest.mark.parametrize("how", [{"account_bounds": ["C", "b", "a9"]}, {"account_bounds": ["a", "A"]}, {"account_parts": 3}, {"account_parts": 50}, {}])
+def test_accounts_are_read_once_in_any_order_of_the_database(spark, how):
+    names = [f"{letter}{k}" for letter in "aAbBcC" for k in range(4)] + ["a0", "it's", "\u00e9", None, None]
+    plain = customers(spark, *[{"acc_no": n, "cust_name": f"{i}"} for i, n in enumerate(names)])
+    database = Collated(spark, {"crf": plain.withColumn("acc_no", F.collate("acc_no", "UTF8_LCASE"))})
+    read = jdbc_tables(database, "jdbc:x", FIRST, LAST, **how).customers()
+    assert sorted(r.cust_name for r in read.collect()) == sorted(str(i) for i in range(len(names)))
+    assert read.schema["acc_no"].dataType.simpleString() == "string"
+    clauses = database.queries["crf"]
+    assert (clauses is None) == (not how)
+    if how.get("account_parts") == 3:
+        parts = [database.frames["crf"].where(c).count() for c in clauses]
+        assert len(parts) == 3 and max(parts) <= 14
+
+
+def test_no_account_to_cut_at(spark):
+    database = Collated(spark, {"crf": customers(spark, {"acc_no": None})})
+    assert jdbc_tables(database, "jdbc:x", FIRST, LAST, account_parts=4).customers().count() == 1
+
+
 def test_wider_stored_types_are_read_and_checked(spark, tmp_path):
     frame = shipments(spark, {"weight": 3}, {"weight": 4})
     frame.withColumn("weight", F.col("weight").cast("decimal(18,2)")).write.parquet(f"{tmp_path}/a/salesreport")
