@@ -5,17 +5,20 @@ Texts are sequences of lower-case words. Columns of the TF-IDF matrix are the te
 frequencies count every passage of the corpus. A randomised range finder gives the latent space: one
 distributed pass multiplies a random matrix by the matrix and by its transpose, summed over all
 passages, and the benchmark's own vectors join the basis. Overlapping windows of each document are
-projected and compared with all items by cosine. A benchmark of more than `ITEM_RANK` parts does not fit
-the space, and a short item is a small part of its window; so windows that hold enough of an item's rarest
-words are taken as well. That loses nothing: whatever the check below finds holds that many.
-
-What is taken is checked on the words themselves. With r the longest common subsequence of
-item and window over the words of the item: r of `SURE` or more is a leak, and from `LIKELY` on it
-is one, a paraphrase, if the window holds the item's answer as well (a column `answer`, or else its
-last words) in order, up to `ANSWER` of its words.
+projected and compared with all items by cosine. Two sorts of items the space is blind to: those of which it
+keeps less than `HELD`, as a benchmark of more than `ITEM_RANK` parts does not fit it, and those shorter than
+`SHORT` words, a small part of any window. For these, and no others, windows that hold enough of an item's
+rarest words are taken. That loses nothing of them: whatever the check below finds holds that many.
+
+What is taken is checked on the words themselves. With r the longest common subsequence of item and text, over
+the words of the item, in a stretch of at most `SPAN` times as many: r of `SURE` or more is a leak, and from
+`LIKELY` on it is one, a paraphrase, if the stretch holds the item's answer as well (a column `answer`, or else
+its last words) in order, up to `ANSWER` of its words. An item of fewer than `MIN_WORDS` words leaks only as it
+is, word by word, and so does one of fewer than `SHORT` with fewer than `RARE` words that are not common, as
+such words stand in order by chance. Letters of scripts that are written without blanks are words by themselves.
 
 The benchmark is a given, small table: at most `MAX_TERMS` different words, held by every task. Items
-of fewer than `MIN_WORDS` words, null ones included, match nothing. Null and empty texts leak nothing.
+without a word, null ones included, match nothing. Null and empty texts leak nothing.
 Repeated rows are judged alike; items with equal text are all reported. Items longer than `PART` words
 are cut into parts, and leak if half of their words lie in parts that do.
 """
@@ -23,6 +26,7 @@ are cut into parts, and leak if half of their words lie in parts that do.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -42,16 +46,22 @@ ITEM_RANK = 256  # and at most so many from the benchmark
 COSINE = 0.4
 COMMON = 0.2  # terms in more than this share of the passages have no weight
 HITS = 4  # words of a part's rarest that a window must hold to be looked at for their sake
-SURE, LIKELY, ANSWER = 0.75, 0.6, 0.8
+HELD, SHORT, RARE = 0.95, 12, 3  # share of an item's length that the space keeps, and words, below which keys are used
+SURE, LIKELY, ANSWER, SPAN = 0.75, 0.6, 0.8, 1.5
 MIN_WORDS, PART, MAX_TERMS = 6, 64, 200_000
 _SEED = 8
 _NOT_WORD = bytes(c for c in range(128) if not (chr(c).isalnum() or c == 0x5F))
 _SPACED = bytes.maketrans(_NOT_WORD, b" " * len(_NOT_WORD))
 _ROWS = 256
+# Thai, Lao and Khmer, kana, and Chinese characters.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_SPACED).split()
+    text = (text or "").lower()
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \g<0> ", text)
+    return text.encode("utf-8", "surrogatepass").translate(_SPACED).split()
 
 
 @dataclass
@@ -60,6 +70,7 @@ class Part:
     words: list[int]
     answer: list[int]
     item_words: int
+    exact: bool = False  # leaks only word by word
 
 
 class Benchmark:
@@ -71,7 +82,7 @@ class Benchmark:
         for item, text, answer in rows:
             words = [self.terms.setdefault(w, len(self.terms)) for w in words_of(text)]
             said = [self.terms.setdefault(w, len(self.terms)) for w in words_of(answer)]
-            if len(words) < MIN_WORDS:
+            if not words:
                 continue
             n = math.ceil(len(words) / PART)
             size = math.ceil(len(words) / n)
@@ -115,20 +126,20 @@ def known_terms(docs: DataFrame, terms: dict[bytes, int], id_col: str, text_col:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, row of each term, block of each term counted through all rows, terms). Rows never share a window."""
+    """(ids, row of each term, place of each term counted through all rows, terms). Rows never share a window."""
     for batch in batches:
         for start in range(0, batch.num_rows, _ROWS):
             part = batch.slice(start, _ROWS)
             gaps = [np.frombuffer(g, dtype="<u2") for g in part.column("gaps").to_pylist()]
             terms = [np.frombuffer(t, dtype="<i4") for t in part.column("terms").to_pylist()]
-            blocks, first = [], 0
+            places, first = [], 0
             for g in gaps:
-                block = np.cumsum(g, dtype=np.int64) // BLOCK
-                blocks.append(block + first)
-                if len(block):
-                    first += int(block[-1]) + 1 + max(WINDOWS)
+                place = np.cumsum(g, dtype=np.int64)
+                places.append(place + first)
+                if len(place):
+                    first += (int(place[-1]) // BLOCK + 1 + max(WINDOWS)) * BLOCK
             row = np.repeat(np.arange(len(gaps)), [len(g) for g in gaps])
-            yield part.column("id"), row, np.concatenate(blocks), np.concatenate(terms)
+            yield part.column("id"), row, np.concatenate(places), np.concatenate(terms)
 
 
 def _passages(row: np.ndarray, block: np.ndarray) -> np.ndarray:
@@ -146,8 +157,8 @@ def _frequencies(known: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_terms, dtype=np.int64)
-        for _, row, block, terms in _slices(batches):
-            passage = _passages(row, block)
+        for _, row, place, terms in _slices(batches):
+            passage = _passages(row, place // BLOCK)
             once = np.unique(passage * n_terms + terms) % n_terms
             total += np.bincount(once, minlength=n_terms)
         held = np.flatnonzero(total)
@@ -173,9 +184,9 @@ def _range(known: DataFrame, idf: np.ndarray) -> np.ndarray:
         idf = shared.value
         random = np.random.default_rng(_SEED).standard_normal((n_terms, width)).astype(np.float32) * idf[:, None]
         total = np.zeros((n_terms, width), dtype=np.float64)
-        for _, row, block, terms in _slices(batches):
+        for _, row, place, terms in _slices(batches):
             heavy = idf[terms] > 0
-            row, block, terms = row[heavy], block[heavy], terms[heavy]
+            row, block, terms = row[heavy], place[heavy] // BLOCK, terms[heavy]
             if not len(terms):
                 continue
             passage = _passages(row, block)
@@ -199,6 +210,14 @@ def _range(known: DataFrame, idf: np.ndarray) -> np.ndarray:
     return out
 
 
+def mark_exact(bench: Benchmark, frequency: np.ndarray, n_passages: int) -> None:
+    """Which parts are too short, or too common, for less than their very words to say anything."""
+    rare = frequency <= COMMON * n_passages
+    for part in bench.parts:
+        n = len(part.words)
+        part.exact = n < MIN_WORDS or n < SHORT and int(rare[part.words].sum()) < RARE
+
+
 def weights(bench: Benchmark, frequency: np.ndarray, n_passages: int) -> np.ndarray:
     """Inverse document frequency of each term; 0 for common terms, but for those of items that are mostly made of them."""
     idf = np.log((1 + n_passages) / (1 + frequency)).astype(np.float32) + np.float32(0.05)
@@ -238,22 +257,42 @@ def common_subsequence(item: list[int], window: list[int]) -> int:
 
 def is_leak(part: Part, window: list[int]) -> tuple[bool, float]:
     ratio = common_subsequence(part.words, window) / len(part.words)
+    if part.exact:
+        return ratio == 1, ratio
     if ratio >= SURE or ratio < LIKELY:
         return ratio >= SURE, ratio
     return common_subsequence(part.answer, window) >= ANSWER * len(part.answer), ratio
 
 
+def leak_within(part: Part, window: np.ndarray, places: np.ndarray) -> tuple[bool, float]:
+    """Whether a stretch of the window, no longer than the item may be drawn out, leaks it, and the best ratio of those."""
+    leak, ratio = is_leak(part, window.tolist())
+    span = len(part.words) if part.exact else math.ceil(SPAN * len(part.words))
+    if not leak or places[-1] - places[0] < span:
+        return leak, ratio
+    of_part = set(part.words)
+    best = 0.0
+    for k, end in enumerate(np.searchsorted(places, places + span)):
+        # A stretch that matters begins with a word of the item.
+        if int(window[k]) in of_part and end - k >= (1 if part.exact else LIKELY) * len(part.words) - 1e-9:
+            found, ratio = is_leak(part, window[k:end].tolist())
+            best = max(best, ratio if found else 0.0)
+    return best > 0, best
+
+
 class Keys:
-    """Words by which a leak is found without the latent space, whatever that space holds of the item.
+    """Words by which a leak is found without the latent space, for the parts that it is blind to.
 
-    A leak has LIKELY of a part's words or more, in one window. So of any set of the part's words that is larger
+    A leak has LIKELY of a part's words or more, in one window, and all of them if they are few. So of any set of the part's words that is larger
     by HITS - 1 than what may be missing, HITS are in the window; the set is of the rarest words.
     """
 
-    def __init__(self, parts: list[Part], frequency: np.ndarray):
+    def __init__(self, parts: list[Part], frequency: np.ndarray, blind: np.ndarray):
         terms, owners, self.hits = [], [], np.zeros(len(parts), dtype=np.int64)
         for p, part in enumerate(parts):
-            need = math.ceil(LIKELY * len(part.words) - 1e-9)
+            if not blind[p]:
+                continue
+            need = len(part.words) if part.exact else math.ceil(LIKELY * len(part.words) - 1e-9)
             self.hits[p] = min(HITS, need)
             rarest = sorted(part.words, key=lambda w: (frequency[w], w))
             found = set(rarest[: len(rarest) - need + self.hits[p]])
@@ -298,10 +337,11 @@ class _Search:
     items: np.ndarray  # rank x parts, unit columns
 
 
-def _matches(search: _Search, block: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int, float, float]]:
+def _matches(search: _Search, place: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int, float, float]]:
     """(first term of the window, part, ratio, cosine) of each leak, over rows set one after another."""
     if not len(terms):
         return
+    block = place // BLOCK
     # A window is a sum of blocks, so terms are projected once, by block.
     heavy = search.idf[terms] > 0
     at, weighed = block[heavy], terms[heavy]
@@ -333,7 +373,7 @@ def _matches(search: _Search, block: np.ndarray, terms: np.ndarray) -> Iterator[
                 seen.add((start, int(c)))
                 lo, hi = np.searchsorted(block, (start, start + size))
                 if hi > lo:
-                    leak, ratio = is_leak(search.parts[c], terms[lo:hi].tolist())
+                    leak, ratio = leak_within(search.parts[c], terms[lo:hi], place[lo:hi])
                     if leak:
                         yield int(lo), int(c), ratio, float(window[w] @ search.items[:, c] / norm[w])
     # What the space does not show is found by its words.
@@ -342,7 +382,7 @@ def _matches(search: _Search, block: np.ndarray, terms: np.ndarray) -> Iterator[
             continue
         size = int(search.keys.sizes[c])
         lo, hi = np.searchsorted(block, (start, start + size))
-        leak, ratio = is_leak(search.parts[c], terms[lo:hi].tolist())
+        leak, ratio = leak_within(search.parts[c], terms[lo:hi], place[lo:hi])
         if leak:
             window = latent[max(start, 0) : start + size].sum(axis=0)
             yield int(lo), c, ratio, float(window @ search.items[:, c] / max(np.linalg.norm(window), 1e-9))
@@ -361,18 +401,21 @@ def leaks(
         return spark.createDataFrame([], f"{id_col} long, item_id long, ratio double, cosine double")
     known = staged(known_terms(docs, bench.terms, id_col, text_col), "terms")
     frequency, n_passages = _frequencies(known, len(bench.terms))
+    mark_exact(bench, frequency, n_passages)
     idf = weights(bench, frequency, n_passages)
     items = bench.vectors(idf)
     basis = latent_basis(items, _range(known, idf))
     projected = items @ basis
+    held = np.linalg.norm(projected, axis=1) / np.maximum(np.linalg.norm(items, axis=1), 1e-9)
+    blind = (held < HELD) | (np.array([len(p.words) for p in bench.parts]) < SHORT)
     projected /= np.maximum(np.linalg.norm(projected, axis=1), 1e-9)[:, None]
-    shared = spark.sparkContext.broadcast(_Search(bench.parts, Keys(bench.parts, frequency), idf, basis * idf[:, None], np.ascontiguousarray(projected.T)))
+    shared = spark.sparkContext.broadcast(_Search(bench.parts, Keys(bench.parts, frequency, blind), idf, basis * idf[:, None], np.ascontiguousarray(projected.T)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = shared.value
-        for ids, row, block, terms in _slices(batches):
+        for ids, row, place, terms in _slices(batches):
             best: dict[tuple[int, int], tuple[float, float]] = {}
-            for first, p, ratio, cosine in _matches(search, block, terms):
+            for first, p, ratio, cosine in _matches(search, place, terms):
                 key = (int(row[first]), p)
                 before = best.get(key, (0.0, 0.0))
                 best[key] = (max(before[0], ratio), max(before[1], cosine))

@@ -156,10 +156,13 @@ def test_more_items_than_the_space_holds(spark):
         edited = [x if k % 6 != 5 else "other" for k, x in enumerate(w)]  # a word in six replaced
         for kind, leak in enumerate((w, edited)):
             docs.append((10 * i + kind, " ".join(draw(int(rng.integers(20, 60))) + leak + draw(40))))
-            expected.add((10 * i + kind, i))
+            # A short item of common words leaks as it is, not edited; the rarer half of them surely is found.
+            if not kind or len(w) >= decontaminate.SHORT or sum(int(x[1:]) >= 60 for x in w) >= decontaminate.RARE:
+                expected.add((10 * i + kind, i))
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
     assert expected <= got
+    assert len(got - expected) < 0.1 * len(expected)  # of 2.4 million pairs; a word in nine is the same one here
 
 
 def test_paraphrase_needs_the_answer():
@@ -178,3 +181,42 @@ def test_leaks_of_documents(spark):
         expected |= {(d.doc_id, i) for i, w in items.items() if b" " + b" ".join(w) + b" " in text}
     assert expected
     assert {(r.doc_id, r.item_id) for r in QUERIES["op8_decontaminate"](spark, SF).collect()} == expected
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "paris"), (2, "forty two"), (3, "the answer is no"), (4, "法国的首都是哪里"), (5, "...")]
+    docs = [
+        (1, "Flights to Paris leave daily."), (2, "forty and two"), (3, "Forty-two!"), (4, "he said: the answer is no, thanks"),
+        (5, "the answer surely is no"), (6, "问题：法国的首都是哪里？答案"), (7, "法国的首都很大"), (8, "parisian"), (9, None),
+    ]
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(1, 1), (3, 2), (4, 3), (6, 4)}
+
+
+def test_common_words_in_any_place_are_no_leak(spark):
+    """Items of the most frequent words stand in a text only if they stand together."""
+    rng = random.Random(14)
+    common = "the of and to in a is that it for on was".split()
+    text = lambda n: " ".join(rng.choice(common) if rng.random() < 0.4 else words(rng, 1) for _ in range(n))
+    items = [(k, " ".join(rng.sample(common, size))) for k, size in enumerate([6] * 10 + [10] * 10)]
+    docs = [(k, text(400)) for k in range(150)]
+    planted = {(1000 + k, k) for k, _ in items}
+    docs += [(1000 + k, f"{words(rng, 60)} {t} {words(rng, 60)}") for k, t in items]
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r.doc_id, r.item_id) for r in got.collect()}
+    assert planted <= found
+    assert len(found - planted) < 0.02 * 150 * len(items)
+
+
+def test_latent_space_finds_what_it_holds(spark):
+    """Keys are for the blind spots alone: without them, items of 12 words and more are found all the same."""
+    rng = random.Random(15)
+    items = [(k, words(rng, rng.randint(12, 60))) for k in range(100)]
+    docs = [(k, f"{words(rng, rng.randint(0, 200))} {t} {words(rng, 100)}") for k, t in items]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    bench = decontaminate.Benchmark([(k, t, None) for k, t in items])
+    keys = decontaminate.Keys(bench.parts, np.ones(len(bench.terms), dtype=np.int64), np.zeros(len(bench.parts), dtype=bool))
+    assert not len(keys.windows(np.arange(50), np.arange(50)))
+    got = decontaminate.leaks(*frames).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(k, k) for k, _ in items}
+    assert min(r.cosine for r in got) >= decontaminate.COSINE
