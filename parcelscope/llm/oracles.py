@@ -55,4 +55,40 @@ FROM ranked k JOIN (SELECT lang, sum(a) AS n FROM ones GROUP BY lang) n ON n.lan
 WHERE k.rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op13_collocations": OP13}
+# Every window of 35 words as text; words have no space, so that equal texts are equal sequences.
+OP4 = """
+WITH texts AS (
+    SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS t FROM documents
+), split AS (
+    SELECT doc_id, row, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM texts
+), starts AS (
+    SELECT row, w, unnest(range(1, len(w) - 33)) AS i FROM split
+), windows AS (
+    SELECT row, i, array_to_string(w[i : i + 34], ' ') AS g FROM starts
+), again AS (
+    SELECT row, i FROM windows WHERE g IN (SELECT g FROM windows GROUP BY g HAVING count(*) > 1)
+), gone AS (
+    SELECT DISTINCT row, i + o.k AS i FROM again, (SELECT unnest(range(0, 35)) AS k) o
+), words AS (
+    SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split
+), kept AS (
+    SELECT w.row, count(g.i) AS n_removed, coalesce(string_agg(w.word, ' ' ORDER BY w.i) FILTER (WHERE g.i IS NULL), '') AS t
+    FROM words w LEFT JOIN gone g ON g.row = w.row AND g.i = w.i GROUP BY w.row
+)
+SELECT s.doc_id, len(s.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON k.row = s.row
+"""
+
+OP7 = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), said AS (
+    SELECT *, max(page_id) OVER (PARTITION BY html) AS latest FROM payloads
+)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> latest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> latest THEN latest END AS refers_to
+FROM said
+"""
+
+ORACLES: dict[str, str] = {"op4_substring_dedup": OP4, "op7_warc": OP7, "op13_collocations": OP13}
