@@ -266,7 +266,11 @@ def is_leak(part: Part, window: list[int]) -> tuple[bool, float]:
 
 def leak_within(part: Part, window: np.ndarray, places: np.ndarray) -> tuple[bool, float]:
     """Whether a stretch of the window, no longer than the item may be drawn out, leaks it, and the best ratio of those."""
-    leak, ratio = is_leak(part, window.tolist())
+    words = window.tolist()
+    # No more of the item can be there in order than is there at all, which nearly all windows fail.
+    if sum(map(set(words).__contains__, part.words)) < (1 if part.exact else LIKELY) * len(part.words) - 1e-9:
+        return False, 0.0
+    leak, ratio = is_leak(part, words)
     span = len(part.words) if part.exact else math.ceil(SPAN * len(part.words))
     if not leak or places[-1] - places[0] < span:
         return leak, ratio
@@ -368,14 +372,14 @@ def _matches(search: _Search, place: np.ndarray, terms: np.ndarray) -> Iterator[
                 window += padded[k + step : k + step + n]
             norm = np.maximum(np.linalg.norm(window, axis=1), 1e-9)
             at, which = np.nonzero(window @ items >= COSINE * norm[:, None])
-            for w, c in zip(at, columns[which]):
-                start = k + int(w) - (size - 1)
-                seen.add((start, int(c)))
-                lo, hi = np.searchsorted(block, (start, start + size))
+            starts = k + at - (size - 1)
+            ends = zip(np.searchsorted(block, starts).tolist(), np.searchsorted(block, starts + size).tolist())
+            for w, start, c, (lo, hi) in zip(at.tolist(), starts.tolist(), columns[which].tolist(), ends):
+                seen.add((start, c))
                 if hi > lo:
                     leak, ratio = leak_within(search.parts[c], terms[lo:hi], place[lo:hi])
                     if leak:
-                        yield int(lo), int(c), ratio, float(window[w] @ search.items[:, c] / norm[w])
+                        yield lo, c, ratio, float(window[w] @ search.items[:, c] / norm[w])
     # What the space does not show is found by its words.
     for start, c in map(tuple, search.keys.windows(block, terms).tolist()):
         if (start, c) in seen:
