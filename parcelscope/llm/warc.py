@@ -1,8 +1,11 @@
 """Deterministic sharded WARC archives, with revisit records for equal payloads.
 
-Records are sorted by page_id and cut into shards of about equal payload bytes. The cuts come from a
-histogram of the ids in at most `HISTOGRAM` cells, so equal input gives equal shards on any cluster. A shard is
-written as files that roll over once their compressed size passes a limit; each record is a gzip
+Records are sorted by a key of fixed length (page_id, digest of the payload, hash of the url) and cut into
+shards of about equal payload bytes. The cuts come from counts by prefix of the key; a prefix that holds more than a
+shard is counted again by longer ones, so neither ids that lie close together nor one id on many rows make a large
+shard, and equal input gives equal shards on any cluster. Rows that agree in the whole key and are more than a shard
+travel as one row with their number, and are dealt out among shards. Ordinals go on from shard to shard. Each shard
+is one task, written as files that roll over once their compressed size passes a limit; each record is a gzip
 member of its own with no time stamp, headers and digests are made anew from the payload. A file is
 written under a temporary name and renamed when complete; only the manifest, written last, makes files
 count, so what a lost task leaves behind is never read.
@@ -19,21 +22,28 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelscope.llm.common import fresh_folder, open_store, staged
 
 LEAST_REVISIT_BYTES = 1000
-HISTOGRAM = 1 << 16
+HISTOGRAM = 1 << 16  # cells counted at once, unless more prefixes than that hold more than a shard
 SHARDS = 256  # as many, unless that makes shards smaller or larger than the two bounds
 SHARD_BYTES = (1 << 20, 256 << 20)
+MOST_SHARDS = 1 << 14  # shards grow beyond the upper bound rather than be more, as the driver holds the cuts
+RECORD_BYTES = 500  # of a record beside its payload, about
+_PAGE, _SHA, _KEY = 17, 81, 97  # characters of the sort key up to the end of page_id, digest and hash of the url
 ROLL_BYTES = 64 << 20
 DATE = "2000-01-01T00:00:00Z"  # a fixed value, so that equal input gives equal files
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -131,31 +141,104 @@ def parse_record(data: bytes) -> dict:
 # --- writing --------------------------------------------------------------------------------
 
 
-def _cells(pages: DataFrame) -> tuple[int, int]:
-    """(least page_id, width of a histogram cell)"""
-    ends = pages.agg(F.min("page_id").alias("a"), F.max("page_id").alias("b")).first()
-    first, last = ends["a"] or 0, ends["b"] or 0
-    return first, (last - first) // HISTOGRAM + 1
-
-
-def _shards(pages: DataFrame, shard_bytes: tuple[int, int]) -> tuple[DataFrame, int]:
-    """`pages` with the number of the shard of each row, and the number of shards. Neighbouring cells share a shard."""
-    first, width = _cells(pages)
-    cell = F.coalesce(F.floor((F.col("page_id") - F.lit(first)) / F.lit(width)).cast("int"), F.lit(-1))
-    sized = pages.select(cell.alias("cell"), F.octet_length("html").alias("n"))
-    totals = sized.groupBy("cell").agg(F.sum(F.coalesce("n", F.lit(0)) + 500).alias("n")).orderBy("cell").collect()
-    most = min(max(sum(r["n"] for r in totals) // SHARDS, shard_bytes[0]), shard_bytes[1])
-    cuts, filled = [], 0  # the first cell of each shard but the first
-    for r in totals:  # at most HISTOGRAM rows
-        if filled and filled + r["n"] > most:
-            cuts.append(r["cell"])
-            filled = 0
-        filled += r["n"]
-    shard = F.lit(0)
-    if cuts:
-        ends = F.expr(f"array({','.join(map(str, cuts))})")
-        shard = F.size(F.filter(ends, lambda c: c <= cell))
-    return pages.withColumn("shard", shard), len(cuts) + 1
+def _digest() -> Column:
+    return F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256)
+
+
+def sort_key(sha: Column) -> Column:
+    """The order of the records as text: null pages first, then page_id, digest of the payload, hash of the url."""
+    biased = F.lower(F.lpad(F.hex(F.col("page_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+    page = F.coalesce(F.concat(F.lit("1"), biased), F.lit("0" * _PAGE))
+    return F.concat(page, sha, F.lower(F.lpad(F.hex(F.xxhash64(F.coalesce("url", F.lit("")))), 16, "0")))
+
+
+@dataclass
+class Layout:
+    """Which shard a key belongs to."""
+
+    starts: list[str] = field(default_factory=list)  # least keys of all shards but the first
+    numbers: list[int] = field(default_factory=lambda: [0])  # the shard of keys before the first start, then from each
+    n_shards: int = 1
+    # Of shards that start within a page: its key and rows before, and those of its payload if that is cut as well.
+    carried: dict[int, tuple[str, int, str | None]] = field(default_factory=dict)
+    hot: dict[str, int] = field(default_factory=dict)  # keys on more rows than a shard -> rows of a shard
+
+    def shard_of(self, key: Column) -> Column:
+        if not self.starts:
+            return F.lit(0)
+        starts, numbers = np.array(self.starts, dtype=object), np.array(self.numbers, dtype=np.int32)
+
+        @F.pandas_udf("int")
+        def find(keys: pd.Series) -> pd.Series:
+            return pd.Series(numbers[np.searchsorted(starts, keys.to_numpy(dtype=object), side="right")])
+
+        return find(key)
+
+
+def _cells(keys: DataFrame, most: int, depth: int) -> list[tuple[str, int, int]]:
+    """(prefix, bytes, rows) of cells that part all keys, in order; none but a whole key has more than `most` bytes."""
+    spark, among, heavy, cells = keys.sparkSession, keys, 1, []
+    while True:
+        step = 4
+        while step > 1 and heavy * 16**step > HISTOGRAM:
+            step -= 1
+        depth = min(depth + step, _KEY)
+        cell = F.substring("key", 1, depth)
+        counted = among.groupBy(cell.alias("cell")).agg(F.sum(F.col("n") + RECORD_BYTES), F.count("*"))
+        rows = [tuple(r) for r in counted.collect()]
+        if depth == _KEY:
+            return sorted(cells + rows)
+        cells += [r for r in rows if r[1] <= most]
+        large = [r[0] for r in rows if r[1] > most]  # fewer than there will be shards
+        if not large:
+            return sorted(cells)
+        heavy = len(large)
+        names = spark.createDataFrame([(c,) for c in large], "cell string")
+        among = among.join(F.broadcast(names), cell == F.col("cell"), "left_semi")
+        # What all keys of each such cell have in common need not be looked at.
+        ends = among.groupBy(cell.alias("cell")).agg(F.min("key"), F.max("key")).collect()
+        depth = max(depth, min(len(os.path.commonprefix([a, b])) for _, a, b in ends))
+
+
+def layout(keys: DataFrame, shard_bytes: tuple[int, int]) -> Layout:
+    """Shards of the rows of `keys` (key, n)."""
+    out = Layout()
+    ends = keys.agg(F.min("key"), F.max("key"), F.sum(F.col("n") + RECORD_BYTES)).first()
+    if ends[0] is None:
+        return out
+    most = max(min(max(ends[2] // SHARDS, shard_bytes[0]), shard_bytes[1]), ends[2] // MOST_SHARDS)
+    filled, shard = 0, 0
+    page = payload = ""
+    of_page = of_payload = 0  # rows of the page, and of its payload, in the cells before
+
+    def start(key: str) -> None:
+        out.starts.append(key)
+        out.numbers.append(shard)
+        if len(key) > _PAGE and of_page:
+            out.carried[shard] = (page, of_page, payload if of_payload else None)
+
+    for cell, n, rows in _cells(keys, most, min(len(os.path.commonprefix([ends[0], ends[1]])), _KEY - 1)):
+        # A cell shorter than a page's key is the only one of that page.
+        if cell[:_PAGE] != page:
+            page, of_page = cell[:_PAGE], 0
+        if cell[:_SHA] != payload:
+            payload, of_payload = cell[:_SHA], 0
+        if filled and filled + n > most:
+            shard, filled = shard + 1, 0
+            start(cell)
+        if n > most and rows > 1:
+            each = max(most * rows // n, 1)
+            out.hot[cell] = each
+            for done in range(each, rows, each):
+                shard += 1
+                out.carried[shard] = (page, of_page + done, payload)
+            filled = n
+        else:
+            filled += n
+        of_page += rows
+        of_payload += rows
+    out.n_shards = shard + 1
+    return out
 
 
 def _marked(pages: DataFrame, least_bytes: int) -> DataFrame:
@@ -174,40 +257,60 @@ def write(
 ) -> list[dict]:
     """Write `pages` (page_id, url, html) to `folder`; returns the manifest, a row a file, which is also written there."""
     spark = pages.sparkSession
-    plain = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    # Digests are a small table: who revisits whom is settled before any html is moved.
-    small = plain.select(
-        "page_id", F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256).alias("sha"),
-        F.coalesce(F.octet_length("html"), F.lit(0)).alias("n"),
-    )
+    plain = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("sha", _digest())
+    # Digests are a small table: who revisits whom, and the shards, are settled before any html is moved.
+    keys = staged(
+        plain.select("page_id", "sha", F.coalesce(F.octet_length("html"), F.lit(0)).alias("n"), sort_key(F.col("sha")).alias("key")),
+        "page-keys",
+    )
+    small = keys.select("page_id", "sha", "n")
     revisits = staged(
         _marked(small, least_bytes).filter("largest is not null").select("page_id", "sha", "largest").distinct(), "revisits"
     )
-    sharded, n_shards = _shards(plain, shard_bytes)
-    sharded = sharded.withColumn("sha", F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256))
+    shards = layout(keys, shard_bytes)
+    keyed = plain.withColumn("key", sort_key(F.col("sha")))
+    columns = ["shard", "key", "page_id", "sha", "url", "html", "copies"]
+    sharded = keyed.withColumn("shard", shards.shard_of(F.col("key"))).withColumn("copies", F.lit(1).cast("long")).select(columns)
+    if shards.hot:
+        names = F.broadcast(spark.createDataFrame(list(shards.hot.items()), "hot string, each long"))
+        alike = keyed.join(names, F.col("key") == F.col("hot")).groupBy("key", "each").agg(
+            *(F.min(c).alias(c) for c in ("page_id", "sha", "url", "html")), F.count("*").alias("rows")
+        )
+        pieces = alike.select("*", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.col("each"))).alias("piece", "done"))
+        dealt = pieces.withColumn("shard", shards.shard_of(F.col("key")) + F.col("piece")).withColumn(
+            "copies", F.least("each", F.col("rows") - F.col("done"))
+        )
+        sharded = sharded.join(names, F.col("key") == F.col("hot"), "left_anti").union(dealt.select(columns))
     joined = sharded.join(
         revisits.select(F.col("page_id").alias("page_"), F.col("sha").alias("sha_"), "largest"),
         F.col("page_id").eqNullSafe(F.col("page_")) & (F.col("sha") == F.col("sha_")),
         "left",
-    ).select("shard", "page_id", "sha", "url", "html", "largest")
-    ordered = joined.repartition(n_shards, "shard").sortWithinPartitions("shard", "page_id", "sha", "url")
+    ).select("shard", "key", "page_id", "url", "html", "largest", "copies")
+    ordered = joined.repartitionById(shards.n_shards, F.col("shard")).sortWithinPartitions("shard", "key", "url")
+    carried = shards.carried
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)
         roll = _Roll(store, root, roll_bytes)
-        before, ordinal, seen = None, 0, None
+        current, ordinal, page_key, payload_key = None, 0, None, None
         for batch in batches:
-            columns = [batch.column(n) for n in ("shard", "page_id", "sha", "url", "html", "largest")]
+            columns = [batch.column(n) for n in ("shard", "key", "page_id", "url", "html", "largest", "copies")]
             for row in zip(*columns):
-                shard, page, sha, url, html, largest = (c.as_py() for c in row)
-                ordinal = ordinal + 1 if (shard, page) == before else 0
-                first, seen = (page, sha) != seen, (page, sha)
-                before = (shard, page)
-                refers = None
-                if largest is not None and not (page == largest and first):
-                    refers = record_id(largest, 0)
-                done = roll.add(shard, member(record_bytes(page, ordinal, url, (html or "").encode("utf-8", "surrogatepass"), refers)))
-                yield from _entry(done)
+                shard, key, page, url, html, largest, copies = (c.as_py() for c in row)
+                if shard != current:
+                    current = shard
+                    page_key, ordinal, payload_key = carried.get(shard, (None, 0, None))
+                if key[:_PAGE] != page_key:
+                    page_key, ordinal = key[:_PAGE], 0
+                first, payload_key = key[:_SHA] != payload_key, key[:_SHA]
+                payload = (html or "").encode("utf-8", "surrogatepass")
+                for _ in range(copies):
+                    refers = None
+                    if largest is not None and not (page == largest and first):
+                        refers = record_id(largest, 0)
+                    done = roll.add(shard, member(record_bytes(page, ordinal, url, payload, refers)))
+                    yield from _entry(done)
+                    ordinal, first = ordinal + 1, False
         yield from _entry(roll.close())
 
     schema = "file string, shard int, part int, n_records long, n_bytes long, sha256 string"

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from parcelscope.llm import bpe, token_records, warc
@@ -176,6 +177,52 @@ def test_warc_files_are_the_same_however_rows_lie(spark):
     assert html == {r.page_id: r.html for r in pages.collect() if r.page_id in html}
 
 
+def test_warc_shards_of_crowded_ids(spark):
+    """Ids close together beside a far one, null ids on many rows, and rows that are all alike."""
+    rows = [(None, f"http://n/{k}", f"null {k} " * 40) for k in range(90)] + [(10**15, "http://far", "far")]
+    rows += [(10**6 + k, f"http://c/{k}", BIG if k % 9 == 0 else f"close {k} " * 30) for k in range(90)]
+    rows += [(7, "http://same", "s" * 1200)] * 90 + [(7, "http://other", "s" * 1200), (7, "http://x", "another"), (-3, None, None)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    sizes = {"shard_bytes": (12_000, 12_000), "roll_bytes": 4_000}
+    one, manifest, folder = files(spark, frame.repartition(3), **sizes)
+    two, _, _ = files(spark, frame.orderBy("url").repartition(5), **sizes)
+    assert one == two
+    shards = {}
+    for m in manifest:
+        data = gzip.decompress(one[m["file"]])
+        shards[m["shard"]] = shards.get(m["shard"], 0) + len(data)
+    # A record has a little more than the bytes it is reckoned with, and a revisit no payload.
+    assert len(shards) > 12 and max(shards.values()) < 2 * 12_000
+    records = [warc.parse_record(r) | {"id": r.split(b"WARC-Record-ID: ")[1].split(b"\r")[0]} for name in sorted(one) for r in warc.members(io.BytesIO(one[name]))]
+    ids = [r["page_id"] for r in records]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0)) and len({r["id"] for r in records}) == len(rows)
+    assert order(map(tuple, warc.read(spark, folder).collect())) == order(expected_pages([(p, h) for p, _, h in rows]))
+
+
+def test_layout_of_prefixes(spark):
+    """Cells part all keys in order, and carried counts are those of a plain count."""
+    pages = [(3, "ab" * 32, "0" * 16)] * 50 + [(3, f"{k:064x}", "1" * 16) for k in range(40)] + [(k, "cd" * 32, "2" * 16) for k in range(4, 400, 3)]
+    keys = sorted(f"1{p + 2**63:016x}{sha}{url}" for p, sha, url in pages)
+    frame = spark.createDataFrame([(k, 100) for k in keys], "key string, n long")
+    got = warc.layout(frame, (6_000, 6_000))
+    assert got.hot == {keys[40 + 20]: 10}
+    placed = [(k, s) for k, s in frame.withColumn("shard", got.shard_of(F.col("key"))).select("key", "shard").collect()]
+    dealt, out = {}, []
+    for key, shard in sorted(placed):
+        if key in got.hot:
+            dealt[key] = dealt.get(key, -1) + 1
+            shard += dealt[key] // got.hot[key]
+        out.append((key, shard))
+    assert [s for _, s in out] == sorted(s for _, s in out) and {s for _, s in out} == set(range(got.n_shards))
+    for shard in range(1, got.n_shards):
+        before = [k for k, s in out if s < shard]
+        first = next(k for k, s in out if s == shard)
+        rows = sum(k[:17] == first[:17] for k in before)
+        same = any(k[:81] == first[:81] for k in before)
+        assert got.carried.get(shard) == ((first[:17], rows, first[:81] if same else None) if rows else None)
+        assert sum(s == shard for _, s in out) <= 10
+
+
 def test_damaged_warc_is_found():
     data = warc.record_bytes(1, 0, "u", b"payload", None)
     assert warc.parse_record(data)["payload"] == b"payload"
