@@ -84,6 +84,14 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """`name`, made longer until `docs` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame, id_col: str, name: str = "row") -> DataFrame:
     """`docs` with a further column `name`, a row number that is unique and not null.
 
@@ -97,9 +105,11 @@ def numbered(docs: DataFrame, id_col: str, name: str = "row") -> DataFrame:
     return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
-def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, id, text) of `docs` with a row number that is unique and not null."""
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str, unique: bool = False) -> DataFrame:
+    """(row, id, text) of `docs` with a row number that is unique and not null; `unique`: the ids are known to be so."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    if unique:
+        return rows.select(F.col("id").alias("row"), "id", "text")
     return numbered(rows, "id").select("row", "id", "text")
 
 

@@ -262,8 +262,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return whole.join(theirs, "row", "left").select(F.col("id").alias(id_col), *either)
 
 
-def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_text) of the rows that lose words."""
-    changed = repeated_passages(keyed_texts(docs, id_col, text_col))
+def changed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unique: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_text) of the rows that lose words; `unique`: no id is null or comes again."""
+    changed = repeated_passages(keyed_texts(docs, id_col, text_col, unique))
     found = changed.mapInArrow(_results(True), _RESULT + ", kept_text string")
     return found.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept_text")

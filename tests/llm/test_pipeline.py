@@ -52,9 +52,12 @@ def test_stages_with_odd_rows(spark):
     odd = [(None, "alpha beta gamma delta"), (None, "alpha beta gamma delta"), (3, "epsilon zeta eta"), (3, "theta iota"), (5, None), (6, ""), (7, "12 34")]
     more = spark.createDataFrame([(i, t, None, None, len(t) if t else None) for i, t in odd], docs.schema)
     rows = docs.filter("doc_id > 10").union(more).withColumn("score", F.lit(1)).withColumn("row", F.lit("x"))
+    for name in ("pipeline_row", "pipeline_score", "kept_text", "has_letter"):
+        rows = rows.withColumn(name, F.lit("y"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = staged(stage(spark, rows, SF), "stage")
         assert out.columns == rows.columns, name
+        assert out.select("score", "row", "pipeline_row", "pipeline_score", "kept_text", "has_letter").distinct().count() <= 1, name
         rows = out
     kept = [(r.doc_id, r.text) for r in rows.collect() if r.doc_id is None or r.doc_id < 10]
     assert sorted(kept, key=str) == sorted([(None, "alpha beta gamma delta"), (3, "epsilon zeta eta"), (3, "theta iota")], key=str)
@@ -64,6 +67,14 @@ def test_stages_with_odd_rows(spark):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_noise_goes_and_documents_stay(spark):
+    docs = table(spark, SF, "documents")
+    noise = ["0x7f3a 0x9b21 q 0xff00 ^^ ||", "{}();;0x00ff==a", "###### ------ z 0000", "\u0e01"]
+    more = spark.createDataFrame([(-1 - i, t, None, None, len(t)) for i, t in enumerate(noise)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify(spark, docs.union(more), SF).collect()}
+    assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+
+
 def test_texts_with_letters_stay_where_no_language_is_known(spark):
     docs = table(spark, SF, "documents").withColumn("lang", F.lit(None).cast("string"))
     more = spark.createDataFrame([(-1, "12 34", None, None, 5), (-2, None, None, None, None), (-3, "", None, None, 0)], docs.schema)
