@@ -40,7 +40,7 @@ from parcelscope.llm.common import fresh_folder, open_store, staged
 LEAST_REVISIT_BYTES = 1000
 HISTOGRAM = 1 << 16  # cells counted at once, unless more prefixes than that hold more than a shard
 SHARDS = 256  # as many, unless that makes shards smaller or larger than the two bounds
-SHARD_BYTES = (1 << 20, 256 << 20)
+SHARD_BYTES = (4 << 20, 256 << 20)
 MOST_SHARDS = 1 << 14  # shards grow beyond the upper bound rather than be more, as the driver holds the cuts
 RECORD_BYTES = 500  # of a record beside its payload, about
 _PAGE, _SHA, _KEY = 17, 81, 97  # characters of the sort key up to the end of page_id, digest and hash of the url
