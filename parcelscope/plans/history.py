@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from parcelscope.functions.dates import label_short
@@ -46,14 +48,12 @@ ZONE_SUMS = {
 MAY_BE_ABSENT = ("n_fsc", "n_oth_chgs")
 # Money has more digits than Spark adds up as longs, and a roll-up adds it up ten times a row. So it
 # is counted in the smallest unit of its column; cast and sum raise an error where a long has no room.
-IN_UNITS = (
-    "normal_weight_charges", "normal_fsc", "normal_other_charges", "normal_revenue", "cod", "return_charges",
-)
+SENT_IN_UNITS = ("normal_weight_charges", "normal_fsc", "normal_other_charges", "normal_revenue", "cod")
 
 
-def _in_units(frame: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+def _in_units(frame: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
     """Money as whole numbers, and the decimal places of each column."""
-    places = {c: frame.schema[c].dataType.scale for c in IN_UNITS}
+    places = {c: frame.schema[c].dataType.scale for c in columns}
     return frame.withColumns({c: F.expr(f"cast({c} * {10**n} as bigint)") for c, n in places.items()}), places
 
 
@@ -80,19 +80,28 @@ def _roll_up(places: dict[str, int]) -> list[str]:
 def build_history(shipments: DataFrame, returns: DataFrame, customers: DataFrame) -> DataFrame:
     """Sums per (account, sales person, month); a shipment counts once however often returned.
 
-    Customer attributes join after the roll-up, on account rows instead of shipments.
+    Shipments are cut to what is summed up, money as longs, before they move to their returns and then to
+    their account, where the customer meets them. So the many sums of an account and month are made in
+    place, and those wide rows, hardly fewer than the shipments, never move. A hot account is split by
+    adaptive execution (see session.SETTINGS), which then sums up its parts first.
     """
-    joined, places = _in_units(with_returns(shipments.where("month_start is not null"), returns))
-    rolled = (
-        joined.withColumn("slot", zone_slot())
-        .groupBy("acc_no", "sp_name", "month_start")
-        .agg(*[F.expr(text) for text in _roll_up(places)])
-        .withColumn("month", label_short("month_start"))
+    dated = shipments.where("month_start is not null").withColumn("slot", zone_slot())
+    sent, places = _in_units(dated, SENT_IN_UNITS)
+    narrow = sent.select("normal_cn", "acc_no", "sp_name", "month_start", "slot", "weight", *SENT_IN_UNITS)
+    joined, of_returns = _in_units(with_returns(narrow, returns).drop("normal_cn", "return_rows"), ["return_charges"])
+    # Adaptive execution splits a skewed join only if both sides come straight from a shuffle, so these rows move once more.
+    one_per_account = (
+        customers.groupBy("acc_no")
+        .agg(F.expr("min(struct(cust_name, cust_type)) as customer"))
+        .select("acc_no", "customer.*")
+        .hint("rebalance")
     )
-    one_per_account = customers.groupBy("acc_no").agg(
-        F.expr("min(struct(cust_name, cust_type)) as customer")
+    named = (
+        joined.join(one_per_account, "acc_no", "left")
+        .groupBy("acc_no", "sp_name", "month_start", "cust_name", "cust_type")
+        .agg(*[F.expr(text) for text in _roll_up(places | of_returns)])
+        .withColumn("month", label_short("month_start"))
     )
-    named = rolled.join(one_per_account, "acc_no", "left").select("*", "customer.*")
     return named.selectExpr(
         *[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in MOM_HISTORY]
     )
