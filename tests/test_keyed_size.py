@@ -47,6 +47,13 @@ def test_writing_takes_more_tasks_than_buckets(spark, tmp_path, monkeypatch):
     assert warehouse.stored("salesreport").count() == 4800 and warehouse.stored("returnreport").count() == 1600
 
 
+def test_bloom_filters_are_as_large_as_their_accounts_need(spark, tmp_path):
+    warehouse = KeyedWarehouse(spark, str(tmp_path), 2)
+    warehouse.land("a", many(spark, 480)[0])
+    files = list(Path(warehouse.folder, "salesreport").rglob("*.parquet"))
+    assert files and max(f.stat().st_size for f in files) < 100_000
+
+
 def test_buckets_follow_the_rows(spark, tmp_path, monkeypatch):
     assert stored.buckets_for(0) == stored.buckets_for(8_000_000) == 8 and stored.buckets_for(216_000_001) == 217
     monkeypatch.setattr(stored, "BUCKET_ROWS", 100)
