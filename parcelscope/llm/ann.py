@@ -6,14 +6,22 @@ squared norm less the own squared norm, all divided by that largest norm), so th
 least distance. Vectors are turned by one random
 rotation: then every block of coordinates is a fair sample of the whole distance. Inside a probed list
 the distance to a query grows block by block, and a candidate is abandoned as soon as a hypothesis
-test on the part seen says that the whole will exceed the query's threshold. Everything that is left is
-scored in double precision on the original vectors. Bands too short to reach the threshold are not probed.
+test on the part seen says that the whole will exceed the query's threshold. The first block is taken for all
+pairs at once, as one product of matrices; how many coordinates it has is fitted on the sample, where the test pays.
+Everything that is left is scored in double precision on the original vectors. Bands too short to reach the
+threshold are not probed.
 
 The lists are the cells of k-means centres. Centres, and how many lists to probe for a recall of
-`TARGET` on the sample, are fitted on a bounded sample of at most `SAMPLE` vectors; every vector is
+`TARGET` on the sample, are fitted on a bounded sample of at most `SAMPLE` vectors, which reaches the driver as
+Arrow columns, never as Python rows; every vector is
 indexed. A query's first threshold is its k-th product within the sample, taken in double precision, which
-no k-th product over all rows falls below; these k of the sample also stand as found, so no query comes back short. Lists are cut into blocks of `BLOCK` vectors and the queries of a list into packs
-of `PACK`, so that a crowded list is many small tasks.
+no k-th product over all rows falls below; these k of the sample also stand as found, so no query comes back short.
+
+Lists lie side by side on shelves of as many vectors as there are queries (at least `LEAST_SHELF`, at most `HELD`
+bytes of them), and a list that is longer than that is cut by hash. A query goes once to each shelf that holds one of its lists,
+so all that the queries move is about as much as the vectors do, up to `HELD` bytes of queries; beyond, the queries are
+dealt into several packs, and a task has one shelf and one pack. There it finds each query's lists again, holds `PACK`
+queries against `BLOCK` vectors at a time, and raises a query's threshold by what it has found.
 
 Equal vectors are one entry with their least k+1 ids, which is all that a result can need. Vectors
 that are null, zero, of another length than most, or hold null or non-finite components take no part,
@@ -39,6 +47,10 @@ PACK = 256
 STEP = 16  # coordinates of a column block
 LEAST = 256  # vectors of a band in the sample, if it has as many
 SLACK = 1e-5  # of squared distances between unit vectors in single precision
+LEAST_SHELF = 2048  # vectors of a shelf
+HELD = 32 << 20  # bytes of the vectors of a shelf, and of the queries of a pack
+GATHERED = 30  # times the price of a coordinate in a product of matrices, where pairs are taken one by one
+FOUND = 1 << 20  # pairs that a task holds before it keeps the k best of each query
 EPSILON = 3.0  # of the test: how far a partial distance must lie beyond the threshold
 SEED = 20
 
@@ -60,18 +72,23 @@ def _kmeans(points: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
-def _nearest(points: np.ndarray, centres: np.ndarray, count: int) -> np.ndarray:
-    """The `count` nearest centres of each point, nearest first."""
+def _nearest(points: np.ndarray, centres: np.ndarray, count: int, ordered: bool = True) -> np.ndarray:
+    """The `count` nearest centres of each point, nearest first if `ordered`."""
     out = np.empty((len(points), count), dtype=np.int32)
     norms = (centres**2).sum(axis=1)
-    for start in range(0, len(points), 4096):
-        part = norms - 2 * (points[start : start + 4096] @ centres.T)
+    for start in range(0, len(points), 1024):
+        part = norms - 2 * (points[start : start + 1024] @ centres.T)
+        if count == 1:
+            out[start : start + 1024] = part.argmin(axis=1)[:, None]
+            continue
         if count < part.shape[1]:
             few = np.argpartition(part, count - 1, axis=1)[:, :count]
         else:
             few = np.broadcast_to(np.arange(count), (len(part), count))
-        order = np.argsort(np.take_along_axis(part, few, axis=1), axis=1, kind="stable")
-        out[start : start + 4096] = np.take_along_axis(few, order, axis=1)
+        if ordered:
+            order = np.argsort(np.take_along_axis(part, few, axis=1), axis=1, kind="stable")
+            few = np.take_along_axis(few, order, axis=1)
+        out[start : start + 1024] = few
     return out
 
 
@@ -85,6 +102,7 @@ class Space:
         lists = int(min(max(round(n_vectors**0.5), 1), max(len(sample) // 16, 1)))
         self.centres = _kmeans(points, lists)
         self.probes = self._calibrated(points, asked)
+        self.head = self._head(points, asked)
 
     def candidates(self, vectors: np.ndarray) -> np.ndarray:
         scaled = vectors.astype(np.float64) / self.largest
@@ -104,6 +122,18 @@ class Space:
         needed = np.take_along_axis(place, own[true], axis=1) + 1
         return int(min(np.ceil(np.quantile(needed, TARGET)) + 1, len(self.centres)))
 
+    def _head(self, points: np.ndarray, asked: np.ndarray) -> int:
+        """Coordinates of the first block: as few as leave so few pairs of the sample that the rest of them is cheap."""
+        queries, points, size = rotated_queries(asked), points[: 16 * LEAST], points.shape[1]
+        gaps = 2 - 2 * (queries @ points.T)
+        limits = np.partition(gaps, min(self.k, len(points)) - 1, axis=1)[:, min(self.k, len(points)) - 1]
+        limits = np.maximum(limits, 0) * (1 + 1e-4) + SLACK
+        price = {size: size}
+        for head in range(STEP, size, STEP):
+            left = len(survivors(queries, points, limits, head, head)[0]) / gaps.size
+            price[head] = head + left * GATHERED * (size - head)
+        return min(price, key=price.get)
+
 
 @lru_cache(maxsize=4)
 def _turn(size: int) -> np.ndarray:
@@ -141,29 +171,101 @@ class Bands:
         return best, least if k == self.k else np.full(len(vectors), -np.inf)
 
 
-def scan(query: np.ndarray, candidates: np.ndarray, threshold: float, k: int) -> np.ndarray:
-    """Positions of candidates that may be among the k nearest: those that no test abandoned."""
+def _bound(limits: np.ndarray, seen: int, size: int) -> np.ndarray:
+    """What the distance over `seen` coordinates may be at most, if the whole is to stay within the limits."""
+    return limits if seen >= size else limits * (seen / size) * (1 + EPSILON / seen**0.5) ** 2
+
+
+def survivors(queries: np.ndarray, candidates: np.ndarray, limits: np.ndarray, head: int, upto: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (of queries, of candidates) of the pairs that no test abandons: `head` coordinates at once, then STEP by STEP."""
     size = candidates.shape[1]
-    if len(candidates) <= k:
-        return np.arange(len(candidates))
-    alive, partial = None, np.zeros(len(candidates), dtype=np.float64)
-    for start in range(0, size, STEP):
+    q, c = queries[:, :head], candidates[:, :head]
+    # |q - c|^2 <= bound, as q c - |c|^2 / 2 >= (|q|^2 - bound) / 2
+    part = np.column_stack([q, np.ones(len(q), q.dtype)]) @ np.column_stack([c, -0.5 * np.einsum("ij,ij->i", c, c)]).T
+    own = np.einsum("ij,ij->i", q, q)
+    least = (0.5 * (own - _bound(limits, head, size))).astype(part.dtype)
+    at, of = np.divmod(np.flatnonzero(part >= least[:, None]), max(len(c), 1))
+    if head >= (upto or size):
+        return at, of
+    partial = own[at] - 2 * part[at, of].astype(np.float64)
+    for start in range(head, size, STEP):
         stop = min(start + STEP, size)
-        rows = candidates[:, start:stop] if alive is None else candidates[alive, start:stop]
-        gap = rows - query[start:stop]
+        gap = candidates[of, start:stop] - queries[at, start:stop]
         partial = partial + np.einsum("ij,ij->i", gap, gap)
-        if stop < size:
-            bound = threshold * (stop / size) * (1 + EPSILON / stop**0.5) ** 2
-        else:
-            bound = threshold
-        keep = partial <= bound
-        if not keep.all():
-            alive = np.flatnonzero(keep) if alive is None else alive[keep]
-            partial = partial[keep]
-        if not len(partial):
-            return np.empty(0, dtype=np.int64)
-    # Single precision may swap neighbours, so all that are left are scored exactly.
-    return np.arange(len(candidates)) if alive is None else alive
+        keep = partial <= _bound(limits, stop, size)[at] if stop < size else partial <= limits[at]
+        at, of, partial = at[keep], of[keep], partial[keep]
+    return at, of
+
+
+def scan(query: np.ndarray, candidates: np.ndarray, threshold: float, k: int) -> np.ndarray:
+    """Positions of candidates that may be among the k nearest of one query: those that no test abandoned."""
+    if len(candidates) <= k:
+        return np.arange(len(candidates))
+    return survivors(query[None, :], candidates, np.array([threshold]), min(STEP, candidates.shape[1]))[1]
+
+
+def best_of(at: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positions of the k best pairs of each query and of all that equal the last of them, queries with k pairs, their k-th score)."""
+    order = np.lexsort((-scores, at))
+    own, score = at[order], scores[order]
+    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.empty(0, dtype=np.int64)
+    counts = np.diff(np.append(starts, len(own)))
+    last = score[starts + np.minimum(counts, k) - 1]
+    return order[score >= np.repeat(last, counts)], own[starts[counts >= k]], last[counts >= k]
+
+
+def limits_of(products: np.ndarray, largest: float) -> np.ndarray:
+    """Squared distances of what has these products with a unit query. Below -SLACK no vector of the band is long enough."""
+    return 2 - 2 * products / largest
+
+
+def match(bands: Bands, lists: np.ndarray, uids: np.ndarray, vectors: np.ndarray, asked: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(query, uid, score) of the best k of a shelf's vectors for each query of a pack, by the lists that the query probes."""
+    turned, products = rotated_queries(asked), products.copy()
+    lengths = np.sqrt((asked.astype(np.float64) ** 2).sum(axis=1))
+    kept = [np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)]
+    fresh: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def settle() -> None:
+        nonlocal kept, fresh, held
+        at, of, scores = (np.concatenate(x) for x in zip(kept, *fresh))
+        few, full, last = best_of(at, scores, bands.k)
+        kept, fresh, held = [at[few], of[few], scores[few]], [], 0
+        products[full] = np.maximum(products[full], last / lengths[full])
+
+    order = np.argsort(lists, kind="stable")
+    for space in bands.spaces.values():
+        low, high = np.searchsorted(lists[order], [space.first, space.first + len(space.centres)])
+        own = order[low:high]
+        able = np.flatnonzero(limits_of(products, space.largest) > -SLACK)
+        if not len(own) or not len(able):
+            continue
+        here, starts = np.unique(lists[own], return_index=True)
+        ends = np.append(starts[1:], len(own))
+        column = np.full(len(space.centres), len(here), dtype=np.int64)
+        column[here - space.first] = np.arange(len(here))
+        asks = np.zeros((len(able), len(here) + 1), dtype=bool)
+        for start in range(0, len(able), 1024):
+            near = _nearest(turned[able[start : start + 1024]], space.centres, space.probes, ordered=False)
+            np.put_along_axis(asks[start : start + 1024], column[near], True, axis=1)
+        for n, (first, end) in enumerate(zip(starts, ends)):
+            asking = able[asks[:, n]]
+            for block in range(first, end, BLOCK):
+                members = own[block : min(block + BLOCK, end)]
+                candidates = space.candidates(vectors[members])
+                for start in range(0, len(asking), PACK):
+                    some = asking[start : start + PACK]
+                    limits = np.maximum(limits_of(products[some], space.largest), 0) * (1 + 1e-4) + SLACK
+                    at, of = survivors(turned[some], candidates, limits, space.head)
+                    at, of = some[at], members[of]
+                    # Single precision may swap neighbours, so all that are left are scored exactly.
+                    fresh.append((at, of, (vectors[of].astype(np.float64) * asked[at].astype(np.float64)).sum(axis=1)))
+                    held += len(at)
+                    if held > FOUND:
+                        settle()
+    settle()
+    return kept[0], uids[kept[1]], kept[2]
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
@@ -171,11 +273,8 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return np.asarray(flat, dtype=np.float32).reshape(-1, size)
 
 
-def _pack(rows: DataFrame, key: str, most: int, columns: list[str]) -> DataFrame:
-    """Rows of one key gathered into groups of about `most`: (key, part, columns as arrays)."""
-    counts = rows.groupBy(key).agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias("parts"))
-    dealt = rows.join(counts, key).withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
-    return dealt.groupBy(key, "part").agg(F.collect_list(F.struct("uid", *columns)).alias("rows"))
+def _whole(column: pa.ChunkedArray, size: int) -> np.ndarray:
+    return np.concatenate([np.empty((0, size), np.float32), *(_matrix(c, size) for c in column.chunks)])
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
@@ -208,97 +307,105 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     share = F.coalesce(*(F.when(F.col("band") == b, F.lit(min(1.0, max(most / whole, LEAST / n)))) for b, (n, _) in bands.items()))
     draw = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) / float(1 << 30) / share
     drawn = entries.filter(draw < 1).select("uid", "v", "band", draw.alias("d")).orderBy("d", "uid")
-    chosen = drawn.limit(2 * most + 2 * LEAST * len(bands)).collect()
-    for b in bands.keys() - {r["band"] for r in chosen}:
-        chosen += entries.filter(F.col("band") == b).select("uid", "v", "band").orderBy("uid").limit(LEAST).collect()
-    sample = np.array([r["v"] for r in chosen], dtype=np.float32)
-    uids, band = (np.array([r[c] for r in chosen], dtype=np.int64) for c in ("uid", "band"))
-    shared = spark.sparkContext.broadcast(Bands(uids, sample, band, bands, k + 1))
+    parts = [drawn.limit(2 * most + 2 * LEAST * len(bands)).select("uid", "v", "band").toArrow()]
+    for b in bands.keys() - set(parts[0].column("band").to_pylist()):
+        parts.append(entries.filter(F.col("band") == b).select("uid", "v", "band").orderBy("uid").limit(LEAST).toArrow())
+    chosen = pa.concat_tables(parts)
+    uids, band = (chosen.column(c).to_numpy().astype(np.int64) for c in ("uid", "band"))
+    shared = spark.sparkContext.broadcast(Bands(uids, _whole(chosen.column("v"), size), band, bands, k + 1))
+    del parts, chosen
+
+    def assigned(batch: pa.RecordBatch) -> np.ndarray:
+        v, band = _matrix(batch.column("v"), size), batch.column("band").to_numpy()
+        lists = np.empty(len(v), np.int32)
+        for b in np.unique(band):
+            space, own = shared.value.spaces[int(b)], band == b
+            lists[own] = space.first + _nearest(space.candidates(v[own]), space.centres, 1)[:, 0]
+        return lists
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v, band = _matrix(batch.column("v"), size), batch.column("band").to_numpy()
-            turned, lists = np.empty((len(v), size + 1), np.float32), np.empty(len(v), np.int32)
-            for b in np.unique(band):
-                space, own = shared.value.spaces[int(b)], band == b
-                turned[own] = space.candidates(v[own])
-                lists[own] = space.first + _nearest(turned[own], space.centres, 1)[:, 0]
-            columns = [
-                pa.array(lists), batch.column("uid"),
-                pa.array([x.tobytes() for x in v], pa.binary()), pa.array([x.tobytes() for x in turned], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["list", "uid", "raw", "turned"])
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            vectors, ids = _matrix(batch.column("v"), size), batch.column("uid").to_numpy()
-            for start in range(0, len(vectors), 256):
-                v, uids = vectors[start : start + 256], ids[start : start + 256]
-                turned, (_, product) = rotated_queries(v), shared.value.nearest_of_sample(v)
-                raw, rot = [x.tobytes() for x in v], [x.tobytes() for x in turned]
-                for space in shared.value.spaces.values():
-                    # Squared distance of what has that product. Below zero no vector of the band is long enough.
-                    limits = 2 - 2 * product / space.largest
-                    able = np.flatnonzero(limits > -SLACK)
-                    if not len(able):
-                        continue
-                    at = np.repeat(able, space.probes)
-                    columns = [
-                        pa.array(space.first + _nearest(turned[able], space.centres, space.probes).ravel(), pa.int32()),
-                        pa.array(uids[at]), pa.array([raw[i] for i in at], pa.binary()), pa.array([rot[i] for i in at], pa.binary()),
-                        pa.array(np.maximum(limits[at], 0) * (1 + 1e-4) + SLACK),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["list", "uid", "raw", "turned", "threshold"])
+            yield pa.RecordBatch.from_arrays([pa.array(assigned(batch))], ["list"])
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = shared.value
         for batch in batches:
             v = _matrix(batch.column("v"), size)
+            near, scores, products = [], [], []
             for start in range(0, len(v), 256):
                 part = v[start : start + 256]
-                near, _ = bands.nearest_of_sample(part)
-                scores = np.stack([(bands.raw[n].astype(np.float64) * x.astype(np.float64)).sum(axis=1) for n, x in zip(near, part)])
-                quids = np.repeat(batch.column("uid").to_numpy()[start : start + 256], near.shape[1])
-                columns = [pa.array(quids), pa.array(bands.uids[near].ravel()), pa.array(scores.ravel())]
-                yield pa.RecordBatch.from_arrays(columns, ["quid", "uid", "score"])
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = shared.value.k
-        for batch in batches:
-            for entries, queries in zip(batch.column("entries"), batch.column("queries")):
-                e, q = entries.values, queries.values
-                uids = e.field("uid").to_numpy()
-                raw = np.frombuffer(b"".join(e.field("raw").to_pylist()), dtype=np.float32).reshape(-1, size)
-                turned = np.frombuffer(b"".join(e.field("turned").to_pylist()), dtype=np.float32).reshape(len(raw), -1)
-                out_q, out_e, out_s = [], [], []
-                details = zip(*(q.field(n).to_pylist() for n in ("uid", "raw", "turned", "threshold")))
-                for quid, qraw, qturned, threshold in details:
-                    left = scan(np.frombuffer(qturned, dtype=np.float32), turned, threshold, k)
-                    exact = np.frombuffer(qraw, dtype=np.float32).astype(np.float64)
-                    scores = (raw[left].astype(np.float64) * exact).sum(axis=1)
-                    best = np.argsort(-scores, kind="stable")[:k]
-                    out_q.append(np.full(len(best), quid))
-                    out_e.append(uids[left[best]])
-                    out_s.append(scores[best])
-                columns = [np.concatenate(out_q), np.concatenate(out_e), np.concatenate(out_s)]
-                kinds = (pa.int64(), pa.int64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["quid", "uid", "score"])
-
-    kind = "list int, uid long, raw binary, turned binary"
-    lists = staged(entries.select("uid", "v", "band").mapInArrow(assign, kind), "ann-lists")
+                found, least = bands.nearest_of_sample(part)
+                near.append(bands.uids[found])
+                scores += [(bands.raw[n].astype(np.float64) * x.astype(np.float64)).sum(axis=1) for n, x in zip(found, part)]
+                products.append(least)
+            ends = pa.array(np.arange(len(v) + 1, dtype=np.int32) * min(bands.k, len(bands.raw)))
+            columns = [
+                batch.column("quid"), batch.column("v"), pa.array(np.concatenate([np.empty(0), *products])),
+                pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *(n.ravel() for n in near)]))),
+                pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0), *scores]))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["quid", "v", "product", "uids", "scores"])
+
+    # Equal query vectors are searched once.
     queries = rows.filter(is_query).select("vec_id", "v").distinct()
-    asked = staged(queries.join(entries.select("uid", "v"), "v").select("vec_id", "uid"), "ann-queries")
-    distinct = entries.join(asked.select("uid").distinct(), "uid").select("uid", "v")
-    probes = staged(distinct.mapInArrow(probe, kind + ", threshold double"), "ann-probes")
-    blocks = _pack(lists, "list", BLOCK, ["raw", "turned"]).select("list", F.col("rows").alias("entries"))
-    packs = _pack(probes, "list", PACK, ["raw", "turned", "threshold"]).select("list", F.col("rows").alias("queries"))
-    pairs = blocks.join(packs, "list").select("entries", "queries").repartition(F.xxhash64("entries.uid", "queries.uid"))
-    seeds = distinct.mapInArrow(seed, "quid long, uid long, score double")
-    found = pairs.mapInArrow(match, "quid long, uid long, score double").union(seeds).distinct()
-    # Of equal scores at the border all stay, so that ids can settle them below.
+    distinct = queries.select("v").distinct().select(F.monotonically_increasing_id().alias("quid"), "v")
+    wanted = staged(distinct.mapInArrow(seed, "quid long, v array<float>, product double, uids array<long>, scores array<double>"), "ann-queries")
+    held = max(HELD // (4 * size), 1)
+    n_queries = wanted.count()
+    n_packs, shelf = -(-n_queries // held) or 1, min(max(n_queries, LEAST_SHELF), held)
+    counts = entries.select("v", "band").mapInArrow(assign, "list int").groupBy("list").count().collect()
+    # A list lies on its shelves from `begins` on, and takes one place at least.
+    lengths = np.ones(sum(len(s.centres) for s in shared.value.spaces.values()), dtype=np.int64)
+    for r in counts:
+        lengths[r["list"]] = r["count"]
+    begins = np.cumsum(lengths) - lengths
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = assigned(batch)
+            places = (begins[lists] + batch.column("hash").to_numpy() % lengths[lists]) // shelf
+            columns = [pa.array(places), pa.array(lists), batch.column("uid"), batch.column("v")]
+            yield pa.RecordBatch.from_arrays(columns, ["shelf", "list", "uid", "v"])
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lows, highs = begins // shelf, (begins + lengths - 1) // shelf
+        for batch in batches:
+            v, products = _matrix(batch.column("v"), size), batch.column("product").to_numpy()
+            turned = rotated_queries(v)
+            goes = np.zeros((len(v), highs.max() + 2), dtype=np.int32)
+            for space in shared.value.spaces.values():
+                able = np.flatnonzero(limits_of(products, space.largest) > -SLACK)
+                lists = space.first + _nearest(turned[able], space.centres, space.probes, ordered=False)
+                for near in lists.T:
+                    goes[able, lows[near]] += 1
+                    goes[able, highs[near] + 1] -= 1
+            at, shelves = np.nonzero(np.cumsum(goes, axis=1)[:, :-1] > 0)
+            for start in range(0, len(at), BLOCK):
+                some = pa.array(at[start : start + BLOCK])
+                columns = [pa.array(shelves[start : start + BLOCK]), *(batch.column(c).take(some) for c in ("quid", "v", "product"))]
+                yield pa.RecordBatch.from_arrays(columns, ["shelf", "quid", "v", "product"])
+
+    def meet(vectors: pa.Table, asked: pa.Table) -> pa.Table:
+        quids = asked.column("quid").to_numpy()
+        at, uids, scores = match(
+            shared.value, vectors.column("list").to_numpy(), vectors.column("uid").to_numpy(), _whole(vectors.column("v"), size),
+            _whole(asked.column("v"), size), asked.column("product").to_numpy(),
+        )
+        return pa.table({"quid": pa.array(quids[at], pa.int64()), "uid": pa.array(uids, pa.int64()), "score": pa.array(scores, pa.float64())})
+
+    hashed = entries.select("uid", "v", "band", F.pmod(F.xxhash64("uid"), F.lit(1 << 62)).alias("hash"))
+    placed = hashed.mapInArrow(place, "shelf long, list int, uid long, v array<float>")
+    placed = placed.withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(n_packs - 1))))
+    sent = wanted.select("quid", "v", "product").mapInArrow(probe, "shelf long, quid long, v array<float>, product double")
+    sent = sent.withColumn("pack", F.pmod(F.xxhash64("quid"), F.lit(n_packs)).cast("int"))
+    met = placed.groupBy("shelf", "pack").cogroup(sent.groupBy("shelf", "pack")).applyInArrow(meet, "quid long, uid long, score double")
+    seeds = wanted.select("quid", F.explode(F.arrays_zip("uids", "scores")).alias("s")).select("quid", "s.uids", "s.scores")
+    # One exchange by query for all that follows. Of equal scores at the border all stay, so that ids can settle them below.
+    found = met.union(seeds).repartition("quid").dropDuplicates(["quid", "uid"])
     top = found.withColumn("n", F.rank().over(Window.partitionBy("quid").orderBy(F.desc("score")))).filter(F.col("n") <= k + 1)
     named = top.join(entries.select("uid", "ids"), "uid").select("quid", "score", F.explode("ids").alias("vec_id"))
-    answers = named.join(asked.select(F.col("vec_id").alias("query_id"), F.col("uid").alias("quid")), "quid")
+    asked = queries.join(wanted.select("quid", "v"), "v").select(F.col("vec_id").alias("query_id"), "quid")
+    answers = named.join(asked, "quid")
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = answers.filter("vec_id <> query_id").withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

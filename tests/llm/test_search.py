@@ -103,6 +103,78 @@ def test_scan_keeps_all_within_the_threshold():
     assert len(ann.scan(np.zeros(64, np.float32), near, 1.5, 21)) == 500
 
 
+def frame_of(spark, vectors):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+
+
+def test_no_vectors_as_rows_on_the_driver_and_no_row_for_each_list(spark, monkeypatch):
+    vectors = np.random.default_rng(16).standard_normal((2000, 24)).astype(np.float32)
+    frame, collected, written = frame_of(spark, vectors), [], {}
+    plain_collect, plain_staged = type(frame).collect, ann.staged
+
+    def collect(self):
+        rows = plain_collect(self)
+        collected.append((len(rows), self.columns))
+        return rows
+
+    def staged(df, name):
+        out = plain_staged(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(type(frame), "collect", collect)
+    monkeypatch.setattr(ann, "staged", staged)
+    assert ann.search(frame, F.col("vec_id") % 20 == 0, 20).count() == 100 * 20
+    assert collected and all(n <= 2000**0.5 + 1 and "v" not in columns for n, columns in collected)
+    assert sum(written.values()) <= 2000 + 100
+
+
+def test_shelves_and_packs_of_any_size_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(17)
+    vectors = rng.standard_normal((1200, 16)).astype(np.float32)
+    vectors[300:900] = vectors[5] + rng.standard_normal((600, 16)).astype(np.float32) * 0.01  # a crowded list
+    frame = frame_of(spark, vectors)
+    monkeypatch.setattr(ann, "SAMPLE", 400)
+    whole = found(frame, 20, 10)
+    monkeypatch.setattr(ann, "LEAST_SHELF", 50)
+    monkeypatch.setattr(ann, "HELD", 50 * 4 * 16)  # 50 vectors a shelf, 50 queries a pack
+    assert found(frame, 20, 10) == whole
+    true = brute_force([(i, list(map(float, v))) for i, v in enumerate(vectors)], 20, 10)
+    assert np.mean([len({i for i, _ in whole[q]} & {i for i, _ in true[q]}) / 20 for q in true]) >= 0.9
+
+
+def test_equal_scores_are_settled_by_id(spark):
+    rng = np.random.default_rng(18)
+    vectors = [(i, [1.0, *(float(x) for x in rng.integers(-40, 40, 5))]) for i in range(1, 31)] + [(400, [2.0, 0.0, 0.0, 0.0, 0.0, 0.0])]
+    frame = spark.createDataFrame(vectors[::-1], "vec_id long, embedding array<float>")
+    assert found(frame, 3, 400) == {400: [(1, 2.0), (2, 2.0), (3, 2.0)]}
+
+
+def test_match_keeps_the_best_however_often_it_settles(monkeypatch):
+    rng = np.random.default_rng(19)
+    vectors = rng.standard_normal((900, 40)).astype(np.float32)
+    bands = ann.Bands(np.arange(900), vectors, np.zeros(900, dtype=int), {0: (900, float(np.linalg.norm(vectors, axis=1).max()))}, 6)
+    space = bands.spaces[0]
+    space.probes = len(space.centres)
+    lists = ann._nearest(space.candidates(vectors), space.centres, 1)[:, 0]
+    asked, exact = vectors[:70], vectors.astype(np.float64)
+    true = {(q, int(i)) for q, x in enumerate(exact[:70]) for i in np.argsort(-(exact @ x))[:6]}
+    for found_pairs in (10, 1 << 20):
+        monkeypatch.setattr(ann, "FOUND", found_pairs)
+        at, uids, scores = ann.match(bands, lists, np.arange(900), vectors, asked, np.full(70, -np.inf))
+        assert {(int(q), int(i)) for q, i in zip(at, uids)} == true
+        assert np.allclose(scores, (exact[uids] * exact[at]).sum(axis=1), rtol=1e-12)
+
+
+def test_survivors_alike_whatever_the_first_block():
+    rng = np.random.default_rng(20)
+    queries, near, far = rng.standard_normal((9, 64)) * 0.01, rng.standard_normal((30, 64)) * 0.01, rng.standard_normal((300, 64))
+    candidates = np.vstack([near, far]).astype(np.float32)
+    for head in (16, 32, 64):
+        at, of = ann.survivors(queries.astype(np.float32), candidates, np.full(9, 1.5), head)
+        assert set(zip(at.tolist(), of.tolist())) == {(a, b) for a in range(9) for b in range(30)}
+
+
 # --- decontamination ------------------------------------------------------------------------
 
 
