@@ -13,9 +13,10 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import date
+from functools import wraps
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,7 +27,7 @@ from parcelscope.plans import account_sets
 from parcelscope.plans.history import build_history
 from parcelscope.schema import RETURNREPORT, SALESREPORT
 from parcelscope.sources.tables import ShipmentTables
-from parcelscope.sources.warehouse import conform, make_folder, read_table, remove_folder, write_table
+from parcelscope.sources.warehouse import conform, folder_files, holding, make_folder, read_table, remove_folder, shuffles_removed, write_table
 
 WAITING = date(1000, 1, 1)
 FACTS: dict[str, tuple[StructType, str, str | None]] = {
@@ -35,18 +36,36 @@ FACTS: dict[str, tuple[StructType, str, str | None]] = {
 }
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 NUMBERS = "acc_no string, number long"
+LANDED_ROWS = 64_000_000  # so many shipments move at once, or one month, in a landing that may read them again
 DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
 
 
-@contextmanager
-def replacing_partitions(spark: SparkSession) -> Iterator[None]:
+def replacing_partitions(spark: SparkSession):
     """An overwrite replaces only the folders it writes to, whatever the session says else."""
-    before = spark.conf.get(DYNAMIC)
-    spark.conf.set(DYNAMIC, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(DYNAMIC, before)
+    return holding(spark, DYNAMIC, "dynamic")
+
+
+def tidy(method: Callable) -> Callable:
+    """None of the method's queries leaves its shuffle files on disk for the next ones."""
+
+    @wraps(method)
+    def run(self, *args, **kwargs):
+        with shuffles_removed(self.spark):
+            return method(self, *args, **kwargs)
+
+    return run
+
+
+def spans(sizes: dict[date, int], most: int) -> list[list[date]]:
+    """Months in order, in runs of `most` rows or one month."""
+    runs, size = [], 0
+    for month in sorted(sizes):
+        if not runs or size + sizes[month] > most:
+            runs.append([])
+            size = 0
+        runs[-1].append(month)
+        size += sizes[month]
+    return runs
 
 
 class KeyedWarehouse:
@@ -64,10 +83,10 @@ class KeyedWarehouse:
         for name, (schema, month, order) in FACTS.items():
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
             # Adaptive, a filter has the size that its accounts need; else a megabyte in each of the many files.
-            bloom = f"OPTIONS ('parquet.bloom.filter.enabled#{order}' 'true', 'parquet.bloom.filter.adaptive.enabled' 'true')" if order else ""
+            bloom = f", 'parquet.bloom.filter.enabled#{order}' 'true', 'parquet.bloom.filter.adaptive.enabled' 'true'" if order else ""
             ordered = f"SORTED BY ({order})" if order else "SORTED BY (normal_cn)"
             spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.database}.{name} ({columns}, {month} date, batch string) USING parquet {bloom} "
+                f"CREATE TABLE IF NOT EXISTS {self.database}.{name} ({columns}, {month} date, batch string) USING parquet OPTIONS ('compression' 'zstd'{bloom}) "
                 f"PARTITIONED BY ({month}, batch) CLUSTERED BY (normal_cn) {ordered} INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{name}'"
             )
             make_folder(spark, f"{self.folder}/{name}")
@@ -98,33 +117,56 @@ class KeyedWarehouse:
 
     # --- landing ----------------------------------------------------------------------------
 
-    def land(self, batch: str, shipments: DataFrame | None = None, returns: DataFrame | None = None) -> None:
+    @tidy
+    def land(self, batch: str, shipments: DataFrame | None = None, returns: DataFrame | None = None, stored: bool = False) -> None:
         """Add a batch of new rows, or put them in place of what landed under its name before.
 
         Folders are written whole, then those that the batch has no more go, and returns are always placed from
         what landed; so landing a batch again, after a failure too and in any order with others, leaves every
         row once. What the batch changes is noted for `refresh_history`.
+
+        Of many shipments that are `stored`, so that reading them again costs no more than a scan, some months land
+        after others, and what moves at once takes less disk.
         """
         if not re.fullmatch(r"[A-Za-z0-9_]+", batch):
             raise ValueError(f"batch {batch!r}: letters, digits and _ only")
-        before = self._staged(self._keys(batch))
+        changes = f"{self.folder}/changes/batch={batch}"
+        seen = bool(folder_files(self.spark, changes)) or any(b == batch for name in FACTS for month, b in self.folders(name))
+        with self._staged(self._keys(batch).union(self.touched(batch)) if seen else None) as before:
+            self._put(batch, shipments, returns, stored)
+            if before is None:
+                self._keys(batch).write.parquet(changes, mode="overwrite")
+                return
+            with self._staged(before.union(self._keys(batch)).distinct()) as noted:
+                noted.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(changes)
+
+    def _put(self, batch: str, shipments: DataFrame | None, returns: DataFrame | None, stored: bool) -> None:
         sources = set()
         if shipments is not None:
             months = {month for month, b in self.folders("salesreport") if b == batch}
-            rows = conform(shipments, "salesreport").withColumn("month_start", month_of("normal_cn_date"))
-            self._replace("salesreport", rows.withColumn("batch", F.lit(batch)), {batch})
+            rows = conform(shipments, "salesreport").withColumn("month_start", month_of("normal_cn_date")).withColumn("batch", F.lit(batch))
+            self._replace("salesreport", self._by_months(rows) if stored else [rows], {batch})
             sources |= {b for month, b in self.folders("returnreport") if month in months} | self._awaiting(batch)
         if returns is not None:
             path = f"{self.folder}/returns_landed/batch={batch}"
-            conform(returns, "returnreport").select(*RETURNREPORT.names).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+            conform(returns, "returnreport").select(*RETURNREPORT.names).write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "static").parquet(path)
             sources.add(batch)
         if sources:
             schema = StructType(list(RETURNREPORT.fields)).add("batch", "string")
             kept = self.spark.read.schema(schema).parquet(f"{self.folder}/returns_landed").where(F.col("batch").isin(sorted(sources)))
             placed = self._placed(kept, self.stored("salesreport"))
-            self._replace("returnreport", placed.withColumn("shipment_month", F.coalesce("shipment_month", F.lit(WAITING))), sources)
-        noted = self._staged(before.union(self._keys(batch)).union(self.touched(batch)).distinct())
-        noted.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.folder}/changes/batch={batch}")
+            self._replace("returnreport", [placed.withColumn("shipment_month", F.coalesce("shipment_month", F.lit(WAITING)))], sources)
+
+    def _by_months(self, rows: DataFrame) -> list[DataFrame]:
+        """All rows, in parts of whole months; those without a month are with the first."""
+        sizes = dict(rows.groupBy("month_start").count().collect())  # a row a month
+        undated = sizes.pop(None, 0)
+        parts = [F.col("month_start").isin(span) for span in spans(sizes, LANDED_ROWS)]
+        if len(parts) < 2:
+            return [rows]
+        if undated:
+            parts[0] |= F.col("month_start").isNull()
+        return [rows.where(part) for part in parts]
 
     def _awaiting(self, batch: str) -> set[str]:
         """Batches with returns that have waited for shipments of `batch`: at most a row each."""
@@ -150,22 +192,34 @@ class KeyedWarehouse:
         with replacing_partitions(self.spark):
             dealt.write.insertInto(table, overwrite=True)
 
-    def _staged(self, rows: DataFrame) -> DataFrame:
-        """Written out before what it was read from is replaced."""
+    @contextmanager
+    def _staged(self, rows: DataFrame | None) -> Iterator[DataFrame | None]:
+        """Written out before what it was read from is replaced, and gone afterwards; nothing stays nothing."""
+        if rows is None:
+            yield None
+            return
         path = f"{self.folder}/_staging/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
-    def _replace(self, name: str, rows: DataFrame, batches: set[str]) -> None:
-        """Write `rows`, then drop the folders of `batches` that have none of them."""
-        month = FACTS[name][1]
-        rows = self._staged(rows)
-        self._write(name, rows)
-        kept = {tuple(r) for r in rows.select(F.coalesce(F.col(month).cast("string"), F.lit(NO_MONTH)), "batch").distinct().collect()}  # a row a folder
-        for folder in self.folders(name):
-            if folder[1] in batches and folder not in kept:
+        try:
+            rows.write.parquet(path)
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            remove_folder(self.spark, path)
+
+    def _replace(self, name: str, parts: list[DataFrame], batches: set[str]) -> None:
+        """Write all parts, no two of them of one month, then drop the folders of `batches` that have no rows: those without a new file.
+
+        Rows may be read from the table itself, as folders are replaced once all of a part is written.
+        """
+        before = {folder: self._files(name, *folder) for folder in self.folders(name) if folder[1] in batches}
+        for rows in parts:
+            self._write(name, rows)
+        for folder, files in before.items():
+            if not self._files(name, *folder) - files:
                 self._drop(name, *folder)
 
+    def _files(self, name: str, month: str, batch: str) -> set[str]:
+        return folder_files(self.spark, f"{self.folder}/{name}/{FACTS[name][1]}={month}/batch={batch}")
+
     def folders(self, name: str) -> list[tuple[str, str]]:
         """(month, batch) of each folder of a fact."""
         shown = self.spark.sql(f"SHOW PARTITIONS {self.database}.{name}").collect()
@@ -192,12 +246,13 @@ class KeyedWarehouse:
         """Numbers of all accounts known, once those of `accounts` that have none got the next ones. A number is for good."""
         known = self._parquet("account_numbers", NUMBERS)
         fresh = accounts.where("acc_no is not null").select("acc_no").distinct().join(known, "acc_no", "left_anti")
-        placed = self._staged(account_sets.placed_accounts(fresh))
-        if not placed.isEmpty():
-            first = known.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
-            account_sets.numbered_accounts(placed, first).write.mode("append").parquet(f"{self.folder}/account_numbers")
+        with self._staged(account_sets.placed_accounts(fresh)) as placed:
+            if not placed.isEmpty():
+                first = known.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+                account_sets.numbered_accounts(placed, first).write.mode("append").parquet(f"{self.folder}/account_numbers")
         return self._parquet("account_numbers", NUMBERS)
 
+    @tidy
     def add_account_sets(self, batch: str) -> None:
         """Who ships in the months of a landed batch, beside what other batches say: sets add up by OR."""
         ships = self.stored("salesreport").where(F.col("batch") == batch).select("acc_no", "sp_name", "month_start")
@@ -205,6 +260,7 @@ class KeyedWarehouse:
         with replacing_partitions(self.spark):
             sets.write.mode("overwrite").partitionBy("month_start", "batch").parquet(f"{self.folder}/account_ships")
 
+    @tidy
     def rebuild_form_sets(self) -> None:
         forms = self.frame("acc_form")
         sets = account_sets.form_sets(forms, self._numbers(forms))
@@ -224,26 +280,32 @@ class KeyedWarehouse:
         back = self.stored("returnreport").where((F.col("batch") == batch) & (F.col("shipment_month") > F.lit(WAITING)))
         back = back.select("normal_cn", "shipment_month")
         numbered = shipped.select("normal_cn", "acc_no", "month_start")
-        of_return = numbered.join(back, (numbered["normal_cn"] == back["normal_cn"]) & (F.col("month_start") == F.col("shipment_month")))
+        # The month is no key of the join, as buckets know only the number: no fact moves to meet the other.
+        same_month = F.datediff("month_start", "shipment_month") == 0
+        of_return = numbered.join(back, (numbered["normal_cn"] == back["normal_cn"]) & same_month)
         return new.union(of_return.select("acc_no", "month_start")).where("month_start is not null").distinct()
 
     def touched(self, batch: str) -> DataFrame:
         """(acc_no, month_start) whose sums the batch changes, or changed when it landed before."""
         return self._parquet("changes", "acc_no string, month_start date, batch string").where(F.col("batch") == batch).drop("batch")
 
+    @tidy
     def rebuild_history(self) -> None:
         write_table(self.tables(with_history=False).history(), self.folder, "mom_history")
 
+    @tidy
     def refresh_history(self, batch: str) -> list[date]:
         """Recompute the stored rows of the accounts and months that `batch` touches; returns these months.
 
         All other accounts of a month are copied as they are, all other months are not opened.
         """
-        keys = self._staged(self.touched(batch)).withColumnsRenamed({"acc_no": "touched_acc", "month_start": "touched_month"})
-        months = sorted(r["touched_month"] for r in keys.select("touched_month").distinct().collect())  # a row a month
-        if not months:
-            return []
+        with self._staged(self.touched(batch).withColumnsRenamed({"acc_no": "touched_acc", "month_start": "touched_month"})) as keys:
+            months = sorted(r["touched_month"] for r in keys.select("touched_month").distinct().collect())  # a row a month
+            if months:
+                self._refresh(keys, months)
+        return months
 
+    def _refresh(self, keys: DataFrame, months: list[date]) -> None:
         def same(rows: DataFrame):
             return rows["acc_no"].eqNullSafe(keys["touched_acc"]) & (rows["month_start"] == keys["touched_month"])
 
@@ -253,9 +315,8 @@ class KeyedWarehouse:
         stored = self.frame("mom_history")
         stored = stored.where(F.col("month_start").isin(months))
         kept = stored.join(keys, same(stored), "left_anti")
-        merged = self._staged(kept.select(*fresh.columns).union(fresh))
-        write_table(merged, self.folder, "mom_history")
-        filled = {r["month_start"] for r in merged.select("month_start").distinct().collect()}
+        with self._staged(kept.select(*fresh.columns).union(fresh)) as merged:
+            write_table(merged, self.folder, "mom_history")
+            filled = {r["month_start"] for r in merged.select("month_start").distinct().collect()}
         for month in set(months) - filled:
             remove_folder(self.spark, f"{self.folder}/mom_history/month_start={month.isoformat()}")
-        return months

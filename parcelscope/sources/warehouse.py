@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -104,6 +105,32 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_files(spark: SparkSession, path: str) -> set[str]:
+    """Paths of what a folder has; none where there is no such folder. They come as one text, not one by one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return set()
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(system.listStatus(target))
+    return set(spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)[1:-1].split(",")) - {""}
+
+
+@contextmanager
+def holding(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for a while."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def shuffles_removed(spark: SparkSession):
+    """The shuffle files of a query go when it ends, not when the driver happens to collect its garbage."""
+    return holding(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def month_predicates(column: str, first: date, last: date) -> list[str]:
     """WHERE clauses that part all rows: one for each month, those before, after and without a date.
 

@@ -16,6 +16,7 @@ from parcelscope.plans import account_sets
 from parcelscope.review import StagedTables, staging_folder
 from parcelscope.sources.keyed import KeyedWarehouse
 from parcelscope.sources.tables import ShipmentTables
+from parcelscope.sources.warehouse import remove_folder, shuffles_removed
 
 BUCKETS, BUCKET_ROWS = 8, 1_000_000  # at least so many buckets, and more where one would have more shipments in all
 FIRST, SECOND = "first", "second"
@@ -28,7 +29,7 @@ def two_batches(frame: DataFrame, number: str, share: int) -> tuple[DataFrame, D
 
 
 def written(spark: SparkSession, frame: DataFrame, path: str) -> DataFrame:
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression="zstd")
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -39,16 +40,18 @@ def buckets_for(rows: int) -> int:
 
 def landed(spark: SparkSession, tables: ShipmentTables, fallback: str, after_first: Callable[[KeyedWarehouse], None] | None = None) -> KeyedWarehouse:
     folder = staging_folder(spark, fallback)
-    # Written once, for both batches and to be counted, as the given tables may be joins.
-    given = {name: written(spark, tables.frame(name), f"{folder}/_given/{name}") for name in ("salesreport", "returnreport")}
-    warehouse = KeyedWarehouse(spark, folder, buckets_for(given["salesreport"].count()))
-    for name in ("acc_form", "crf"):
-        tables.frame(name).write.mode("overwrite").parquet(f"{warehouse.folder}/{name}")
+    with shuffles_removed(spark):
+        # Written once, for both batches and to be counted, as the given tables may be joins.
+        given = {name: written(spark, tables.frame(name), f"{folder}/_given/{name}") for name in ("salesreport", "returnreport")}
+        warehouse = KeyedWarehouse(spark, folder, buckets_for(given["salesreport"].count()))
+        for name in ("acc_form", "crf"):
+            tables.frame(name).write.mode("overwrite").parquet(f"{warehouse.folder}/{name}")
     sent, back = two_batches(given["salesreport"], "normal_cn", 7), two_batches(given["returnreport"], "return_cn", 5)
-    warehouse.land(FIRST, sent[0], back[0])
+    warehouse.land(FIRST, sent[0], back[0], stored=True)
     if after_first:
         after_first(warehouse)
-    warehouse.land(SECOND, sent[1], back[1])
+    warehouse.land(SECOND, sent[1], back[1], stored=True)
+    remove_folder(spark, f"{folder}/_given")  # all of it has landed
     return warehouse
 
 
