@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from datetime import date
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -136,3 +137,22 @@ def test_months_land_one_after_another(spark, tmp_path, monkeypatch):
     warehouse.land("a", given.where("normal_cn_date < '2024-03-01'"), stored=True)
     assert {m for m, _ in warehouse.folders("salesreport")} == {"2024-01-01", "2024-02-01"}
     assert warehouse.stored("salesreport").count() == 200
+
+
+def test_the_roll_up_is_made_by_months(spark, tmp_path, monkeypatch):
+    """Both building and refreshing it take some months at a time, and no copy of it is written on the way."""
+    made, write = [], keyed.write_table
+    monkeypatch.setattr(keyed, "write_table", lambda frame, folder, name: (made.append(name), write(frame, folder, name)))
+    monkeypatch.setattr(keyed, "SPAN_ROWS", 300)
+    customers(spark, {"acc_no": "A"}).write.parquet(f"{tmp_path}/crf")
+    warehouse = KeyedWarehouse(spark, str(tmp_path), 2)
+    sent, back = many(spark, 1200)
+    late = F.col("normal_cn").endswith("7")
+    warehouse.land("a", sent.where(~late), back.where(~late))
+    warehouse.rebuild_history()
+    assert len(made) == 4
+    warehouse.land("b", sent.where(late), back.where(late))
+    months = warehouse.refresh_history("b")
+    assert len(made) == 4 + 2 and months == [date(2024, m, 1) for m in range(1, 13) if m % 2 == 0]
+    full = warehouse.tables(with_history=False).history()
+    assert sorted(map(repr, warehouse.frame("mom_history").select(*full.columns).collect())) == sorted(map(repr, full.collect()))
