@@ -79,8 +79,15 @@ def test_landing_leaves_no_copies(spark, tmp_path):
     """What was written to be read once is gone, as are the shuffle files, though the driver collects no garbage."""
     sent, back = many(spark, 1200)
     tables = ShipmentTables.of(salesreport=sent, returnreport=back, acc_form=forms(spark, {"acc_no": "A"}), crf=customers(spark, {"acc_no": "A"}))
-    before = shuffle_blocks(spark)
-    warehouse = stored.landed(spark, tables, str(tmp_path), lambda w: (w.rebuild_history(), w.add_account_sets("first")))
+    before, given = shuffle_blocks(spark), []
+
+    def after_first(warehouse):
+        given.extend(sorted(p.name for p in Path(warehouse.folder, "_given").iterdir()))
+        warehouse.rebuild_history()
+        warehouse.add_account_sets("first")
+
+    warehouse = stored.landed(spark, tables, str(tmp_path), after_first)
+    assert given == ["later_returnreport", "later_salesreport"]
     warehouse.refresh_history("second")
     left = [p for p in Path(warehouse.folder).rglob("*.parquet") if "_given" in p.parts or "_staging" in p.parts]
     assert not left and not Path(warehouse.folder, "_given").exists()
